@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewright.llm import cutoff, repetition
+from tidewright.llm import cutoff, pairs, repetition
 from tidewright.llm.common import table
 
 
@@ -29,6 +30,15 @@ def p3_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("failed", found["failed"].cast("string"))
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairs.broken_pairs(table(spark, sf_dir, "samples")).select("sample_id", "defect")
+
+
+def p4_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pairs.broken_pairs(table(spark, sf_dir, "samples"))
+    return found.select("sample_id", F.explode("defects").alias("defect"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit() and callable(v)}
 
