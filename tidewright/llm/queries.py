@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import cutoff, pairs, repetition
+from tidewright.llm import cutoff, formatting, pairs, repetition
 from tidewright.llm.common import table
 
 
@@ -39,6 +39,14 @@ def p4_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("sample_id", F.explode("defects").alias("defect"))
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return formatting.duplicate_records(table(spark, sf_dir, "samples"))[1]
+
+
+def p5_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return formatting.duplicate_records(table(spark, sf_dir, "samples"))[0]
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit() and callable(v)}
 
