@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import cutoff, formatting, pairs, repetition
+from tidewright.llm import cutoff, formatting, neardup, pairs, repetition
 from tidewright.llm.common import table
+from tidewright.runtime import materialize
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,8 +48,18 @@ def p5_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return formatting.duplicate_records(table(spark, sf_dir, "samples"))[0]
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes, _ = neardup.near_duplicates(table(spark, sf_dir, "samples"), size=3, threshold=0.6)
+    return neardup.class_pairs(materialize(classes, "classes"))
+
+
+def p6_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five-word runs at a similarity of 0.8: one row per sample with its class and links."""
+    return neardup.near_duplicates(table(spark, sf_dir, "samples"))[0]
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit() and callable(v)}
+    return {k: v for k, v in globals().items() if k[:1] == "p" and k[1:2].isdigit() and callable(v)}
 
 
 def oracle_sql() -> dict[str, str]:
