@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import cutoff, formatting, neardup, pairs, repetition
+from tidewright.llm import cutoff, formatting, mixing, neardup, pairs, repetition, tokens
 from tidewright.llm.common import table
 from tidewright.runtime import materialize
 
@@ -22,6 +22,10 @@ def p1_cutoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report
 
 
+def p2_token_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_budget(table(spark, sf_dir, "samples"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition(table(spark, sf_dir, "samples")).where("repetitive").select("sample_id")
 
@@ -58,6 +62,14 @@ def p6_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "samples"))[0]
 
 
+def p8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[0]
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[1]
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k[:1] == "p" and k[1:2].isdigit() and callable(v)}
 
