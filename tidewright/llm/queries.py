@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import cutoff, formatting, mixing, neardup, pairs, repetition, tokens
+from tidewright.llm import cutoff, formatting, leakage, mixing, neardup, pairs, repetition, tokens
 from tidewright.llm.common import table
 from tidewright.runtime import materialize
 
@@ -62,6 +62,15 @@ def p6_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "samples"))[0]
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leakage.leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select("doc_id", "item_id")
+
+
+def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All items of which a document holds a third or more."""
+    return leakage.leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), least_share=1 / 3)
+
+
 def p8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[0]
 
