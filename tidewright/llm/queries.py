@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import cutoff, formatting, leakage, mixing, neardup, pairs, repetition, tokens
+from tidewright.llm import cutoff, formatting, leakage, mixing, neardup, pairs, reading, repetition, tokens
 from tidewright.llm.common import table
 from tidewright.runtime import materialize
 
@@ -79,6 +79,10 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[1]
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reading.reading_levels(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", "band")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k[:1] == "p" and k[1:2].isdigit() and callable(v)}
 
