@@ -34,25 +34,6 @@ SKETCH_CELLS = 1 << 25
 #: Largest prefix that may be enumerated at all; C(16, 4) = 1820.
 MOST_ENUMERATED = 16
 
-_EXACT, _BASE = 16, 1.06
-
-
-def _decode(cells: np.ndarray) -> np.ndarray:
-    """Counts of coded cells: exact below 16, geometric steps above."""
-    table = np.arange(256, dtype=np.float64)
-    table[_EXACT:] = _EXACT * _BASE ** np.arange(256 - _EXACT)
-    return table[cells]
-
-
-def _encode(counts: np.ndarray) -> np.ndarray:
-    steps = _EXACT + np.floor(np.log(np.maximum(counts, _EXACT) / _EXACT) / np.log(_BASE) + 1e-9)
-    return np.where(counts < _EXACT, counts, np.minimum(steps, 255)).astype(np.uint8)
-
-
-def _add(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return _encode(_decode(a) + _decode(b))
-
-
 def _cell(tokens: np.ndarray, size: int) -> np.ndarray:
     return (K.mix(tokens ^ np.uint64(0xA0761D6478BD642F)) >> np.uint64(24)).astype(np.int64) & (size - 1)
 
@@ -110,14 +91,14 @@ def _scan(df: DataFrame, size: int, cells: int) -> DataFrame:
                 s = Sets(text, size)
                 mine = s.token[s.first_copies()[s.doc]]
                 at, times = np.unique(_cell(mine, cells), return_counts=True)
-                counts[at] = np.minimum(counts[at].astype(np.int64) + times, 65535)
+                sketches.add_to(counts, at, times)
                 rows = end - start
                 names = [f.split()[0] for f in _DOCS.split(", ")]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(start, rows), batch.column(1).slice(start, rows), pa.array(s.size.astype(np.int32)), _signed(s.hash), _signed(s.check),
                      pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names)
         if names:
-            for piece in sketches.emit(_encode(counts.astype(np.float64)), sketches.partition_id()):
+            for piece in sketches.emit(sketches.encode_counts(counts), sketches.partition_id()):
                 rows = piece.num_rows
                 yield pa.RecordBatch.from_arrays(
                     [pa.nulls(rows, pa.string()), pa.nulls(rows, pa.timestamp("us", "UTC")), *[pa.nulls(rows, pa.int32())], *[pa.nulls(rows, pa.int64())] * 2, *piece.columns], names)
@@ -172,7 +153,7 @@ def _postings_of(s: Sets, threshold: float, table: np.ndarray, cells: int) -> pa
     place = np.arange(len(token)) - begin[doc]
     inside = place < probe[doc]
     token, doc, df, place = token[inside], doc[inside], df[inside], place[inside]
-    scan_cost = K.per_doc(doc, s.docs, _decode(df))
+    scan_cost = K.per_doc(doc, s.docs, sketches.decode(df))
     small = (probe >= SUBSET) & (probe <= MOST_ENUMERATED) & (probe_need >= SUBSET) & (_choose(probe) + _choose(index) <= scan_cost)
     keys, docs, places, kinds, indexed = [token], [doc], [place], [small[doc].astype(np.int8)], [place < index[doc]]
     begin = np.concatenate([[0], np.cumsum(probe)])[:-1]
@@ -262,7 +243,7 @@ def near_duplicates(
     texts = samples.where("sample_id is not null").select("sample_id", "ingested_at", F.col(text).alias("_text"))
     scanned = materialize(_scan(texts, size, sketch_cells), "sets")
     partials = scanned.where("payload is not null").select("part", "segment", "payload")
-    cells = sketches.gather(sketches.merge(partials, _add, texts.rdd.getNumPartitions()), sketch_cells)
+    cells = sketches.gather(sketches.merge(partials, sketches.merge_counts, texts.rdd.getNumPartitions()), sketch_cells)
     docs = scanned.where("sample_id is not null")
     latest = latest_by(docs, "sample_id", "ingested_at", {"n": F.col("n"), "hash": F.col("hash"), "check": F.col("check")}).where("n > 0")
     latest = materialize(latest, "latest")

@@ -62,6 +62,39 @@ def gather(merged: DataFrame, size: int) -> np.ndarray:
     return cells
 
 
+# --- counts coded in one byte: exact below 16, geometric steps above -------------------------------------------------
+
+_EXACT, _BASE = 16, 1.06
+_CODED = np.arange(256, dtype=np.float64)
+_CODED[_EXACT:] = _EXACT * _BASE ** np.arange(256 - _EXACT)
+
+
+def decode(cells: np.ndarray) -> np.ndarray:
+    return _CODED[cells]
+
+
+def encode(counts: np.ndarray) -> np.ndarray:
+    steps = _EXACT + np.floor(np.log(np.maximum(counts, _EXACT) / _EXACT) / np.log(_BASE) + 1e-9)
+    return np.where(counts < _EXACT, counts, np.minimum(steps, 255)).astype(np.uint8)
+
+
+_SHORT = encode(np.arange(65536, dtype=np.float64))
+
+
+def encode_counts(counts: np.ndarray) -> np.ndarray:
+    """:func:`encode` of 16-bit counts, without wide temporaries."""
+    return _SHORT[counts]
+
+
+def merge_counts(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return encode(decode(a) + decode(b))
+
+
+def add_to(counts: np.ndarray, at: np.ndarray, times: np.ndarray) -> None:
+    """Add to 16-bit counts at distinct places, without overflow."""
+    counts[at] = np.minimum(counts[at].astype(np.int64) + times, 65535)
+
+
 # --- filter of repeated hashes ---------------------------------------------------------------------------------------
 
 #: Hash functions of the filter, cells per hash, and bounds of its size (one bit a cell once it is merged).
