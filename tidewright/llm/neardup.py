@@ -29,6 +29,8 @@ from tidewright.runtime import latest_by, materialize
 
 #: Fixed size c of the enumerated subsets, and of the overlap that inverted lists must reach.
 SUBSET = 4
+#: Sum of the weights of matched tokens at which a pair is a candidate: a multiple of all numbers up to SUBSET.
+WHOLE = 12
 #: Cells of the count sketch (one byte each once merged); fewer cells make the join slower, never wrong.
 SKETCH_CELLS = 1 << 25
 #: Largest prefix that may be enumerated at all; C(16, 4) = 1820.
@@ -120,24 +122,30 @@ def _choose(count: np.ndarray) -> np.ndarray:
 
 
 #: kind 0: token of a large set, 1: token of a small set, 2: subset of a small set.
-_POSTINGS = "key bigint, hash bigint, n int, shared int, place int, indexed boolean, kind tinyint"
+#: sizes holds the set's size and its shareable tokens (32 bits each), spot the place in the prefix, indexed and kind.
+_POSTINGS = "key bigint, hash bigint, sizes bigint, spot int, again boolean"
 
 
-def _postings(df: DataFrame, size: int, threshold: float, cells: np.ndarray) -> DataFrame:
-    """Prefix tokens, and c-subsets of small sets, of every distinct set that can have a partner."""
-    shared_cells = df.sparkSession.sparkContext.broadcast(cells.tobytes())
+def _postings(df: DataFrame, size: int, threshold: float, cells: np.ndarray, repeats: np.ndarray, repeat_cells: int) -> DataFrame:
+    """Prefix tokens, and c-subsets of small sets, of every distinct set that can have a partner.
+
+    ``again`` marks sets that may stand in several blocks; only their rows have to be made distinct.
+    """
+    context = df.sparkSession.sparkContext
+    shared_cells, shared_repeats = context.broadcast(cells.tobytes()), context.broadcast(repeats.tobytes())
     count = len(cells)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.frombuffer(shared_cells.value, np.uint8)
+        table, bits = np.frombuffer(shared_cells.value, np.uint8), np.frombuffer(shared_repeats.value, np.uint8)
         for batch in batches:
             for _, _, text in K.blocks(batch.column(0)):
-                yield _postings_of(Sets(text, size), threshold, table, count)
+                s = Sets(text, size)
+                yield _postings_of(s, threshold, table, count, sketches.holds(s.hash, bits, repeat_cells))
 
     return df.mapInArrow(run, _POSTINGS)
 
 
-def _postings_of(s: Sets, threshold: float, table: np.ndarray, cells: int) -> pa.RecordBatch:
+def _postings_of(s: Sets, threshold: float, table: np.ndarray, cells: int, again: np.ndarray) -> pa.RecordBatch:
     df = table[_cell(s.token, cells)]
     keep = (df >= 2) & s.first_copies()[s.doc]
     token, doc, df = s.token[keep], s.doc[keep], df[keep]
@@ -170,10 +178,11 @@ def _postings_of(s: Sets, threshold: float, table: np.ndarray, cells: int) -> pa
         kinds.append(np.full(len(chosen) * len(combos), 2, np.int8))
         indexed.append((combos[:, -1][None] < index[chosen][:, None]).ravel())
     doc = np.concatenate(docs)
+    sizes = (s.size.astype(np.int64) << 32) | shared
+    spot = (np.concatenate(places) << 3) | (np.concatenate(indexed).astype(np.int64) << 2) | np.concatenate(kinds)
     return pa.RecordBatch.from_arrays(
-        [_signed(np.concatenate(keys)), _signed(s.hash[doc]), pa.array(s.size[doc].astype(np.int32)), pa.array(shared[doc].astype(np.int32)),
-         pa.array(np.concatenate(places).astype(np.int32)), pa.array(np.concatenate(indexed)), pa.array(np.concatenate(kinds))],
-        [f.split()[0] for f in _POSTINGS.split(", ")])
+        [_signed(np.concatenate(keys)), _signed(s.hash[doc]), pa.array(sizes[doc]), pa.array(spot.astype(np.int32)), pa.array(again[doc])], [f.split()[0] for f in _POSTINGS.split(", ")]
+    )
 
 
 def _needed(threshold: float, a: Column, b: Column) -> Column:
@@ -182,19 +191,28 @@ def _needed(threshold: float, a: Column, b: Column) -> Column:
 
 def _candidates(postings: DataFrame, threshold: float) -> DataFrame:
     """(a, b): pairs of set hashes that share at least c prefix tokens and may reach the needed overlap."""
-    a = postings.where("indexed").select("key", *[F.col(c).alias(f"a_{c}") for c in ("hash", "n", "shared", "place", "kind")])
-    b = postings.select("key", *[F.col(c).alias(f"b_{c}") for c in ("hash", "n", "shared", "place", "kind")])
-    need = _needed(threshold, F.col("a_n"), F.col("b_n"))
-    reach = F.least(F.col("a_shared") - F.col("a_place"), F.col("b_shared") - F.col("b_place")) + F.least("a_place", "b_place")
+    once = postings.where("not again").drop("again").unionByName(postings.where("again").drop("again").distinct())
+    indexed = F.col("spot").bitwiseAND(4) != 0
+    a = once.where(indexed).select("key", *[F.col(c).alias(f"a_{c}") for c in ("hash", "sizes", "spot")])
+    b = once.select("key", *[F.col(c).alias(f"b_{c}") for c in ("hash", "sizes", "spot")])
+    n, shared, place, kind = (
+        lambda x: F.shiftright(F.col(f"{x}_sizes"), 32),
+        lambda x: F.col(f"{x}_sizes").bitwiseAND((1 << 32) - 1),
+        lambda x: F.shiftright(F.col(f"{x}_spot"), 3),
+        lambda x: F.col(f"{x}_spot").bitwiseAND(3),
+    )
+    need = _needed(threshold, n("a"), n("b"))
+    reach = F.least(shared("a") - place("a"), shared("b") - place("b")) + F.least(place("a"), place("b"))
     met = a.join(b, "key").where(
-        ((F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a_hash") < F.col("b_hash"))))
-        & (((F.col("a_kind") == 2) & (F.col("b_kind") == 2)) | ((F.col("a_kind") < 2) & (F.col("b_kind") < 2) & (F.col("a_kind") + F.col("b_kind") < 2)))
-        & (F.least("a_shared", "b_shared") >= need)
+        ((n("a") < n("b")) | ((n("a") == n("b")) & (F.col("a_hash") < F.col("b_hash"))))
+        & (((kind("a") == 2) & (kind("b") == 2)) | ((kind("a") < 2) & (kind("b") < 2) & (kind("a") + kind("b") < 2)))
+        & (F.least(shared("a"), shared("b")) >= need)
         & (reach >= need)
     )
-    weight = F.when(F.col("a_kind") == 2, F.lit(SUBSET)).otherwise(F.lit(1))
-    counted = met.groupBy(F.col("a_hash").alias("a"), F.col("b_hash").alias("b")).agg(F.sum(weight).alias("_met"), F.min(F.least(F.lit(SUBSET), need)).alias("_least"))
-    return counted.where("_met >= _least").select("a", "b")
+    # tiny sets need fewer than c tokens; weights that add up to WHOLE for whatever is needed save a column
+    weight = F.when(kind("a") == 2, F.lit(WHOLE)).when(need >= SUBSET, F.lit(WHOLE // SUBSET)).otherwise(F.ceil(F.lit(WHOLE) / need))
+    counted = met.groupBy(F.col("a_hash").alias("a"), F.col("b_hash").alias("b")).agg(F.sum(weight.cast("int")).alias("_met"))
+    return counted.where(F.col("_met") >= WHOLE).select("a", "b")
 
 
 def _sets_of(df: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
@@ -215,8 +233,7 @@ def _sets_of(df: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             for _, _, text in K.blocks(batch.column(0)):
                 s = Sets(text, size)
-                at = sketches.places(s.hash, cells)
-                chosen = (((table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).min(axis=0) > 0) & s.first_copies()
+                chosen = sketches.holds(s.hash, table, cells) & s.first_copies()
                 mine = chosen[s.doc]
                 lengths = s.size[chosen]
                 tokens = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)), _signed(s.token[mine]))
@@ -248,7 +265,9 @@ def near_duplicates(
     latest = latest_by(docs, "sample_id", "ingested_at", {"n": F.col("n"), "hash": F.col("hash"), "check": F.col("check")}).where("n > 0")
     latest = materialize(latest, "latest")
     only = texts.select("_text")
-    postings = materialize(_postings(only, size, threshold, cells).distinct(), "postings")
+    repeat_cells = sketches.filter_cells(docs.count())
+    repeats = sketches.repeat_filter(docs.where("n > 0"), ["hash"], repeat_cells)
+    postings = materialize(_postings(only, size, threshold, cells, repeats, repeat_cells), "postings")
     pairs = materialize(_candidates(postings, threshold), "pairs")
     wanted = pairs.select(F.col("a").alias("hash")).unionByName(pairs.select(F.col("b").alias("hash"))).distinct()
     sets = materialize(_sets_of(only, size, wanted), "tokens")

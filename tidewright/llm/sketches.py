@@ -141,6 +141,14 @@ def repeat_filter(df: DataFrame, columns: list[str], size: int) -> np.ndarray:
     return np.packbits(gather(merge(partials, merge_seen, narrow.rdd.getNumPartitions()), size) > 1)
 
 
+def holds(hashes: np.ndarray, bits: np.ndarray, size: int) -> np.ndarray:
+    """True for hashes that a packed filter may hold."""
+    if not len(hashes):
+        return np.zeros(0, bool)
+    at = places(hashes, size)
+    return ((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).min(axis=0) > 0
+
+
 def may_repeat(df: DataFrame, bits: np.ndarray, size: int) -> Callable:
     """A column function: true for hashes that the filter may hold; null is false."""
     shared = df.sparkSession.sparkContext.broadcast(bits.tobytes())
@@ -148,8 +156,6 @@ def may_repeat(df: DataFrame, bits: np.ndarray, size: int) -> Callable:
     def probe(hashes: pa.Array) -> pa.Array:
         table = np.frombuffer(shared.value, np.uint8)
         values = hashes.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64)
-        at = places(values, size)
-        found = ((table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).min(axis=0) > 0 if len(values) else np.zeros(0, bool)
-        return pa.array(found & ~hashes.is_null().to_numpy(zero_copy_only=False))
+        return pa.array(holds(values, table, size) & ~hashes.is_null().to_numpy(zero_copy_only=False))
 
     return F.arrow_udf(probe, BooleanType())
