@@ -1,19 +1,236 @@
-"""Named queries over the tables of a data directory, with the SQL each one is compared against."""
+"""Named queries over the tables of a data directory; each has the SQL it is compared against in ``oracle``."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewright.functions.text import alphanumeric_ratio, squash, stable_id, token_count
+from tidewright.operators import blocks, decontam, generate, minhash, quality
+from tidewright.operators.adapt import Mapping, adapt
+from tidewright.runtime import latest_by
+from tidewright.schema import default_signals, last_assistant, render_conversation
+from tidewright.sources.writers import shard_sizes
+
+#: Turns of one record: a longer conversation becomes several records, so that no row grows without bound.
+TURNS_PER_RECORD = 200
+#: Settings of the queries on near-duplicates: few permutations, since SQL has to follow.
+FEW = minhash.Settings(num_permutations=16, window_size=5, bands=4, rows=4, seed=1)
+#: Rules of the queries on decontamination.
+EIGHT = decontam.Rules(enabled=True, ngram_size=8, max_contamination_ratio=0.05)
+LIMITS = quality.Limits(min_tokens=200, max_tokens=100_000, min_turns=2, min_assistant_turns=1)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# --- conversations ---------------------------------------------------------------------------------------------------
+
+
+def conversation_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(conv_id, part, messages): turns in order, of each turn the latest delivery, blank turns left out."""
+    turns = table(spark, sf_dir, "conversations").where("conv_id is not null and turn is not null").select("*", F.concat_ws(":", "conv_id", "turn").alias("_turn"))
+    kept = latest_by(turns, "_turn", "logged_at", {"text": squash(F.col("text")), "role": F.lower(squash(F.col("role"))), "conv_id": F.col("conv_id"), "turn": F.col("turn")})
+    message = F.struct(F.col("turn"), F.coalesce(F.nullif("role", F.lit("")), F.lit("user")).alias("role"), F.col("text").alias("content"), F.lit(None).cast("string").alias("tool_calls"))
+    part = F.floor(F.col("turn") / TURNS_PER_RECORD).cast("bigint").alias("part")
+    grouped = kept.where("text <> ''").groupBy("conv_id", part).agg(F.sort_array(F.collect_list(message)).alias("_m"))  # at most TURNS_PER_RECORD turns
+    return grouped.select("conv_id", "part", F.transform("_m", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"), m["tool_calls"].alias("tool_calls"))).alias("messages"))
+
+
+def _chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = conversation_records(spark, sf_dir).withColumn("text", render_conversation(F.col("messages")))
+    return records.withColumn("quality_signals", default_signals(F.col("text"), F.col("messages"))).withColumn("answer", last_assistant(F.col("messages")))
+
+
+def normalize_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _chat(spark, sf_dir).select("conv_id", "part", "text")
+
+
+def turn_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _chat(spark, sf_dir).select("conv_id", "part", "quality_signals.char_count", "quality_signals.message_count", "quality_signals.assistant_turn_count", "quality_signals.user_turn_count")
+
+
+def last_assistant_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _chat(spark, sf_dir).select("conv_id", "part", "answer")
 
 
 def quality_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    kept = quality.enrich(_chat(spark, sf_dir), stats=False).where(quality.passes(LIMITS))
+    return kept.select("conv_id", "part", "quality_signals.token_count", "quality_signals.message_count", "quality_signals.assistant_turn_count", "quality_signals.char_count")
+
+
+def prompt_response_adapter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First user and first assistant turn of each record as prompt and response, mapped to standard records."""
+    said = lambda role: F.try_element_at(F.filter("messages", lambda m: m["role"] == role), F.lit(1))["content"]
+    flat = conversation_records(spark, sf_dir).select(F.concat_ws("-", "conv_id", "part").alias("id"), said("user").alias("prompt"), said("assistant").alias("response"))
+    made = adapt(flat, Mapping(source_name="pairs", id_key="id", prompt_key="prompt", response_key="response"))
+    return made.select("sample_id", "text", "answer", "source", "quality_signals.message_count")
+
+
+def sft_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training rows of the first exchange, with the messages rendered."""
+    said = lambda role: F.try_element_at(F.filter("messages", lambda m: m["role"] == role), F.lit(1))["content"]
+    flat = conversation_records(spark, sf_dir).select(F.concat_ws("-", "conv_id", "part").alias("id"), F.lit("conversations").alias("source"), F.coalesce(said("user"), F.lit("")).alias("text"), said("assistant").alias("answer"))
+    made = blocks.sft_export(flat, extra={"id": "id"}, system_prompt="Be brief.")
+    return made.select(F.col("extra_info.id").alias("id"), "data_source", F.array_join(F.transform("messages", lambda m: F.concat_ws("=", m["role"], m["content"])), "|").alias("messages"))
+
+
+def token_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = blocks.token_counter(_chat(spark, sf_dir), end_token=True)
+    return counted.select("conv_id", "part", "prompt_tokens", "response_tokens", "total_tokens")
+
+
+def render_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chat = _chat(spark, sf_dir)
+    template = "Rate conversation {conv_id} ({quality_signals[message_count]} messages).\n\n{answer}\n{unknown}"
+    return chat.select("conv_id", "part", generate.render_prompt(chat, template).alias("prompt"))
+
+
+# --- documents -------------------------------------------------------------------------------------------------------
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents")
+
+
+def normalize_text_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = adapt(_documents(spark, sf_dir), Mapping(source_name="documents", id_key="doc_id", text_key="text", keep_fields=["lang"]))
+    return made.select("sample_id", "text", "answer", "source", F.col("metadata.lang").alias("lang"), "quality_signals.char_count", "quality_signals.message_count", "quality_signals.user_turn_count")
+
+
+def stable_sample_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _documents(spark, sf_dir).select("doc_id", stable_id(F.lit("documents"), F.col("doc_id"), squash(F.col("text"))).alias("sample_id"))
+
+
+def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sources as one table of standard records, summed up by source."""
+    a = adapt(_documents(spark, sf_dir), Mapping(source_name="documents", id_key="doc_id", text_key="text"))
+    b = adapt(table(spark, sf_dir, "benchmark"), Mapping(source_name="benchmark", id_key="item_id", text_key="text"))
+    both = a.unionByName(b, allowMissingColumns=True)
+    return both.groupBy("source").agg(F.count(F.lit(1)).alias("records"), F.sum("quality_signals.char_count").alias("chars"), F.countDistinct("text").alias("texts"))
+
+
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _documents(spark, sf_dir).select("doc_id", token_count(F.col("text")).alias("token_count"))
+
+
+def token_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.summary(_documents(spark, sf_dir), [0.1, 0.5, 0.9], token_count(F.col("text")))
+    return found.select("sample_count", "min", "max", "mean", *[F.col("percentiles")[str(p)].alias(n) for p, n in ((0.1, "p10"), (0.5, "p50"), (0.9, "p90"))])
+
+
+def alphanumeric_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _documents(spark, sf_dir).where(alphanumeric_ratio(F.col("text")) >= 0.8).select("doc_id")
+
+
+def decontam_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = decontam.reference_index(table(spark, sf_dir, "benchmark"), EIGHT)
+    return decontam.scores(_documents(spark, sf_dir), index, EIGHT, "doc_id")
+
+
+def _decontam_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam_score(spark, sf_dir).withColumn("_clean", decontam.keeps(EIGHT, F.col("matched"), F.col("ratio")))
+
+
+def decontam_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _decontam_split(spark, sf_dir).where("_clean").select("doc_id")
+
+
+def decontam_excluded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _decontam_split(spark, sf_dir).where("not _clean").select("doc_id", "matched", "total")
+
+
+def minhash_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
+    signed = minhash.signatures_in_batches(_documents(spark, sf_dir), FEW, ["doc_id"])
+    return signed.select("doc_id", F.array_join("_signature", ",").alias("signature"))
+
+
+def lsh_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    signed = minhash.signatures_in_batches(_documents(spark, sf_dir), FEW, ["doc_id"])
+    return minhash.candidate_links(minhash.band_keys(signed, FEW, ["doc_id"]), "doc_id")
+
+
+def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.remove_near_duplicates(_documents(spark, sf_dir), FEW, ["doc_id"]).select("doc_id")
+
+
+def shard_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_sizes(_documents(spark, sf_dir), 128, "doc_id")
+
+
+def numeric_filter_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blocks.numeric_filter(_documents(spark, sf_dir), "n_chars", ">=", 900)[0].select("doc_id", "n_chars")
+
+
+def numeric_filter_percentile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blocks.numeric_filter(_documents(spark, sf_dir), "n_chars", ">", percentile=75)[1].select("doc_id", "n_chars")
+
+
+def metadata_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blocks.metadata_stats(table(spark, sf_dir, "samples"), "quality_signals.token_count")
+
+
+def sample_num(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sampling operator: a fixed number of documents, the same for the same seed."""
+    return blocks.sample_num(_documents(spark, sf_dir), 100, "doc_id", seed=7).select("doc_id", "n_chars")
+
+
+# --- verdicts --------------------------------------------------------------------------------------------------------
+
+
+def judge_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score and normalised score of the judges' raw replies, by delivery."""
+    parsed = table(spark, sf_dir, "samples").select("sample_id", "ingested_at", generate.judgement(F.col("judge.raw_response")).alias("v"))
+    return parsed.select("sample_id", F.col("ingested_at").cast("string").alias("ingested_at"), F.col("v.score").alias("score"), F.col("v.normalized_score").alias("normalized_score"))
+
+
+def judge_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = table(spark, sf_dir, "samples").where(generate.keeps_score(F.col("judge.score"), 7.0))
+    return kept.select("sample_id", F.col("ingested_at").cast("string").alias("ingested_at"))
+
+
+def judge_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = table(spark, sf_dir, "samples").where(~F.isnan("judge.score"))
+    return generate.judge_summary(kept)
+
+
+def echo_model(prompt: str, system_prompt: str | None = None) -> dict[str, str]:
+    """A deterministic stand-in for a model: the prompt's first characters in capitals."""
+    return {"text": prompt[:24].upper().strip()}
+
+
+def callable_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    call = generate.Generation(enabled=True, backend="callable", callable_path="tidewright.plans.catalog:echo_model", model="echo", prompt_template="{suite}/{item_id}: {text}", keep_prompt=True)
+    made = generate.generate(table(spark, sf_dir, "benchmark"), call)
+    return made.select("item_id", "augmentation.generated_answer", "augmentation.model", "augmentation.error")
+
+
+def pipeline_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows after each stage of a run over the documents: normalised, deduplicated, decontaminated, filtered."""
+    docs = adapt(_documents(spark, sf_dir), Mapping(source_name="documents", id_key="doc_id", text_key="text")).withColumn("doc_id", F.col("sample_id").cast("bigint"))
+    unique = minhash.remove_near_duplicates(docs, FEW, ["doc_id"])
+    clean = decontam.split_contaminated(decontam.annotate(unique, table(spark, sf_dir, "benchmark"), EIGHT), EIGHT)[0]
+    good = quality.enrich(clean, stats=False).where(quality.passes(quality.Limits(min_tokens=100, max_tokens=400, min_assistant_turns=0)))
+    counted = [d.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("stage"), "rows") for n, d in (("normalized", docs), ("deduplicated", unique), ("decontaminated", clean), ("quality_filtered", good))]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2]).unionByName(counted[3])
+
+
+_QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
+    normalize_conversations, turn_signals, last_assistant_answer, quality_filter, prompt_response_adapter, sft_export, token_counter, render_prompt,
+    normalize_text_source, stable_sample_id, union_sources, token_counts, token_summary, alphanumeric_filter, decontam_score, decontam_filter, decontam_excluded,
+    minhash_signature, lsh_candidates, near_dedup, shard_manifest, numeric_filter_threshold, numeric_filter_percentile, metadata_stats, sample_num,
+    judge_parse, judge_filter, judge_summary, callable_generation, pipeline_stage_counts,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {q.__name__: q for q in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from tidewright.plans.oracle import SQL
+
+    return dict(SQL)
