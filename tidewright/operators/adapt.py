@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -156,10 +158,6 @@ def adapt(df: DataFrame, mapping: Mapping, source_path: str = "", position: Colu
 
 def _sorted_each(array_json: Column) -> Column:
     """A JSON array of JSON strings with every member's keys sorted."""
-    import json
-
-    import pyarrow as pa
-
     def run(values: pa.Array) -> pa.Array:
         out = []
         for value in values.to_pylist():

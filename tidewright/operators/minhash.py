@@ -5,8 +5,11 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from tidewright.functions.text import BLANK, MARK, squash
 from tidewright.operators.components import connected_components
@@ -68,9 +71,6 @@ def tokens(text: Column, settings: Settings) -> Column:
 
 
 def _pieces(text: Column, model: str | None) -> Column:
-    import pyarrow as pa
-    from pyspark.sql.types import ArrayType, StringType
-
     if not model:
         raise ValueError("tokenization sentencepiece needs tokenizer_model")
 
@@ -127,9 +127,6 @@ def signatures(df: DataFrame, settings: Settings, text: str = "text") -> DataFra
 
 def signatures_in_batches(df: DataFrame, settings: Settings, keep: list[str], text: str = "text") -> DataFrame:
     """(keep, _signature) with the permutations done in numpy over Arrow batches; the values equal :func:`signatures`."""
-    import numpy as np
-    import pyarrow as pa
-
     hashed = df.select(*keep, F.transform(shingles(F.col(text), settings), base_hash).alias("_hashes"))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in hashed.schema.fields[:-1])
     pairs = np.array(coefficients(settings.num_permutations, settings.seed), np.int64)
