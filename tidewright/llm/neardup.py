@@ -35,6 +35,8 @@ WHOLE = 12
 SKETCH_CELLS = 1 << 25
 #: Largest prefix that may be enumerated at all; C(16, 4) = 1820.
 MOST_ENUMERATED = 16
+#: Cost of an enumerated subset, which is written, shuffled and sorted, in comparisons of two entries of a list.
+SUBSET_COST = 10
 
 def _cell(tokens: np.ndarray, size: int) -> np.ndarray:
     return (K.mix(tokens ^ np.uint64(0xA0761D6478BD642F)) >> np.uint64(24)).astype(np.int64) & (size - 1)
@@ -162,7 +164,7 @@ def _postings_of(s: Sets, threshold: float, table: np.ndarray, cells: int, again
     inside = place < probe[doc]
     token, doc, df, place = token[inside], doc[inside], df[inside], place[inside]
     scan_cost = K.per_doc(doc, s.docs, sketches.decode(df))
-    small = (probe >= SUBSET) & (probe <= MOST_ENUMERATED) & (probe_need >= SUBSET) & (_choose(probe) + _choose(index) <= scan_cost)
+    small = (probe >= SUBSET) & (probe <= MOST_ENUMERATED) & (probe_need >= SUBSET) & (SUBSET_COST * (_choose(probe) + _choose(index)) <= scan_cost)
     keys, docs, places, kinds, indexed = [token], [doc], [place], [small[doc].astype(np.int8)], [place < index[doc]]
     begin = np.concatenate([[0], np.cumsum(probe)])[:-1]
     for width in np.unique(probe[small]):
@@ -215,9 +217,10 @@ def _candidates(postings: DataFrame, threshold: float) -> DataFrame:
     return counted.where(F.col("_met") >= WHOLE).select("a", "b")
 
 
-def _sets_of(df: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
+def _sets_of(df: DataFrame, size: int, wanted: DataFrame, repeats: np.ndarray, repeat_cells: int) -> DataFrame:
     """(hash, check, tokens) of the sets whose hashes stand in ``wanted`` (a few others may come along)."""
     cells = sketches.filter_cells(max(1, wanted.count()))
+    shared_repeats = df.sparkSession.sparkContext.broadcast(repeats.tobytes())
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags = np.zeros(cells, np.uint8)
@@ -229,7 +232,7 @@ def _sets_of(df: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
     bits = df.sparkSession.sparkContext.broadcast(np.packbits(sketches.gather(merged, cells)).tobytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.frombuffer(bits.value, np.uint8)
+        table, several = np.frombuffer(bits.value, np.uint8), np.frombuffer(shared_repeats.value, np.uint8)
         for batch in batches:
             for _, _, text in K.blocks(batch.column(0)):
                 s = Sets(text, size)
@@ -237,10 +240,12 @@ def _sets_of(df: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
                 mine = chosen[s.doc]
                 lengths = s.size[chosen]
                 tokens = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)), _signed(s.token[mine]))
-                yield pa.RecordBatch.from_arrays([_signed(s.hash[chosen]), _signed(s.check[chosen]), tokens], ["hash", "check", "tokens"])
+                again = pa.array(sketches.holds(s.hash[chosen], several, repeat_cells))
+                yield pa.RecordBatch.from_arrays([_signed(s.hash[chosen]), _signed(s.check[chosen]), tokens, again], ["hash", "check", "tokens", "again"])
 
-    found = df.mapInArrow(run, "hash bigint, check bigint, tokens array<bigint>")
-    return found.groupBy("hash", "check").agg(F.first("tokens").alias("tokens"))
+    found = materialize(df.mapInArrow(run, "hash bigint, check bigint, tokens array<bigint>, again boolean"), "tokens")
+    once = found.where("again").groupBy("hash", "check").agg(F.first("tokens").alias("tokens"))
+    return found.where("not again").drop("again").unionByName(once)
 
 
 def near_duplicates(
@@ -270,15 +275,19 @@ def near_duplicates(
     postings = materialize(_postings(only, size, threshold, cells, repeats, repeat_cells), "postings")
     pairs = materialize(_candidates(postings, threshold), "pairs")
     wanted = pairs.select(F.col("a").alias("hash")).unionByName(pairs.select(F.col("b").alias("hash"))).distinct()
-    sets = materialize(_sets_of(only, size, wanted), "tokens")
-    names = latest.groupBy("hash", "check").agg(F.min("sample_id").alias("id"))
-    named = sets.join(names, ["hash", "check"])  # sets of superseded deliveries have no name
-    left = named.select(F.col("hash").alias("a"), F.col("id").alias("a_id"), F.col("tokens").alias("a_tokens"))
-    right = named.select(F.col("hash").alias("b"), F.col("id").alias("b_id"), F.col("tokens").alias("b_tokens"))
+    sets = _sets_of(only, size, wanted, repeats, repeat_cells)
+    left = sets.select(F.col("hash").alias("a"), F.col("check").alias("a_check"), F.col("tokens").alias("a_tokens"))
+    right = sets.select(F.col("hash").alias("b"), F.col("check").alias("b_check"), F.col("tokens").alias("b_tokens"))
     both = pairs.join(left, "a").join(right, "b").withColumn("_common", F.size(F.array_intersect("a_tokens", "b_tokens")))
     similarity = F.col("_common") / (F.size("a_tokens") + F.size("b_tokens") - F.col("_common"))
-    links = both.select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b"), similarity.alias("similarity"))
-    links = materialize(links.where(F.col("similarity") >= F.lit(threshold - 1e-12)).distinct(), "links")
+    verified = both.select("a", "a_check", "b", "b_check", similarity.alias("similarity")).where(F.col("similarity") >= F.lit(threshold - 1e-12))
+    # each set by the smallest sample that has it; sets of superseded deliveries have no name
+    names = latest.groupBy("hash", "check").agg(F.min("sample_id").alias("id"))
+    named = verified
+    for side in ("a", "b"):
+        named = named.join(names.select(F.col("hash").alias(side), F.col("check").alias(f"{side}_check"), F.col("id").alias(f"{side}_id")), [side, f"{side}_check"])
+    links = named.select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b"), "similarity")
+    links = materialize(links.distinct(), "links")
     roots = connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")))
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("links"))
     classes = (
