@@ -176,7 +176,7 @@ def _grouped(values: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """An order that puts equal values of a document side by side, and True where a new value begins.
 
     One 64-bit sort key holds the document in its upper bits and the upper bits of the value below; neighbours are
-    then compared in full.
+    then compared in full. The values must be hashes: equal upper bits of different values have to be rare.
     """
     if not len(values):
         return np.zeros(0, np.int64), np.zeros(0, bool)
