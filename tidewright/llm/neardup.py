@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tidewright.llm import kernels as K
 from tidewright.llm import sketches
 from tidewright.operators.components import connected_components
-from tidewright.runtime import latest_by, materialize
+from tidewright.runtime import broadcast_if_small, latest_by, materialize
 
 #: Fixed size c of the enumerated subsets, and of the overlap that inverted lists must reach.
 SUBSET = 4
@@ -36,7 +36,7 @@ SKETCH_CELLS = 1 << 25
 #: Largest prefix that may be enumerated at all; C(16, 4) = 1820.
 MOST_ENUMERATED = 16
 #: Cost of an enumerated subset, which is written, shuffled and sorted, in comparisons of two entries of a list.
-SUBSET_COST = 10
+SUBSET_COST = 32
 
 def _cell(tokens: np.ndarray, size: int) -> np.ndarray:
     return (K.mix(tokens ^ np.uint64(0xA0761D6478BD642F)) >> np.uint64(24)).astype(np.int64) & (size - 1)
@@ -278,14 +278,17 @@ def near_duplicates(
     sets = _sets_of(only, size, wanted, repeats, repeat_cells)
     left = sets.select(F.col("hash").alias("a"), F.col("check").alias("a_check"), F.col("tokens").alias("a_tokens"))
     right = sets.select(F.col("hash").alias("b"), F.col("check").alias("b_check"), F.col("tokens").alias("b_tokens"))
-    both = pairs.join(left, "a").join(right, "b").withColumn("_common", F.size(F.array_intersect("a_tokens", "b_tokens")))
+    # few pairs go to the sets, many are shuffled to them
+    both = left.join(broadcast_if_small(pairs), "a").join(right, "b").withColumn("_common", F.size(F.array_intersect("a_tokens", "b_tokens")))
     similarity = F.col("_common") / (F.size("a_tokens") + F.size("b_tokens") - F.col("_common"))
     verified = both.select("a", "a_check", "b", "b_check", similarity.alias("similarity")).where(F.col("similarity") >= F.lit(threshold - 1e-12))
+    verified = materialize(verified, "verified")
     # each set by the smallest sample that has it; sets of superseded deliveries have no name
-    names = latest.groupBy("hash", "check").agg(F.min("sample_id").alias("id"))
+    names = materialize(latest.groupBy("hash", "check").agg(F.min("sample_id").alias("id")), "names")
     named = verified
     for side in ("a", "b"):
-        named = named.join(names.select(F.col("hash").alias(side), F.col("check").alias(f"{side}_check"), F.col("id").alias(f"{side}_id")), [side, f"{side}_check"])
+        known = names.select(F.col("hash").alias(side), F.col("check").alias(f"{side}_check"), F.col("id").alias(f"{side}_id"))
+        named = known.join(broadcast_if_small(named), [side, f"{side}_check"])
     links = named.select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b"), "similarity")
     links = materialize(links.distinct(), "links")
     roots = connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")))
