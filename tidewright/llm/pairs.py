@@ -51,12 +51,16 @@ def canonical(column: Column) -> Column:
 
 def _truncated(answer: Column, words: Column) -> Column:
     """Open code fence, open bracket, or an end in mid-sentence; an ending list or a few plain words are complete."""
-    text = F.regexp_replace(answer, r"[\s\p{Z}\p{Cf}]+$", "")
+    # every pattern is anchored or starts where a run starts, so long runs of blanks or marks stay linear
+    text = F.regexp_replace(answer, r"(?<![\s\p{Z}\p{Cf}])[\s\p{Z}\p{Cf}]+$", "")
+    lines = F.split(text, "\n")
+    last, before = F.element_at(lines, -1), F.coalesce(F.try_element_at(lines, F.lit(-2)), F.lit(""))
     open_fence = (F.size(F.split(text, _FENCE)) % 2) == 0
     open_bracket = text.rlike(r"(?<![:;=8])[(（\[{][^()（）\[\]{}]*$")
     dangling = text.rlike(r"[,;:，；：、(（\[{/\\=&+–—-]$") & (words >= 2)
     bare = text.rlike(r"[\p{L}\p{N}\p{M}]$") & (words > 5)
-    item = text.rlike(r"(?:^|\n)[ \t]*(?:[-*•]|\d+[.)])[ \t][^\n]*$") & ~text.rlike(r"\n?[ \t]*(?:[-*•]|\d+[.)])[ \t][^\n]*[.)）。!?][ \t]*\n[ \t]*(?:[-*•]|\d+[.)])[ \t][^\n]*$")
+    marker = r"^[ \t]*(?:[-*•]|\d+[.)])[ \t]"
+    item = last.rlike(marker) & ~(before.rlike(marker) & before.rlike(r"[.)）。!?][ \t]*$"))
     return open_fence | open_bracket | dangling | (bare & ~item)
 
 
