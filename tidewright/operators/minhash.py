@@ -191,6 +191,6 @@ def remove_near_duplicates(df: DataFrame, settings: Settings, order: list[str],
     ``order`` must name columns that together are unique (such as source order and row number). Records without tokens
     are never duplicates. The text itself is not shuffled before the last anti-join.
     """
-    named = df.withColumn("_id", F.struct(*order))
-    groups = near_duplicate_groups(named.select("_id", text), settings, "_id", text)
-    return named.join(groups.where("node <> root").select(F.col("node").alias("_id")), "_id", "left_anti").drop("_id")
+    named = df.withColumn("__record", F.struct(*order))
+    groups = near_duplicate_groups(named.select("__record", text), settings, "__record", text)
+    return named.join(groups.where("node <> root").select(F.col("node").alias("__record")), "__record", "left_anti").drop("__record")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidewright.functions.text import alphanumeric_ratio, squash, stable_id, token_count
 from tidewright.operators import blocks, decontam, generate, minhash, quality
 from tidewright.operators.adapt import Mapping, adapt
-from tidewright.runtime import latest_by
+from tidewright.runtime import latest_by, materialize, spread
 from tidewright.schema import default_signals, last_assistant, render_conversation
 from tidewright.sources.writers import shard_sizes
 
@@ -96,6 +96,11 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, text) on all cores, for work that takes long per row."""
+    return spread(_documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def normalize_text_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = adapt(_documents(spark, sf_dir), Mapping(source_name="documents", id_key="doc_id", text_key="text", keep_fields=["lang"]))
     return made.select("sample_id", "text", "answer", "source", F.col("metadata.lang").alias("lang"), "quality_signals.char_count", "quality_signals.message_count", "quality_signals.user_turn_count")
@@ -128,7 +133,7 @@ def alphanumeric_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def decontam_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = decontam.reference_index(table(spark, sf_dir, "benchmark"), EIGHT)
-    return decontam.scores(_documents(spark, sf_dir), index, EIGHT, "doc_id")
+    return decontam.scores(_texts(spark, sf_dir), index, EIGHT, "doc_id")
 
 
 def _decontam_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,17 +149,17 @@ def decontam_excluded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def minhash_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
-    signed = minhash.signatures_in_batches(_documents(spark, sf_dir), FEW, ["doc_id"])
+    signed = minhash.signatures_in_batches(_texts(spark, sf_dir), FEW, ["doc_id"])
     return signed.select("doc_id", F.array_join("_signature", ",").alias("signature"))
 
 
 def lsh_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    signed = minhash.signatures_in_batches(_documents(spark, sf_dir), FEW, ["doc_id"])
+    signed = minhash.signatures_in_batches(_texts(spark, sf_dir), FEW, ["doc_id"])
     return minhash.candidate_links(minhash.band_keys(signed, FEW, ["doc_id"]), "doc_id")
 
 
 def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.remove_near_duplicates(_documents(spark, sf_dir), FEW, ["doc_id"]).select("doc_id")
+    return minhash.remove_near_duplicates(_texts(spark, sf_dir), FEW, ["doc_id"]).select("doc_id")
 
 
 def shard_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,9 +215,11 @@ def callable_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pipeline_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows after each stage of a run over the documents: normalised, deduplicated, decontaminated, filtered."""
-    docs = adapt(_documents(spark, sf_dir), Mapping(source_name="documents", id_key="doc_id", text_key="text")).withColumn("doc_id", F.col("sample_id").cast("bigint"))
-    unique = minhash.remove_near_duplicates(docs, FEW, ["doc_id"])
-    clean = decontam.split_contaminated(decontam.annotate(unique, table(spark, sf_dir, "benchmark"), EIGHT), EIGHT)[0]
+    docs = adapt(_texts(spark, sf_dir), Mapping(source_name="documents", id_key="doc_id", text_key="text")).withColumn("doc_id", F.col("sample_id").cast("bigint"))
+    # each stage is counted and used by the next one, so it is written once
+    docs = materialize(docs, "normalized")
+    unique = materialize(minhash.remove_near_duplicates(docs, FEW, ["doc_id"]), "unique")
+    clean = materialize(decontam.split_contaminated(decontam.annotate(unique, table(spark, sf_dir, "benchmark"), EIGHT), EIGHT)[0], "clean")
     good = quality.enrich(clean, stats=False).where(quality.passes(quality.Limits(min_tokens=100, max_tokens=400, min_assistant_turns=0)))
     counted = [d.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("stage"), "rows") for n, d in (("normalized", docs), ("deduplicated", unique), ("decontaminated", clean), ("quality_filtered", good))]
     return counted[0].unionByName(counted[1]).unionByName(counted[2]).unionByName(counted[3])

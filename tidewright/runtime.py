@@ -78,6 +78,15 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan with fewer splits than the session has cores, dealt out to all of them; any other scan as it is.
+
+    For files of one row group. Only for scans: asking a plan with a shuffle for its partitions would run it.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def latest_by(df: DataFrame, key: str, order: str, columns: dict[str, Column]) -> DataFrame:
     """One row per non-null ``key``: the row with the greatest ``order``, ties broken by the greatest values.
 
