@@ -89,3 +89,10 @@ def test_merges_equal_the_library():
 def test_merges_equal_one_at_a_time(texts):
     ranks = bpe.ranks(bpe.vocabulary_path())
     assert ranks.count([t.encode() for t in texts]).tolist() == [ranks.count_one(t.encode()) for t in texts]
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.sampled_from([0, 0, 0, 0, 0, 0, 0, 1, 2, 255]), max_size=60), st.integers(0, 1500))
+def test_packed_segments(values, zeros):
+    piece = np.array([0] * zeros + values + [0] * (3 * zeros), np.uint8)
+    assert (sketches.unpack(sketches.pack(piece)) == piece).all()

@@ -123,9 +123,11 @@ def _choose(count: np.ndarray) -> np.ndarray:
     return value
 
 
-#: kind 0: token of a large set, 1: token of a small set, 2: subset of a small set.
-#: sizes holds the set's size and its shareable tokens (32 bits each), spot the place in the prefix, indexed and kind.
-_POSTINGS = "key bigint, hash bigint, sizes bigint, spot int, again boolean"
+#: spot holds the set's size and its shareable tokens (21 bits each), the place in the prefix (18 bits), whether the
+#: entry is in the index, and its kind (0: token of a large set, 1: token of a small set, 2: subset of a small set).
+_POSTINGS = "key bigint, hash bigint, spot bigint, again boolean"
+#: Sets beyond these sizes keep the bounds weaker: their index prefix is their probe prefix, their place counts as 0.
+MOST_SIZE, MOST_PLACE = (1 << 21) - 1, (1 << 18) - 1
 
 
 def _postings(df: DataFrame, size: int, threshold: float, cells: np.ndarray, repeats: np.ndarray, repeat_cells: int) -> DataFrame:
@@ -154,6 +156,7 @@ def _postings_of(s: Sets, threshold: float, table: np.ndarray, cells: int, again
     shared = K.per_doc(doc, s.docs)
     probe_need = np.ceil(threshold * s.size - 1e-9).astype(np.int64)
     index_need = np.ceil(2 * threshold / (1 + threshold) * s.size - 1e-9).astype(np.int64)
+    index_need = np.where(s.size < MOST_SIZE, index_need, probe_need)
     able = shared >= np.maximum(probe_need, 1)
     probe = np.where(able, np.minimum(shared, shared - probe_need + SUBSET), 0)
     index = np.where(able & (shared >= index_need), np.minimum(shared, shared - index_need + SUBSET), 0)
@@ -180,11 +183,11 @@ def _postings_of(s: Sets, threshold: float, table: np.ndarray, cells: int, again
         kinds.append(np.full(len(chosen) * len(combos), 2, np.int8))
         indexed.append((combos[:, -1][None] < index[chosen][:, None]).ravel())
     doc = np.concatenate(docs)
-    sizes = (s.size.astype(np.int64) << 32) | shared
-    spot = (np.concatenate(places) << 3) | (np.concatenate(indexed).astype(np.int64) << 2) | np.concatenate(kinds)
-    return pa.RecordBatch.from_arrays(
-        [_signed(np.concatenate(keys)), _signed(s.hash[doc]), pa.array(sizes[doc]), pa.array(spot.astype(np.int32)), pa.array(again[doc])], [f.split()[0] for f in _POSTINGS.split(", ")]
-    )
+    place = np.concatenate(places)
+    spot = (np.minimum(s.size, MOST_SIZE).astype(np.int64) << 39)[doc] | (np.minimum(shared, MOST_SIZE) << 18)[doc]
+    spot = (spot | np.where((place <= MOST_PLACE) & (s.size[doc] < MOST_SIZE), place, 0)) * 2 | np.concatenate(indexed)
+    spot = spot * 4 | np.concatenate(kinds)
+    return pa.RecordBatch.from_arrays([_signed(np.concatenate(keys)), _signed(s.hash[doc]), pa.array(spot), pa.array(again[doc])], [f.split()[0] for f in _POSTINGS.split(", ")])
 
 
 def _needed(threshold: float, a: Column, b: Column) -> Column:
@@ -195,14 +198,10 @@ def _candidates(postings: DataFrame, threshold: float) -> DataFrame:
     """(a, b): pairs of set hashes that share at least c prefix tokens and may reach the needed overlap."""
     once = postings.where("not again").drop("again").unionByName(postings.where("again").drop("again").distinct())
     indexed = F.col("spot").bitwiseAND(4) != 0
-    a = once.where(indexed).select("key", *[F.col(c).alias(f"a_{c}") for c in ("hash", "sizes", "spot")])
-    b = once.select("key", *[F.col(c).alias(f"b_{c}") for c in ("hash", "sizes", "spot")])
-    n, shared, place, kind = (
-        lambda x: F.shiftright(F.col(f"{x}_sizes"), 32),
-        lambda x: F.col(f"{x}_sizes").bitwiseAND((1 << 32) - 1),
-        lambda x: F.shiftright(F.col(f"{x}_spot"), 3),
-        lambda x: F.col(f"{x}_spot").bitwiseAND(3),
-    )
+    a = once.where(indexed).select("key", F.col("hash").alias("a_hash"), F.col("spot").alias("a_spot"))
+    b = once.select("key", F.col("hash").alias("b_hash"), F.col("spot").alias("b_spot"))
+    part = lambda x, shift, bits: F.shiftrightunsigned(F.col(f"{x}_spot"), shift).bitwiseAND((1 << bits) - 1)
+    n, shared, place, kind = (lambda x: part(x, 42, 21)), (lambda x: part(x, 21, 21)), (lambda x: part(x, 3, 18)), (lambda x: part(x, 0, 2))
     need = _needed(threshold, n("a"), n("b"))
     reach = F.least(shared("a") - place("a"), shared("b") - place("b")) + F.least(place("a"), place("b"))
     met = a.join(b, "key").where(

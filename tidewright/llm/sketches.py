@@ -25,12 +25,35 @@ def partition_id() -> int:
     return context.partitionId() if context else 0
 
 
+def pack(piece: np.ndarray) -> bytes:
+    """A segment as bytes: gaps and values of its filled cells while few are filled, else all cells."""
+    at = np.flatnonzero(piece)
+    if len(at) * 8 > len(piece):
+        return b"D" + zlib.compress(piece.tobytes(), 1)
+    gap = np.diff(at, prepend=-1) - 1
+    wide = gap // 255  # a gap is as many 255s as go into it, then the rest
+    coded = np.full(len(at) + int(wide.sum()), 255, np.uint8)
+    coded[np.cumsum(wide + 1) - 1] = gap % 255
+    return b"S" + len(piece).to_bytes(4, "big") + len(coded).to_bytes(4, "big") + zlib.compress(coded.tobytes() + piece[at].tobytes(), 6)
+
+
+def unpack(packed: bytes) -> np.ndarray:
+    if packed[:1] == b"D":
+        return np.frombuffer(zlib.decompress(packed[1:]), np.uint8)
+    piece = np.zeros(int.from_bytes(packed[1:5], "big"), np.uint8)
+    size = int.from_bytes(packed[5:9], "big")
+    both = np.frombuffer(zlib.decompress(packed[9:]), np.uint8)
+    ends = np.flatnonzero(both[:size] != 255)
+    piece[np.cumsum(both[:size].astype(np.int64))[ends] + np.arange(len(ends))] = both[size:]
+    return piece
+
+
 def emit(cells: np.ndarray, part: int) -> Iterator[pa.RecordBatch]:
     """The non-empty segments of a one-byte sketch, compressed."""
     for segment in range(0, len(cells), SEGMENT):
         piece = cells[segment : segment + SEGMENT]
         if piece.any():
-            packed = zlib.compress(piece.tobytes(), 1)
+            packed = pack(piece)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([segment // SEGMENT], pa.int32()), pa.array([packed], pa.binary())], ["part", "segment", "payload"]
             )
@@ -42,9 +65,9 @@ def merge(partials: DataFrame, combine: Callable[[np.ndarray, np.ndarray], np.nd
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         total = None
         for payload in pdf["payload"]:
-            piece = np.frombuffer(zlib.decompress(payload), np.uint8)
+            piece = unpack(payload)
             total = piece if total is None else combine(total, piece)
-        return pd.DataFrame({"part": [int(pdf["part"].iloc[0]) // FAN_IN], "segment": [int(pdf["segment"].iloc[0])], "payload": [zlib.compress(total.tobytes(), 1)]})
+        return pd.DataFrame({"part": [int(pdf["part"].iloc[0]) // FAN_IN], "segment": [int(pdf["segment"].iloc[0])], "payload": [pack(total)]})
 
     while True:
         partials = partials.groupBy("segment", F.floor(F.col("part") / FAN_IN).alias("_group")).applyInPandas(fold, SCHEMA)
@@ -57,7 +80,7 @@ def gather(merged: DataFrame, size: int) -> np.ndarray:
     """The merged sketch on the driver: ``size`` one-byte cells, however many rows it was built from."""
     cells = np.zeros(size, np.uint8)
     for row in merged.select("segment", "payload").toLocalIterator():
-        piece = np.frombuffer(zlib.decompress(row["payload"]), np.uint8)
+        piece = unpack(row["payload"])
         cells[row["segment"] * SEGMENT : row["segment"] * SEGMENT + len(piece)] = piece
     return cells
 
