@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.functions.text import ngram_hashes, words
-from tidewright.runtime import broadcast_if_small
+from tidewright.runtime import broadcast_if_small, materialize
 from tidewright.schema import with_signals
 
 #: Reference n-grams that may be broadcast: 8 bytes each, so 1 million take 8 MB (32 MB as a hash table).
@@ -38,26 +38,23 @@ def reference_index(references: DataFrame, rules: Rules, text: str = "text") ->
     return references.select(F.explode(grams(F.col(text), rules)).alias("gram")).distinct()
 
 
-def scores(df: DataFrame, index: DataFrame, rules: Rules, key: str, text: str = "text") -> DataFrame:
-    """(key, matched, total, ratio) of every row; a text without n-grams has (0, 0, 0.0).
+def _matches(df: DataFrame, index: DataFrame, rules: Rules, key: str, text: str) -> DataFrame:
+    """(key, matched, total) of every key, in one pass over the texts.
 
-    Only texts travel as far as their own n-grams: the index is joined to the exploded n-grams (broadcast while its
-    counted size allows, else by shuffle), and matches are summed per key. A key's rows must be unique.
+    The n-grams are exploded and looked up in the index (broadcast while its counted size allows, else by shuffle); a
+    partial aggregate folds each text back to one row before anything is shuffled by key.
     """
-    split = df.select(F.col(key).alias("_key"), grams(F.col(text), rules).alias("_grams"))
     known = broadcast_if_small(index.withColumn("_hit", F.lit(1)), BROADCAST_NGRAMS)
-    matched = (
-        split.select("_key", F.explode("_grams").alias("gram"))
-        .join(known, "gram")
-        .groupBy("_key")
-        .agg(F.count(F.lit(1)).cast("int").alias("matched"))
-    )
-    sized = split.select("_key", F.size("_grams").alias("total"))
-    # null keys compare as equal here, so their rows keep a score as well
-    joined = sized.alias("s").join(matched.alias("m"), F.col("s._key").eqNullSafe(F.col("m._key")), "left")
-    hit = F.coalesce(F.col("m.matched"), F.lit(0))
-    ratio = F.when(F.col("s.total") > 0, hit / F.col("s.total")).otherwise(F.lit(0.0))
-    return joined.select(F.col("s._key").alias(key), hit.alias("matched"), F.col("s.total").alias("total"), ratio.alias("ratio"))
+    split = df.select(key, grams(F.col(text), rules).alias("_grams"))
+    looked_up = split.select(key, F.size("_grams").alias("_total"), F.explode_outer("_grams").alias("gram")).join(known, "gram", "left")
+    return looked_up.groupBy(key).agg(F.count("_hit").cast("int").alias("matched"), F.max("_total").alias("total"))
+
+
+def scores(df: DataFrame, index: DataFrame, rules: Rules, key: str, text: str = "text") -> DataFrame:
+    """(key, matched, total, ratio) of every key; a text without n-grams has (0, 0, 0.0). Keys must be unique, null is a key."""
+    found = _matches(df, index, rules, key, text)
+    ratio = F.when(F.col("total") > 0, F.col("matched") / F.col("total")).otherwise(F.lit(0.0))
+    return found.select(key, "matched", "total", ratio.alias("ratio"))
 
 
 def keeps(rules: Rules, matched: Column, ratio: Column) -> Column:
@@ -68,26 +65,18 @@ def keeps(rules: Rules, matched: Column, ratio: Column) -> Column:
 def annotate(df: DataFrame, references: DataFrame, rules: Rules) -> DataFrame:
     """Set the contamination signals of standard records. An empty reference leaves them as they are.
 
-    Rows are told apart by a generated number, so repeated and null sample ids do no harm.
+    Rows are told apart by a generated number, so repeated and null sample ids do no harm; the numbers are written
+    once, since a second evaluation could number the rows differently.
     """
-    index = reference_index(references, rules)
+    index = materialize(reference_index(references, rules), "grams")
     if index.isEmpty():
         return df
-    numbered = df.withColumn("_row", F.monotonically_increasing_id())
-    split = numbered.withColumn("_grams", grams(F.col("text"), rules))
-    known = broadcast_if_small(index.withColumn("_hit", F.lit(1)), BROADCAST_NGRAMS)
-    matched = split.select("_row", F.explode("_grams").alias("gram")).join(known, "gram").groupBy("_row").agg(F.count(F.lit(1)).alias("_matched"))
-    joined = split.join(matched, "_row", "left").withColumn("_matched", F.coalesce("_matched", F.lit(0)))
-    total = F.size("_grams")
-    signals = with_signals(
-        F.col("quality_signals"),
-        {
-            "contamination_ratio": F.when(total > 0, F.col("_matched") / total).otherwise(F.lit(0.0)),
-            "contamination_matched_ngrams": F.col("_matched"),
-            "contamination_total_ngrams": total,
-        },
-    )
-    return joined.withColumn("quality_signals", signals).drop("_row", "_grams", "_matched")
+    numbered = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    found = _matches(numbered, index, rules, "_row", "text")
+    joined = numbered.join(found, "_row")
+    ratio = F.when(F.col("total") > 0, F.col("matched") / F.col("total")).otherwise(F.lit(0.0))
+    changes = {"contamination_ratio": ratio, "contamination_matched_ngrams": F.col("matched"), "contamination_total_ngrams": F.col("total")}
+    return joined.withColumn("quality_signals", with_signals(F.col("quality_signals"), changes)).drop("_row", "matched", "total")
 
 
 def split_contaminated(df: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame]:
