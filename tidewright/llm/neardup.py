@@ -126,7 +126,8 @@ def _choose(count: np.ndarray) -> np.ndarray:
 #: spot holds the set's size and its shareable tokens (21 bits each), the place in the prefix (18 bits), whether the
 #: entry is in the index, and its kind (0: token of a large set, 1: token of a small set, 2: subset of a small set).
 _POSTINGS = "key bigint, hash bigint, spot bigint, again boolean"
-#: Sets beyond these sizes keep the bounds weaker: their index prefix is their probe prefix, their place counts as 0.
+#: Entries beyond these sizes are held to weaker bounds: the index prefix of such a set is its probe prefix, and what
+#: depends on exact sizes and places is not asked of it.
 MOST_SIZE, MOST_PLACE = (1 << 21) - 1, (1 << 18) - 1
 
 
@@ -185,7 +186,7 @@ def _postings_of(s: Sets, threshold: float, table: np.ndarray, cells: int, again
     doc = np.concatenate(docs)
     place = np.concatenate(places)
     spot = (np.minimum(s.size, MOST_SIZE).astype(np.int64) << 39)[doc] | (np.minimum(shared, MOST_SIZE) << 18)[doc]
-    spot = (spot | np.where((place <= MOST_PLACE) & (s.size[doc] < MOST_SIZE), place, 0)) * 2 | np.concatenate(indexed)
+    spot = (spot | np.minimum(place, MOST_PLACE)) * 2 | np.concatenate(indexed)
     spot = spot * 4 | np.concatenate(kinds)
     return pa.RecordBatch.from_arrays([_signed(np.concatenate(keys)), _signed(s.hash[doc]), pa.array(spot), pa.array(again[doc])], [f.split()[0] for f in _POSTINGS.split(", ")])
 
@@ -203,12 +204,17 @@ def _candidates(postings: DataFrame, threshold: float) -> DataFrame:
     part = lambda x, shift, bits: F.shiftrightunsigned(F.col(f"{x}_spot"), shift).bitwiseAND((1 << bits) - 1)
     n, shared, place, kind = (lambda x: part(x, 42, 21)), (lambda x: part(x, 21, 21)), (lambda x: part(x, 3, 18)), (lambda x: part(x, 0, 2))
     need = _needed(threshold, n("a"), n("b"))
+    # c matches must lie within both prefixes, around this one
+    ends = lambda x, share: F.least(shared(x), shared(x) - F.ceil(F.lit(share) * n(x) - F.lit(1e-9)) + SUBSET)
+    index_end = F.when(n("a") < MOST_SIZE, ends("a", 2 * threshold / (1 + threshold))).otherwise(ends("a", threshold))
+    around = F.least(index_end - place("a"), ends("b", threshold) - place("b")) + F.least(place("a"), place("b"))
+    whole = (n("a") < MOST_SIZE) & (n("b") < MOST_SIZE) & (place("a") < MOST_PLACE) & (place("b") < MOST_PLACE)
     reach = F.least(shared("a") - place("a"), shared("b") - place("b")) + F.least(place("a"), place("b"))
     met = a.join(b, "key").where(
         ((n("a") < n("b")) | ((n("a") == n("b")) & (F.col("a_hash") < F.col("b_hash"))))
         & (((kind("a") == 2) & (kind("b") == 2)) | ((kind("a") < 2) & (kind("b") < 2) & (kind("a") + kind("b") < 2)))
         & (F.least(shared("a"), shared("b")) >= need)
-        & (reach >= need)
+        & (~whole | ((reach >= need) & ((kind("a") == 2) | (around >= F.least(F.lit(SUBSET), need)))))
     )
     # tiny sets need fewer than c tokens; weights that add up to WHOLE for whatever is needed save a column
     weight = F.when(kind("a") == 2, F.lit(WHOLE)).when(need >= SUBSET, F.lit(WHOLE // SUBSET)).otherwise(F.ceil(F.lit(WHOLE) / need))
@@ -278,7 +284,8 @@ def near_duplicates(
     left = sets.select(F.col("hash").alias("a"), F.col("check").alias("a_check"), F.col("tokens").alias("a_tokens"))
     right = sets.select(F.col("hash").alias("b"), F.col("check").alias("b_check"), F.col("tokens").alias("b_tokens"))
     # few pairs go to the sets, many are shuffled to them
-    both = left.join(broadcast_if_small(pairs), "a").join(right, "b").withColumn("_common", F.size(F.array_intersect("a_tokens", "b_tokens")))
+    sent = broadcast_if_small(pairs)
+    both = left.join(sent, "a").join(right.join(sent, "b"), ["a", "b"]).withColumn("_common", F.size(F.array_intersect("a_tokens", "b_tokens")))
     similarity = F.col("_common") / (F.size("a_tokens") + F.size("b_tokens") - F.col("_common"))
     verified = both.select("a", "a_check", "b", "b_check", similarity.alias("similarity")).where(F.col("similarity") >= F.lit(threshold - 1e-12))
     verified = materialize(verified, "verified")
@@ -294,8 +301,8 @@ def near_duplicates(
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("links"))
     classes = (
         latest.join(names, ["hash", "check"])
-        .join(roots.withColumnRenamed("node", "id"), "id", "left")
-        .join(degree, "id", "left")
+        .join(broadcast_if_small(roots.withColumnRenamed("node", "id")), "id", "left")
+        .join(broadcast_if_small(degree), "id", "left")
         .select("sample_id", F.coalesce("root", "id").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
     )
     return classes, links
@@ -304,7 +311,7 @@ def near_duplicates(
 def class_pairs(classes: DataFrame) -> DataFrame:
     """(sample_id_a, sample_id_b): all pairs, smaller id first, of samples in the same class."""
     several = classes.groupBy("class_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("class_id")
-    members = classes.join(several, "class_id").select("class_id", "sample_id")
+    members = classes.join(broadcast_if_small(several), "class_id").select("class_id", "sample_id")
     a = members.select("class_id", F.col("sample_id").alias("sample_id_a"))
     b = members.select("class_id", F.col("sample_id").alias("sample_id_b"))
     return a.join(b, "class_id").where("sample_id_a < sample_id_b").select("sample_id_a", "sample_id_b")
