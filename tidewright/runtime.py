@@ -55,19 +55,31 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     path = f"{shared_dir(spark)}/tidewright-{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._written_path = path
+    return table
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    try:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    except Exception:  # the session may be gone already
+        pass
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of :func:`materialize` that nothing reads any more: all that was made of them has been written."""
+    for table in tables:
+        entry = (table.sparkSession, table._written_path)
+        _written.remove(entry)
+        _delete(*entry)
 
 
 def release() -> None:
     """Delete the tables written by :func:`materialize`; called at exit as well."""
     while _written:
-        spark, path = _written.pop()
-        try:
-            jvm = spark.sparkContext._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-        except Exception:  # the session may be gone already
-            pass
+        _delete(*_written.pop())
 
 
 atexit.register(release)
