@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tidewright.llm import kernels as K
 from tidewright.llm import sketches
 from tidewright.operators.components import connected_components
-from tidewright.runtime import broadcast_if_small, latest_by, materialize
+from tidewright.runtime import broadcast_if_small, discard, latest_by, materialize
 
 #: Fixed size c of the enumerated subsets, and of the overlap that inverted lists must reach.
 SUBSET = 4
@@ -279,6 +279,7 @@ def near_duplicates(
     repeats = sketches.repeat_filter(docs.where("n > 0"), ["hash"], repeat_cells)
     postings = materialize(_postings(only, size, threshold, cells, repeats, repeat_cells), "postings")
     pairs = materialize(_candidates(postings, threshold), "pairs")
+    discard(postings, scanned)  # the sketches are merged, documents and pairs are written
     wanted = pairs.select(F.col("a").alias("hash")).unionByName(pairs.select(F.col("b").alias("hash"))).distinct()
     sets = _sets_of(only, size, wanted, repeats, repeat_cells)
     left = sets.select(F.col("hash").alias("a"), F.col("check").alias("a_check"), F.col("tokens").alias("a_tokens"))
