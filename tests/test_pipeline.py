@@ -50,7 +50,7 @@ def test_golden_run(spark, tmp_path):
     assert shards == {"normalized": [2, 1], "cleaned": [1]}
     assert missing_artifacts(str(tmp_path / "out/monitoring")) == [] and os.path.exists(tmp_path / "out/report/report.html")
     metrics = open(tmp_path / "out/monitoring/pipeline_metrics.prom").read()
-    assert 'agent_pipeline_stage_rows{job="agent_posttrain_pipeline",stage="deduplicated"} 2' in metrics and "agent_pipeline_run_success" in metrics
+    assert 'agent_pipeline_stage_rows{job="tidewright",stage="deduplicated"} 2' in metrics and "agent_pipeline_run_success" in metrics
     assert json.load(open(tmp_path / "out/pipeline_summary.json"))["row_count"] == 1
 
 

@@ -30,7 +30,7 @@ class Report:
 class Monitoring:
     enabled: bool = True
     output_dir: str | None = None
-    job_name: str = "agent_posttrain_pipeline"
+    job_name: str = "tidewright"
     emit_json: bool = True
     emit_prometheus_text: bool = True
     labels: dict[str, str] = field(default_factory=dict)
@@ -40,7 +40,7 @@ class Monitoring:
 class Runtime:
     #: Kept for the format; Spark's own parallelism is used.
     num_proc: int = 1
-    work_dir: str = "outputs/agent_posttrain_pipeline"
+    work_dir: str = "outputs/tidewright"
     #: Write every stage to the shared folder, so that its duration means something and nothing is computed twice.
     materialize_stages: bool = True
     #: Make the export one file at exactly its path (small results only).

@@ -27,7 +27,7 @@ class Sharding:
 
 @dataclass
 class Export:
-    path: str = "outputs/agent_posttrain_pipeline/cleaned_agent_data.parquet"
+    path: str = "outputs/tidewright/cleaned.parquet"
     export_type: str | None = None
     export_shard_size: int = 0
     export_stats: bool = True
