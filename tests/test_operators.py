@@ -138,3 +138,14 @@ def test_brute_force_near_duplicates_share_a_group(spark):
         if len(shingle[a] & shingle[b]) / len(shingle[a] | shingle[b]) > 0.95:
             assert groups[a] == groups[b]
     assert 2 not in groups
+
+
+def test_a_chance_collision_as_smallest_member_loses_no_link(spark, monkeypatch):
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(words[:55][::-1]), " ".join(words), " ".join([*words, "x"])]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    made = minhash.set_keys
+    # all three share their only bucket; 0 is unlike the others, which are alike
+    monkeypatch.setattr(minhash, "set_keys", lambda *a: made(*a).withColumn("keys", F.array(F.lit(7).cast("bigint"))))
+    groups = {r["node"]: r["root"] for r in minhash.near_duplicate_groups(df, minhash.Settings(verify=True), "id").collect()}
+    assert groups == {1: 1, 2: 1}

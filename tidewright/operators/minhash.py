@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
@@ -17,6 +17,10 @@ from tidewright.runtime import materialize
 
 #: Modulus of the permutations (a * h + c) mod PRIME; hashes and coefficients stay below it, products within 64 bits.
 PRIME = (1 << 31) - 1
+#: Probability with which a pair right at the threshold may share no band where candidates are verified.
+MISS = 1e-8
+#: Shingles whose permutations are computed at once (they stay in the cache).
+AT_ONCE = 1 << 16
 
 
 @dataclass
@@ -29,7 +33,7 @@ class Settings:
     tokenizer_model: str | None = None
     num_permutations: int = 256
     jaccard_threshold: float = 0.8
-    #: Verify candidates by the share of equal signature entries (an estimate of their similarity).
+    #: Verify candidates on their shingle sets; without it all records that share a band are duplicates.
     verify: bool = False
     #: Seed of the permutations, and bands and rows per band where they are not to be chosen by the threshold.
     seed: int = 1
@@ -54,6 +58,16 @@ def optimal_bands(threshold: float, permutations: int, steps: int = 200) -> tupl
     return chosen
 
 
+def recall_bands(threshold: float, permutations: int) -> tuple[int, int]:
+    """(bands, rows) of the most rows with which a pair at the threshold is missed with probability MISS at most.
+
+    51 x 5 at 0.8 and 256 permutations. Should the permutations be too few for MISS, rows are 1.
+    """
+    fits = (r for r in range(permutations, 0, -1) if (1 - threshold**r) ** (permutations // r) <= MISS)
+    rows = next(fits, 1)
+    return permutations // rows, rows
+
+
 def tokens(text: Column, settings: Settings) -> Column:
     """Tokens by the chosen way: words between blanks, words and marks, characters, or sentencepiece pieces."""
     source = F.coalesce(text, F.lit(""))
@@ -153,6 +167,8 @@ def signatures_in_batches(df: DataFrame, settings: Settings, keep: list[str], te
 def bands(settings: Settings) -> tuple[int, int]:
     if settings.bands and settings.rows:
         return settings.bands, settings.rows
+    if settings.verify:
+        return recall_bands(settings.jaccard_threshold, settings.num_permutations)
     return optimal_bands(settings.jaccard_threshold, settings.num_permutations)
 
 
@@ -173,16 +189,101 @@ def candidate_links(keyed: DataFrame, identity: str) -> DataFrame:
     return keyed.join(least, ["band", "key"]).where(F.col(identity) != F.col("src")).select("src", F.col(identity).alias("dst")).distinct()
 
 
+def _mix(x: np.ndarray) -> np.ndarray:
+    """Finaliser of splitmix64."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def shingle_hashes(text: Column, settings: Settings) -> Column:
+    """The shingle set as 64-bit hashes."""
+    return F.transform(shingles(text, settings), lambda s: F.xxhash64(s))
+
+
+def set_keys(df: DataFrame, settings: Settings, identity: str, text: str = "text") -> DataFrame:
+    """(identity, n, d1, d2, keys) of every non-empty shingle set: its size, its digest of 128 bits and a key per band."""
+    number, rows = bands(settings)
+    hashed = df.select(identity, shingle_hashes(F.col(text), settings).alias("_hashes"))
+    kind = hashed.schema.fields[0].dataType.simpleString()
+    pairs = coefficients(number * rows, settings.seed)
+
+    def run(batches):
+        for batch in batches:
+            column = batch.column(1)
+            values = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            sizes = np.diff(column.offsets.to_numpy())
+            filled = np.flatnonzero(sizes)
+            if not len(filled):
+                continue
+            ends = np.cumsum(sizes)[filled]
+            starts = ends - sizes[filled]
+            keys = np.empty((len(filled), number), np.uint64)
+            for part in np.split(np.arange(len(filled)), np.flatnonzero(np.diff(starts // AT_ONCE)) + 1):
+                base, at = (values[starts[part[0]] : ends[part[-1]]] >> np.uint64(33)).astype(np.int64), starts[part] - starts[part[0]]
+                least = np.empty((number * rows, len(part)), np.int64)
+                for k, (a, c) in enumerate(pairs):
+                    x = a * base + c
+                    x = (x & PRIME) + (x >> 31)  # congruent modulo PRIME
+                    least[k] = np.minimum.reduceat((x & PRIME) + (x >> 31), at)
+                by_band = least.astype(np.uint64).reshape(number, rows, len(part))
+                key = np.repeat(np.arange(number, dtype=np.uint64)[:, None], len(part), axis=1)
+                for r in range(rows):
+                    key = _mix(key * np.uint64(0x9E3779B97F4A7C15) + by_band[:, r])
+                keys[part] = key.T
+            digests = [np.add.reduceat(_mix(values ^ np.uint64(salt)), starts).view(np.int64) for salt in (0, 0x5851F42D4C957F2D)]
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(filled) + 1, dtype=np.int32) * number), pa.array(keys.view(np.int64).ravel()))
+            columns = [batch.column(0).take(pa.array(filled)), pa.array(sizes[filled].astype(np.int32)), *map(pa.array, digests), lists]
+            yield pa.RecordBatch.from_arrays(columns, [identity, "n", "d1", "d2", "keys"])
+
+    return hashed.mapInArrow(run, f"`{identity}` {kind}, n int, d1 bigint, d2 bigint, keys array<bigint>")
+
+
+def verified_links(df: DataFrame, settings: Settings, identity: str, text: str = "text") -> DataFrame:
+    """(src, dst): links whose components are those of all pairs that share a band and reach the threshold.
+
+    Records of equal sets collapse to one first. Of every bucket the members are compared with its smallest one; what
+    that leaves in different components of a bucket is then compared pair by pair, so a smallest member that is no
+    duplicate costs no link. Pairs are compared on whole shingle sets, never by an estimate. Buckets of many records
+    that are alike but under the threshold cost the square of their components.
+    """
+    least_share = F.lit(settings.jaccard_threshold)
+    base = materialize(set_keys(df, settings, identity, text), "set_keys")
+    same = base.groupBy("n", "d1", "d2").agg(F.min(identity).alias("src"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    copies = materialize(base.select(identity, "n", "d1", "d2").join(same, ["n", "d1", "d2"]).where(F.col(identity) != F.col("src")).select("src", F.col(identity).alias("dst")), "copies")
+    single = base.join(copies.select(F.col("dst").alias(identity)), identity, "left_anti")
+    bucket = Window.partitionBy("key")
+    keyed = single.select(identity, "n", F.explode("keys").alias("key"))
+    keyed = keyed.select("*", F.min(F.struct(F.col(identity).alias("id"), "n")).over(bucket).alias("_least"), F.count(F.lit(1)).over(bucket).alias("_n"))
+    members = materialize(keyed.where("_n > 1").drop("_n"), "members")
+    sets = materialize(df.join(members.select(identity).distinct(), identity, "left_semi").select(identity, shingle_hashes(F.col(text), settings).alias("_set")), "candidate_sets")
+
+    def sized(a: str, b: str) -> Column:  # similarity is at most the ratio of the sizes
+        return F.least(a, b) / F.greatest(a, b) >= least_share
+
+    def holding(pairs: DataFrame) -> DataFrame:
+        found = pairs.join(sets.select(F.col(identity).alias("src"), F.col("_set").alias("_a")), "src").join(sets.select(F.col(identity).alias("dst"), F.col("_set").alias("_b")), "dst")
+        found = found.select("src", "dst", F.size(F.array_intersect("_a", "_b")).alias("_both"), (F.size("_a") + F.size("_b")).alias("_sum"))
+        return found.where(F.col("_both") / (F.col("_sum") - F.col("_both")) >= least_share).select("src", "dst")
+
+    stars = members.where((F.col(identity) != F.col("_least.id")) & sized("n", "_least.n")).select(F.col("_least.id").alias("src"), F.col(identity).alias("dst")).distinct()
+    first = materialize(holding(stars), "links")
+    parts = connected_components(first).select(F.col("node").alias(identity), F.col("root").alias("_part"))
+    placed = members.join(parts, identity, "left").select("key", F.col(identity).alias("id"), "n", F.coalesce("_part", identity).alias("part"))
+    apart = placed.select("*", F.min("part").over(bucket).alias("_low"), F.max("part").over(bucket).alias("_high")).where("_low <> _high")
+    apart = materialize(apart.select("key", "id", "n", "part"), "apart")
+    a, b = (apart.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("id", "n", "part")]) for side in "ab")
+    crossing = a.join(b, "key").where((F.col("id_a") < F.col("id_b")) & (F.col("part_a") != F.col("part_b")) & sized("n_a", "n_b"))
+    second = holding(crossing.select(F.col("id_a").alias("src"), F.col("id_b").alias("dst")).distinct())
+    return first.unionByName(second).unionByName(copies)
+
+
 def near_duplicate_groups(df: DataFrame, settings: Settings, identity: str, text: str = "text") -> DataFrame:
     """(node, root) of all records that are linked to another one; ``identity`` must be unique and ordered."""
-    signed = materialize(signatures_in_batches(df, settings, [identity], text), "signatures")
-    links = candidate_links(band_keys(signed, settings, [identity]), identity)
     if settings.verify:
-        a = signed.select(F.col(identity).alias("src"), F.col("_signature").alias("_a"))
-        b = signed.select(F.col(identity).alias("dst"), F.col("_signature").alias("_b"))
-        equal = F.size(F.filter(F.zip_with("_a", "_b", lambda x, y: x == y), lambda e: e))
-        links = links.join(a, "src").join(b, "dst").where(equal >= F.lit(settings.jaccard_threshold) * settings.num_permutations).select("src", "dst")
-    return connected_components(links)
+        return connected_components(verified_links(df, settings, identity, text))
+    signed = materialize(signatures_in_batches(df, settings, [identity], text), "signatures")
+    return connected_components(candidate_links(band_keys(signed, settings, [identity]), identity))
 
 
 def remove_near_duplicates(df: DataFrame, settings: Settings, order: list[str], text: str = "text") -> DataFrame:
