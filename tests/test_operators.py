@@ -140,6 +140,35 @@ def test_brute_force_near_duplicates_share_a_group(spark):
     assert 2 not in groups
 
 
+def _jaccard(a, b):
+    return len(a & b) / len(a | b)
+
+
+def test_default_bands_miss_no_pair_at_the_threshold():
+    bands, rows = minhash.bands(minhash.Settings())
+    assert (bands, rows) == (51, 5) and (1 - 0.8**rows) ** bands < 1e-8
+    assert minhash.bands(minhash.Settings(verify=False)) == (17, 15)
+
+
+def test_default_groups_equal_brute_force_around_the_threshold(spark):
+    words = [f"w{i}" for i in range(120)]
+    texts = {0: words}
+    for k in range(1, 24):  # chains and stars of similarities from 0.6 to 1
+        texts[k] = words[: 60 + k * 2] + [f"x{k // 3}_{i}" for i in range(k % 4 * 6)] + words[60 + k * 2 + k % 5 * 3 :]
+    texts |= {24: words, 25: [], 26: ["few", "words"], 27: ["few", "words"]}
+    shingle = {k: {" ".join(v[i : i + 5]) for i in range(max(1, len(v) - 4))} for k, v in texts.items() if v}
+    root = {k: k for k in texts}
+    for a, b in itertools.combinations(sorted(shingle), 2):
+        if _jaccard(shingle[a], shingle[b]) >= 0.8 and root[a] != root[b]:
+            low, high = sorted((root[a], root[b]))
+            root = {k: low if r == high else r for k, r in root.items()}
+    similar = [_jaccard(shingle[a], shingle[b]) for a, b in itertools.combinations(sorted(shingle), 2)]
+    assert sum(0.75 < s < 0.8 for s in similar) and sum(0.8 <= s < 0.85 for s in similar)
+    df = spark.createDataFrame([(k, " ".join(v)) for k, v in texts.items()], "id int, text string")
+    kept = sorted(r["id"] for r in minhash.remove_near_duplicates(df, minhash.Settings(), ["id"]).collect())
+    assert kept == sorted(k for k, r in root.items() if r == k)
+
+
 def test_a_chance_collision_as_smallest_member_loses_no_link(spark, monkeypatch):
     words = [f"w{i}" for i in range(60)]
     texts = [" ".join(words[:55][::-1]), " ".join(words), " ".join([*words, "x"])]

@@ -34,7 +34,7 @@ class Settings:
     num_permutations: int = 256
     jaccard_threshold: float = 0.8
     #: Verify candidates on their shingle sets; without it all records that share a band are duplicates.
-    verify: bool = False
+    verify: bool = True
     #: Seed of the permutations, and bands and rows per band where they are not to be chosen by the threshold.
     seed: int = 1
     bands: int | None = None

@@ -17,7 +17,7 @@ from tidewright.sources.writers import shard_sizes
 #: Turns of one record: a longer conversation becomes several records, so that no row grows without bound.
 TURNS_PER_RECORD = 200
 #: Settings of the queries on near-duplicates: few permutations, since SQL has to follow.
-FEW = minhash.Settings(num_permutations=16, window_size=5, bands=4, rows=4, seed=1)
+FEW = minhash.Settings(num_permutations=16, window_size=5, bands=4, rows=4, seed=1, verify=False)
 #: Rules of the queries on decontamination.
 EIGHT = decontam.Rules(enabled=True, ngram_size=8, max_contamination_ratio=0.05)
 LIMITS = quality.Limits(min_tokens=200, max_tokens=100_000, min_turns=2, min_assistant_turns=1)
