@@ -18,6 +18,8 @@ from tidewright.sources.writers import shard_sizes
 TURNS_PER_RECORD = 200
 #: Settings of the queries on near-duplicates: few permutations, since SQL has to follow.
 FEW = minhash.Settings(num_permutations=16, window_size=5, bands=4, rows=4, seed=1, verify=False)
+#: Settings of a run: 256 permutations, candidates verified on their shingle sets at 0.8.
+PRODUCTION = minhash.Settings()
 #: Rules of the queries on decontamination.
 EIGHT = decontam.Rules(enabled=True, ngram_size=8, max_contamination_ratio=0.05)
 LIMITS = quality.Limits(min_tokens=200, max_tokens=100_000, min_turns=2, min_assistant_turns=1)
@@ -162,6 +164,11 @@ def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.remove_near_duplicates(_texts(spark, sf_dir), FEW, ["doc_id"]).select("doc_id")
 
 
+def near_dedup_production(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate removal as a run does it; ``near_dedup`` shows the bands alone, unverified."""
+    return minhash.remove_near_duplicates(_texts(spark, sf_dir), PRODUCTION, ["doc_id"]).select("doc_id")
+
+
 def shard_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_sizes(_documents(spark, sf_dir), 128, "doc_id")
 
@@ -213,23 +220,32 @@ def callable_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("item_id", "augmentation.generated_answer", "augmentation.model", "augmentation.error")
 
 
-def pipeline_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows after each stage of a run over the documents: normalised, deduplicated, decontaminated, filtered."""
+def _stage_counts(spark: SparkSession, sf_dir: str, dedup: minhash.Settings) -> DataFrame:
     docs = adapt(_texts(spark, sf_dir), Mapping(source_name="documents", id_key="doc_id", text_key="text")).withColumn("doc_id", F.col("sample_id").cast("bigint"))
     # each stage is counted and used by the next one, so it is written once
     docs = materialize(docs, "normalized")
-    unique = materialize(minhash.remove_near_duplicates(docs, FEW, ["doc_id"]), "unique")
+    unique = materialize(minhash.remove_near_duplicates(docs, dedup, ["doc_id"]), "unique")
     clean = materialize(decontam.split_contaminated(decontam.annotate(unique, table(spark, sf_dir, "benchmark"), EIGHT), EIGHT)[0], "clean")
     good = quality.enrich(clean, stats=False).where(quality.passes(quality.Limits(min_tokens=100, max_tokens=400, min_assistant_turns=0)))
     counted = [d.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("stage"), "rows") for n, d in (("normalized", docs), ("deduplicated", unique), ("decontaminated", clean), ("quality_filtered", good))]
     return counted[0].unionByName(counted[1]).unionByName(counted[2]).unionByName(counted[3])
 
 
+def pipeline_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows after each stage of a run over the documents: normalised, deduplicated, decontaminated, filtered."""
+    return _stage_counts(spark, sf_dir, FEW)
+
+
+def pipeline_stage_counts_production(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with near-duplicates removed as a run does it."""
+    return _stage_counts(spark, sf_dir, PRODUCTION)
+
+
 _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     normalize_conversations, turn_signals, last_assistant_answer, quality_filter, prompt_response_adapter, sft_export, token_counter, render_prompt,
     normalize_text_source, stable_sample_id, union_sources, token_counts, token_summary, alphanumeric_filter, decontam_score, decontam_filter, decontam_excluded,
-    minhash_signature, lsh_candidates, near_dedup, shard_manifest, numeric_filter_threshold, numeric_filter_percentile, metadata_stats, sample_num,
-    judge_parse, judge_filter, judge_summary, callable_generation, pipeline_stage_counts,
+    minhash_signature, lsh_candidates, near_dedup, near_dedup_production, shard_manifest, numeric_filter_threshold, numeric_filter_percentile, metadata_stats, sample_num,
+    judge_parse, judge_filter, judge_summary, callable_generation, pipeline_stage_counts, pipeline_stage_counts_production,
 )
 
 

@@ -79,6 +79,17 @@ dropped AS (SELECT a AS id FROM reach GROUP BY a HAVING min(b) < a)"""
 
 _DOCS = _minhash("documents", "doc_id", "text")
 
+# brute force: every pair that shares a shingle, by the similarity of the whole sets
+_EXACT = f"""
+tokens AS (SELECT doc_id AS id, list_filter(string_split({_squash("lower(text)")}, ' '), lambda t: t <> '') AS t FROM documents),
+shingles AS (
+  SELECT DISTINCT id, array_to_string(list_slice(t, i, i + 4), ' ') AS s
+  FROM (SELECT id, t, unnest(range(1, greatest(1, len(t) - 4) + 1)) AS i FROM tokens WHERE len(t) > 0)
+),
+sizes AS (SELECT id, count(*) AS n FROM shingles GROUP BY id),
+shared AS (SELECT a.id AS src, b.id AS dst, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.id < b.id GROUP BY ALL),
+links AS (SELECT s.src, s.dst FROM shared s JOIN sizes a ON a.id = s.src JOIN sizes b ON b.id = s.dst WHERE s.n::DOUBLE / (a.n + b.n - s.n) >= 0.8)"""
+
 SQL = {
     "normalize_conversations": f"WITH {_TURNS} SELECT conv_id, part, text FROM chat",
     "turn_signals": f"WITH {_TURNS} SELECT conv_id, part, length(text)::INT AS char_count, message_count, assistant_turn_count, user_turn_count FROM chat",
@@ -115,6 +126,7 @@ FROM (SELECT {_tokens("text")}::DOUBLE AS n FROM documents)""",
     "minhash_signature": f"WITH {_DOCS}, joined AS (SELECT id, string_agg(v::VARCHAR, ',' ORDER BY k) AS signature FROM sigs GROUP BY id) SELECT d.doc_id, j.signature FROM documents d LEFT JOIN joined j ON j.id = d.doc_id",
     "lsh_candidates": f"WITH {_DOCS} SELECT src, dst FROM links",
     "near_dedup": f"WITH RECURSIVE {_DOCS}{_COMPONENTS} SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT id FROM dropped)",
+    "near_dedup_production": f"WITH RECURSIVE {_EXACT}{_COMPONENTS} SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT id FROM dropped)",
     "shard_manifest": """SELECT shard, count(*) AS rows FROM (
   SELECT ((CASE WHEN r < m * (q + 1) THEN r // (q + 1) ELSE m + (r - m * (q + 1)) // greatest(q, 1) END))::INT AS shard
   FROM (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS r, count(*) OVER () // k AS q, count(*) OVER () % k AS m FROM documents, (SELECT greatest(1, (count(*) + 127) // 128) AS k FROM documents))) GROUP BY shard""",
@@ -140,5 +152,11 @@ unique_docs AS (SELECT * FROM documents WHERE doc_id NOT IN (SELECT id FROM drop
 clean AS (SELECT u.* FROM unique_docs u JOIN scores s USING (doc_id) WHERE s.matched < 1 OR s.ratio <= 0.05),
 good AS (SELECT * FROM clean WHERE {_tokens("text")} BETWEEN 100 AND 400 AND length(text) > 0)
 SELECT 'normalized' AS stage, count(*) AS rows FROM documents UNION ALL SELECT 'deduplicated', count(*) FROM unique_docs
+UNION ALL SELECT 'decontaminated', count(*) FROM clean UNION ALL SELECT 'quality_filtered', count(*) FROM good""",
+    "pipeline_stage_counts_production": f"""WITH RECURSIVE {_EXACT}{_COMPONENTS},{_SCORES},
+unique_docs AS (SELECT * FROM documents WHERE doc_id NOT IN (SELECT id FROM dropped)),
+clean AS (SELECT u.* FROM unique_docs u JOIN scores s USING (doc_id) WHERE s.matched < 1 OR s.ratio <= 0.05),
+good AS (SELECT * FROM clean WHERE {_tokens("text")} BETWEEN 100 AND 400 AND length(text) > 0)
+SELECT 'normalized' AS stage, count(*) AS rows FROM documents UNION ALL SELECT 'deduplicated', count(*) FROM unique_docs
 UNION ALL SELECT 'decontaminated', count(*) FROM clean UNION ALL SELECT 'quality_filtered', count(*) FROM good""",
 }
