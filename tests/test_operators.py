@@ -178,3 +178,14 @@ def test_a_chance_collision_as_smallest_member_loses_no_link(spark, monkeypatch)
     monkeypatch.setattr(minhash, "set_keys", lambda *a: made(*a).withColumn("keys", F.array(F.lit(7).cast("bigint"))))
     groups = {r["node"]: r["root"] for r in minhash.near_duplicate_groups(df, minhash.Settings(verify=True), "id").collect()}
     assert groups == {1: 1, 2: 1}
+
+
+def test_a_long_conversation_stays_one(spark, tmp_path):
+    from tidewright.plans import catalog
+
+    rows = [(7, t, "assistant" if t % 2 else "user", f"turn {t}", "2024-01-01") for t in range(451)]
+    spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string, logged_at string").write.parquet(str(tmp_path / "conversations.parquet"))
+    made = {n: [tuple(r) for r in catalog.queries()[n](spark, str(tmp_path)).collect()] for n in ("turn_signals_whole", "last_assistant_answer_whole", "quality_filter_whole", "token_counter_whole")}
+    chars = len("\n\n".join(f"{r}: {x}" for _, _, r, x, _ in rows))
+    assert made["turn_signals_whole"] == [(7, chars, 451, 225, 226)] and made["last_assistant_answer_whole"] == [(7, "turn 449")]
+    assert made["quality_filter_whole"] == [(7, 451 * 4, 451, 225, chars)] and made["token_counter_whole"] == [(7, 451 * 4, 3, 451 * 4 + 3)]

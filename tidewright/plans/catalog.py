@@ -14,7 +14,8 @@ from tidewright.runtime import latest_by, materialize, spread
 from tidewright.schema import default_signals, last_assistant, render_conversation
 from tidewright.sources.writers import shard_sizes
 
-#: Turns of one record: a longer conversation becomes several records, so that no row grows without bound.
+#: Turns of one record with its messages: a longer conversation becomes several, so that no row grows without bound.
+#: The queries named ..._whole are about conversations without that cut.
 TURNS_PER_RECORD = 200
 #: Settings of the queries on near-duplicates: few permutations, since SQL has to follow.
 FEW = minhash.Settings(num_permutations=16, window_size=5, bands=4, rows=4, seed=1, verify=False)
@@ -32,13 +33,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # --- conversations ---------------------------------------------------------------------------------------------------
 
 
-def conversation_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(conv_id, part, messages): turns in order, of each turn the latest delivery, blank turns left out."""
+def _said(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(conv_id, turn, role, text): of each turn the latest delivery, blank turns left out."""
     turns = table(spark, sf_dir, "conversations").where("conv_id is not null and turn is not null").select("*", F.concat_ws(":", "conv_id", "turn").alias("_turn"))
     kept = latest_by(turns, "_turn", "logged_at", {"text": squash(F.col("text")), "role": F.lower(squash(F.col("role"))), "conv_id": F.col("conv_id"), "turn": F.col("turn")})
-    message = F.struct(F.col("turn"), F.coalesce(F.nullif("role", F.lit("")), F.lit("user")).alias("role"), F.col("text").alias("content"), F.lit(None).cast("string").alias("tool_calls"))
+    return kept.where("text <> ''").select("conv_id", "turn", F.coalesce(F.nullif("role", F.lit("")), F.lit("user")).alias("role"), "text")
+
+
+def conversation_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(conv_id, part, messages): turns in order, of each turn the latest delivery, blank turns left out."""
+    message = F.struct(F.col("turn"), F.col("role"), F.col("text").alias("content"), F.lit(None).cast("string").alias("tool_calls"))
     part = F.floor(F.col("turn") / TURNS_PER_RECORD).cast("bigint").alias("part")
-    grouped = kept.where("text <> ''").groupBy("conv_id", part).agg(F.sort_array(F.collect_list(message)).alias("_m"))  # at most TURNS_PER_RECORD turns
+    grouped = _said(spark, sf_dir).groupBy("conv_id", part).agg(F.sort_array(F.collect_list(message)).alias("_m"))  # at most TURNS_PER_RECORD turns
     return grouped.select("conv_id", "part", F.transform("_m", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"), m["tool_calls"].alias("tool_calls"))).alias("messages"))
 
 
@@ -91,6 +97,63 @@ def render_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.select("conv_id", "part", generate.render_prompt(chat, template).alias("prompt"))
 
 
+def whole_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per conversation of any length: its signals, first user and assistant turn, and last assistant turn.
+
+    Sums and extremes by partial aggregates; no row holds more than three turns. Turns are rendered with blank lines
+    between them, so characters and tokens of the rendered conversation are sums over turns.
+    """
+    said = _said(spark, sf_dir).select("*", F.length("role") + F.length("text") + 2, token_count(F.concat("role", F.lit(": "), "text"))).toDF("conv_id", "turn", "role", "text", "chars", "tokens")
+    by = lambda role: F.when(F.col("role") == role, F.struct("turn", "text"))
+    turns_of = lambda role: F.count(F.when(F.col("role") == role, 1))
+    signals = {
+        "char_count": F.sum("chars") + 2 * (F.count(F.lit(1)) - 1), "message_count": F.count(F.lit(1)), "assistant_turn_count": turns_of("assistant"), "user_turn_count": turns_of("user"), "token_count": F.sum("tokens"),
+    }
+    made = said.groupBy("conv_id").agg(
+        *[c.alias(n) for n, c in signals.items()], F.min(by("user"))["text"].alias("prompt"), F.min(by("assistant"))["text"].alias("response"),
+        F.max(by("assistant"))["text"].alias("answer"), F.max(F.struct("turn", "role", "tokens")).alias("last"),
+    )
+    return made.select("conv_id", F.struct(*signals).alias("quality_signals"), "prompt", "response", "answer", "last")
+
+
+def turn_signals_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whole_conversations(spark, sf_dir).select("conv_id", *[f"quality_signals.{n}" for n in ("char_count", "message_count", "assistant_turn_count", "user_turn_count")])
+
+
+def last_assistant_answer_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whole_conversations(spark, sf_dir).select("conv_id", "answer")
+
+
+def quality_filter_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = whole_conversations(spark, sf_dir).where(quality.passes(LIMITS))
+    return kept.select("conv_id", *[f"quality_signals.{n}" for n in ("token_count", "message_count", "assistant_turn_count", "char_count")])
+
+
+def prompt_response_adapter_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flat = whole_conversations(spark, sf_dir).select(F.col("conv_id").cast("string").alias("id"), "prompt", "response")
+    made = adapt(flat, Mapping(source_name="pairs", id_key="id", prompt_key="prompt", response_key="response"))
+    return made.select("sample_id", "text", "answer", "source", "quality_signals.message_count")
+
+
+def sft_export_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flat = whole_conversations(spark, sf_dir).select(F.col("conv_id").cast("string").alias("id"), F.lit("conversations").alias("source"), F.coalesce("prompt", F.lit("")).alias("text"), F.col("response").alias("answer"))
+    made = blocks.sft_export(flat, extra={"id": "id"}, system_prompt="Be brief.")
+    return made.select(F.col("extra_info.id").alias("id"), "data_source", F.array_join(F.transform("messages", lambda m: F.concat_ws("=", m["role"], m["content"])), "|").alias("messages"))
+
+
+def token_counter_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prompt is the whole conversation, without the last turn if that is the assistant's."""
+    prompt = F.col("quality_signals.token_count") - F.when(F.col("last.role") == "assistant", F.col("last.tokens")).otherwise(0)
+    response = F.when(F.length("answer") > 0, token_count(F.col("answer")) + 1).otherwise(0)
+    return whole_conversations(spark, sf_dir).select("conv_id", prompt.alias("prompt_tokens"), response.alias("response_tokens"), (prompt + response).alias("total_tokens"))
+
+
+def render_prompt_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chat = whole_conversations(spark, sf_dir)
+    template = "Rate conversation {conv_id} ({quality_signals[message_count]} messages).\n\n{answer}\n{unknown}"
+    return chat.select("conv_id", generate.render_prompt(chat, template).alias("prompt"))
+
+
 # --- documents -------------------------------------------------------------------------------------------------------
 
 
@@ -243,6 +306,7 @@ def pipeline_stage_counts_production(spark: SparkSession, sf_dir: str) -> DataFr
 
 _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     normalize_conversations, turn_signals, last_assistant_answer, quality_filter, prompt_response_adapter, sft_export, token_counter, render_prompt,
+    turn_signals_whole, last_assistant_answer_whole, quality_filter_whole, prompt_response_adapter_whole, sft_export_whole, token_counter_whole, render_prompt_whole,
     normalize_text_source, stable_sample_id, union_sources, token_counts, token_summary, alphanumeric_filter, decontam_score, decontam_filter, decontam_excluded,
     minhash_signature, lsh_candidates, near_dedup, near_dedup_production, shard_manifest, numeric_filter_threshold, numeric_filter_percentile, metadata_stats, sample_num,
     judge_parse, judge_filter, judge_summary, callable_generation, pipeline_stage_counts, pipeline_stage_counts_production,

@@ -160,3 +160,8 @@ good AS (SELECT * FROM clean WHERE {_tokens("text")} BETWEEN 100 AND 400 AND len
 SELECT 'normalized' AS stage, count(*) AS rows FROM documents UNION ALL SELECT 'deduplicated', count(*) FROM unique_docs
 UNION ALL SELECT 'decontaminated', count(*) FROM clean UNION ALL SELECT 'quality_filtered', count(*) FROM good""",
 }
+
+# the same without the cut into parts
+for _name in ("turn_signals", "last_assistant_answer", "quality_filter", "token_counter", "render_prompt", "prompt_response_adapter", "sft_export"):
+    _uncut = SQL[_name].replace("floor(turn / 200)::BIGINT AS part", "0 AS part").replace("conv_id || '-' || part AS", "conv_id::VARCHAR AS")
+    SQL[f"{_name}_whole"] = _uncut if _name in ("prompt_response_adapter", "sft_export") else f"SELECT * EXCLUDE (part) FROM ({_uncut})"
