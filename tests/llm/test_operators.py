@@ -311,6 +311,13 @@ def test_leaks_of_nothing_and_in_blocks(spark, monkeypatch):
     assert [(r["doc_id"], r["item_id"]) for r in leakage.leaked_items(docs, items).collect()] == [(1, 1)]
 
 
+def test_leaks_of_short_items(spark):
+    items = [(1, "Quick jade foxes sip"), (2, "Seven grey owls watch a frozen lake"), (3, "The harbour clock stopped at nine while gulls circled above us")]
+    docs = [(1, "Note: quick jade foxes sip, it says."), (2, "so seven grey owls wxtch a frozen lake today"), (3, "and the harbour clock stopped at nine while all was quiet"), (4, "Seven people watch the harbour and sip tea")]
+    got = leakage.leaked_items(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert sorted((r["doc_id"], r["item_id"]) for r in got.collect()) == [(1, 1), (2, 2), (3, 3)]
+
+
 # --- 9 ---------------------------------------------------------------------------------------------------------------
 
 

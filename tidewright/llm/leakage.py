@@ -122,6 +122,16 @@ def _unique_counts(*parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return group, np.bincount(group)
 
 
+def least_grams(length: np.ndarray, least_share: float) -> tuple[np.ndarray, np.ndarray]:
+    """(grams, short): grams that the least part of an item that counts shares by the q-gram lemma, and whether it is shorter than a window.
+
+    Edits are in proportion to the part; where the bound leaves nothing, one gram is enough.
+    """
+    part = np.ceil(least_share * length).astype(np.int64)
+    bound = part + 1 - Q - Q * (EDITS * part // WINDOW)
+    return np.clip(bound, 1, LEAST_GRAMS), part < WINDOW
+
+
 def search(flat: Flat, items: Items, least_share: float) -> list[tuple[int, int, float]]:
     """(doc, item, share) of the items of which a text holds at least ``least_share`` of the wording, in order."""
     doc, at, item, place = items.hits(flat)
@@ -129,8 +139,10 @@ def search(flat: Flat, items: Items, least_share: float) -> list[tuple[int, int,
         return []
     # a text shares too few grams with most items for anything to follow; drop those first
     pair, size = _unique_counts(doc, item)
-    length = items.length[item]
-    enough = size[pair] >= np.maximum(LEAST_GRAMS, least_share * length * (LEAST_GRAMS / WINDOW))
+    grams_of, short = least_grams(items.length, least_share)
+    # every region of WINDOW characters that may count holds LEAST_GRAMS of them, so fewer cannot add up to the share
+    fewest = np.where(short, grams_of, np.maximum(LEAST_GRAMS, least_share * items.length * (LEAST_GRAMS / WINDOW)))
+    enough = size[pair] >= fewest[item]
     doc, at, item, place = doc[enough], at[enough], item[enough], place[enough]
     if not len(doc):
         return []
@@ -139,28 +151,27 @@ def search(flat: Flat, items: Items, least_share: float) -> list[tuple[int, int,
     kept = np.zeros(len(doc), bool)
     for shift in (0, 1):
         for band_shift in (0, 1):
-            window = (place + shift * (WINDOW // 2)) // WINDOW
+            window = np.where(short[item], 0, (place + shift * (WINDOW // 2)) // WINDOW)
             band = (diagonal + band_shift * (BAND // 2)) // BAND
             region, count = _unique_counts(doc, item, window, band)
-            kept |= count[region] >= LEAST_GRAMS
+            kept |= count[region] >= grams_of[item]
     doc, at, item, place, diagonal = doc[kept], at[kept], item[kept], place[kept], diagonal[kept]
     pair, _ = _unique_counts(doc, item)
     spot, _ = _unique_counts(pair, place)
     distinct = np.zeros(len(doc), bool)
     distinct[np.unique(spot, return_index=True)[1]] = True
     covered = np.bincount(pair[distinct], minlength=pair.max() + 1 if len(pair) else 0)
-    # every region of WINDOW characters that may count holds LEAST_GRAMS of them, so fewer cannot add up to the share
-    enough = covered[pair] >= least_share * items.length[item] * (LEAST_GRAMS / WINDOW)
+    enough = covered[pair] >= np.where(short, grams_of, least_share * items.length * (LEAST_GRAMS / WINDOW))[item]
     doc, at, item, place, diagonal = doc[enough], at[enough], item[enough], place[enough], diagonal[enough]
     if not len(doc):
         return []
-    segments = _segments(doc, at, item, place, diagonal)
+    segments = _segments(doc, at, item, place, diagonal, np.where(short, 1, Q))
     credit = _aligned(flat, items, segments)
     return _chain(segments, credit, items, least_share)
 
 
-def _segments(doc, at, item, place, diagonal) -> np.ndarray:
-    """Rows (doc, item, doc start, doc end, item start, item end) of hits that follow each other on near diagonals."""
+def _segments(doc, at, item, place, diagonal, fewest) -> np.ndarray:
+    """Rows (doc, item, doc start, doc end, item start, item end) of hits that follow each other on near diagonals, ``fewest`` of the item at least."""
     # diagonals that lie within DRIFT of a neighbour form one cluster within a pair
     order = np.lexsort((diagonal, item, doc))
     new = np.ones(len(order), bool)
@@ -176,7 +187,7 @@ def _segments(doc, at, item, place, diagonal) -> np.ndarray:
     start = np.flatnonzero(new)
     count = np.diff(np.append(start, len(at)))
     rows = [doc[start], item[start], at[start], np.maximum.reduceat(at, start) + Q, np.minimum.reduceat(place, start), np.maximum.reduceat(place, start) + Q]
-    return np.stack(rows, axis=1)[count >= Q]
+    return np.stack(rows, axis=1)[count >= fewest[item[start]]]
 
 
 def _aligned(flat: Flat, items: Items, segments: np.ndarray) -> np.ndarray:
@@ -241,7 +252,8 @@ def leaked_items(documents: DataFrame, benchmark: DataFrame, least_share: float
 
     Texts are compared as lower-case letters and digits, whatever else stands between them; markup and escapes are
     taken out. Opening sentences that several items share are instructions and do not count; items with less than
-    20 characters of their own are not searched. Every document is read once per block of items (one block up to 4
+    :data:`LEAST_WORDING` letters, digits and blanks of their own are not searched. A part counts from a window's
+    grams on (32 characters verbatim), of items under two windows at the default share from the grams of that share. Every document is read once per block of items (one block up to 4
     million characters), whole and without a shuffle; null ids and empty texts yield nothing.
     """
     items = benchmark.where("item_id is not null and text is not null").select("item_id", "text")
