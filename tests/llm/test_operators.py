@@ -318,6 +318,17 @@ def test_leaks_of_short_items(spark):
     assert sorted((r["doc_id"], r["item_id"]) for r in got.collect()) == [(1, 1), (2, 2), (3, 3)]
 
 
+def test_shared_openings_do_not_depend_on_size(spark, monkeypatch):
+    opening = " ".join(f"Rule number {w} of the task ist nötig." for w in ("one", "two", "three", "four", "five", "six"))
+    own = ["alpha beta gamma delta epsilon zeta eta theta iota kappa", "wholly other words stand in this second item of ours", "a third wording that shares nothing with the former two"]
+    items = spark.createDataFrame([(i, f"{opening} <b>{w}</b>") for i, w in enumerate(own)] + [(i, "The same last sentence in each of them.") for i in (7, 8, 9)], "item_id bigint, text string")
+    docs = spark.createDataFrame([(i, f"See: {w}.") for i, w in enumerate(own)] + [(5, opening), (6, "The same last sentence in each of them.")], "doc_id bigint, text string")
+    found = lambda: sorted((r["doc_id"], r["item_id"], r["share"]) for r in leakage.leaked_items(docs, items).collect())
+    small = found()
+    monkeypatch.setattr(leakage, "BLOCK_ITEM_CHARS", 300)
+    assert found() == small and [r[:2] for r in small] == [(0, 0), (1, 1), (2, 2), (6, 7), (6, 8), (6, 9)]
+
+
 # --- 9 ---------------------------------------------------------------------------------------------------------------
 
 

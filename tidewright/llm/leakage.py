@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.llm import kernels as K
+from tidewright.runtime import materialize
 
 #: Length of a q-gram; a region of WINDOW characters may hold EDITS separate edits (of letters or whole words), so by
 #: the q-gram lemma it shares at least WINDOW + 1 - Q - Q * EDITS grams with the item, near one diagonal.
@@ -35,19 +36,26 @@ _TABLE_BITS = 22
 _MARKUP = r"<[^<>]{1,80}>|&#?[A-Za-z0-9]{1,8};|\\[nrt]"
 
 
-def own_wording(texts: list[str], known: Counter | None = None) -> list[str]:
-    """Texts without the opening sentences that at least :data:`SHARED_OPENINGS` of all texts share."""
-    parts = [[s for s in re.split(r"(?<=[.?!。？！:])\s+|\n+", t) if s.strip()] for t in texts]
-    plain = lambda s: re.sub(r"[\W_]+", " ", s.lower()).strip()
-    if known is None:
-        known = Counter(key for p in parts for key in {(k, plain(s)) for k, s in enumerate(p[:-1])})
-    out = []
-    for p in parts:
-        k = 0
-        while k < len(p) - 1 and known[(k, plain(p[k]))] >= SHARED_OPENINGS:
-            k += 1
-        out.append(" ".join(p[k:]))
-    return out
+def _sentences(text: str) -> list[str]:
+    return [s for s in re.split(r"(?<=[.?!。？！:])\s+|\n+", re.sub(_MARKUP, " ", text)) if s.strip()]
+
+
+def _openings(sentences: list[str]) -> list[str]:
+    """All sentences but the last, as they are compared."""
+    return [re.sub(r"[\W_]+", " ", s.lower()).strip() for s in sentences[:-1]]
+
+
+def own_wording(texts: list[str], leads: list[int] | None = None) -> list[str]:
+    """Texts without the opening sentences that at least :data:`SHARED_OPENINGS` of all texts share.
+
+    ``leads``: how many these are of each text, where not all texts are at hand.
+    """
+    parts = [_sentences(t) for t in texts]
+    if leads is None:
+        openings = [_openings(p) for p in parts]
+        known = Counter(key for o in openings for key in enumerate(o))
+        leads = [next((k for k, s in enumerate(o) if known[(k, s)] < SHARED_OPENINGS), len(o)) for o in openings]
+    return [" ".join(p[k:]) for p, k in zip(parts, leads)]
 
 
 @dataclass
@@ -259,24 +267,31 @@ def leaked_items(documents: DataFrame, benchmark: DataFrame, least_share: float
     items = benchmark.where("item_id is not null and text is not null").select("item_id", "text")
     size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     pieces = max(1, -(-size // BLOCK_ITEM_CHARS))
-    openings = _shared_openings(items) if pieces > 1 else None
+    items = _with_leads(items) if pieces > 1 else items
     found = [
-        _search_block(documents, items.where(F.pmod(F.xxhash64("item_id"), F.lit(pieces)) == k) if pieces > 1 else items, least_share, openings) for k in range(pieces)
+        _search_block(documents, items.where(F.pmod(F.xxhash64("item_id"), F.lit(pieces)) == k) if pieces > 1 else items, least_share) for k in range(pieces)
     ]
     return reduce(DataFrame.unionByName, found)
 
 
-def _shared_openings(items: DataFrame) -> Counter:
-    """Openings shared by enough items, of all items; there are at most (items / SHARED_OPENINGS) per position."""
-    first = items.select(F.explode(F.transform(F.slice(F.split("text", r"(?<=[.?!。？！:])\s+|\n+"), 1, 4), lambda s, i: F.struct(i.alias("k"), s.alias("s")))).alias("o"))
-    plain = F.trim(F.regexp_replace(F.lower("o.s"), r"[^\p{L}\p{N}]+", " "))
-    rows = first.groupBy("o.k", plain.alias("s")).count().where(F.col("count") >= SHARED_OPENINGS).limit(100_000).collect()
-    return Counter({(r["k"], r["s"]): r["count"] for r in rows})
+def _with_leads(items: DataFrame) -> DataFrame:
+    """``items`` with ``lead``, the number of opening sentences that they share: :func:`own_wording` for any number of items."""
+    named = items.select(F.col("item_id").cast("bigint").alias("item_id"), "text", F.md5("text").alias("digest"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(i, d, k, s) for i, t, d in zip(*(c.to_pylist() for c in batch.columns)) for k, s in enumerate(_openings(_sentences(t)))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found) if found else [()] * 4, (pa.int64(), pa.string(), pa.int32(), pa.string()))], ["item_id", "digest", "k", "s"])
+
+    openings = materialize(named.mapInArrow(run, "item_id bigint, digest string, k int, s string"), "openings")
+    shared = openings.groupBy("k", "s").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= SHARED_OPENINGS).select("k", "s", F.lit(True).alias("_shared"))
+    leads = openings.join(shared, ["k", "s"], "left").groupBy("item_id", "digest").agg(F.coalesce(F.min(F.when(F.col("_shared").isNull(), F.col("k"))), F.max("k") + 1).alias("lead"))
+    return materialize(named.join(leads, ["item_id", "digest"], "left").select("item_id", "text", F.coalesce("lead", F.lit(0)).alias("lead")), "items")
 
 
-def _search_block(documents: DataFrame, items: DataFrame, least_share: float, openings: Counter | None) -> DataFrame:
+def _search_block(documents: DataFrame, items: DataFrame, least_share: float) -> DataFrame:
     rows = items.collect()  # BLOCK_ITEM_CHARS characters, give or take the spread of the hash
-    ids, texts = [r["item_id"] for r in rows], own_wording([re.sub(_MARKUP, " ", r["text"]) for r in rows], openings)
+    ids, texts = [r["item_id"] for r in rows], own_wording([r["text"] for r in rows], [r["lead"] for r in rows] if "lead" in items.columns else None)
     block = Items(ids, texts)
     short = block.length < LEAST_WORDING
     block = Items([i for i, s in zip(ids, short) if not s], [t for t, s in zip(texts, short) if not s])
