@@ -168,6 +168,13 @@ def test_pair_rules(spark):
     assert {i: got[i] for i in got if got[i] != CASES[i][2]} == {}
 
 
+def test_chinese_answers_that_break_off(spark):
+    rows = [("如何关闭工作进程？", "先保存所有的数据，然后关闭工作", ["truncated"]), ("如何关闭工作进程？", "先保存所有的数据，然后关闭工作进程。", []), ("好吗？", "好的", []), ("Was it good?", "Yes, it was", [])]
+    df = spark.createDataFrame([(i, q, a) for i, (q, a, _) in enumerate(rows)], "i int, q string, a string")
+    got = {r["i"]: r["defects"] for r in pairs.defects(df, F.col("q"), F.col("a"), keep={"i": F.col("i")}).collect()}
+    assert [got[i] for i in range(len(rows))] == [r[2] for r in rows]
+
+
 def test_pairs_need_a_user_message(spark):
     schema = f"sample_id string, ingested_at timestamp, messages {MSG}, answer string, system_prompt string"
     said = [("user", "first?", None), ("assistant", "x", None), ("User ", "second?", None)]

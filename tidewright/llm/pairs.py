@@ -79,6 +79,8 @@ def defects(df: DataFrame, question: Column, answer: Column, context: Column | N
     )
     base = base.select("*", F.split("_ca", " ").alias("_wa"), F.split("_cq", " ").alias("_wq"), language_of(F.col("_q")).alias("_lq"), language_of(F.col("_a")).alias("_la"))
     words = F.size("_wa")
+    # for the rule on endings each Han character is a word, since no blanks stand between them
+    spelled = F.when(F.col("_ca").rlike(r"\p{IsHan}"), F.size(F.regexp_extract_all("_ca", F.lit(r"\p{IsHan}|[^ \p{IsHan}]+"), F.lit(0)))).otherwise(words)
     empty = F.col("_ca").isin(*NOTHING)
     refusal = (words <= REFUSAL_WORDS) & (F.length("_ca") <= REFUSAL_CHARS) & F.col("_ca").rlike("|".join(f"(?:{r})" for r in REFUSALS))
     flat_q, flat_a = F.replace("_cq", F.lit(" "), F.lit("")), F.replace("_ca", F.lit(" "), F.lit(""))
@@ -90,7 +92,7 @@ def defects(df: DataFrame, question: Column, answer: Column, context: Column | N
     )
     asked = F.lower("_q").rlike(ASKED) | F.lower("_s").rlike(ASKED)
     other = F.col("_lq").isNotNull() & F.col("_la").isNotNull() & (F.col("_lq") != F.col("_la")) & ~asked
-    rules = {"empty": empty, "copied": copied, "refusal": refusal, "truncated": _truncated(F.col("_a"), words), "other_language": other}
+    rules = {"empty": empty, "copied": copied, "refusal": refusal, "truncated": _truncated(F.col("_a"), spelled), "other_language": other}
     listed = F.array_compact(F.array(*[F.when(rules[d], F.lit(d)) for d in ORDER]))
     return base.select(*keep, F.when(empty, F.array(F.lit("empty"))).otherwise(listed).alias("defects"))
 
