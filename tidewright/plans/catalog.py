@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -283,6 +284,18 @@ def callable_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("item_id", "augmentation.generated_answer", "augmentation.model", "augmentation.error")
 
 
+def digest_model(prompt: str, system_prompt: str | None = None) -> dict[str, str]:
+    """A deterministic stand-in whose answer depends on the whole prompt: its digest and length."""
+    return {"text": f"{hashlib.md5(prompt.encode()).hexdigest()} {len(prompt)}"}
+
+
+def callable_generation_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model calls over the records of the conversations."""
+    call = generate.Generation(enabled=True, backend="callable", callable_path="tidewright.plans.catalog:digest_model", model="digest", prompt_template="{conv_id}/{part}: {text}", keep_prompt=True)
+    made = generate.generate(_chat(spark, sf_dir), call)
+    return made.select("conv_id", "part", "augmentation.generated_answer", "augmentation.model", "augmentation.error")
+
+
 def _stage_counts(spark: SparkSession, sf_dir: str, dedup: minhash.Settings) -> DataFrame:
     docs = adapt(_texts(spark, sf_dir), Mapping(source_name="documents", id_key="doc_id", text_key="text")).withColumn("doc_id", F.col("sample_id").cast("bigint"))
     # each stage is counted and used by the next one, so it is written once
@@ -309,7 +322,7 @@ _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     turn_signals_whole, last_assistant_answer_whole, quality_filter_whole, prompt_response_adapter_whole, sft_export_whole, token_counter_whole, render_prompt_whole,
     normalize_text_source, stable_sample_id, union_sources, token_counts, token_summary, alphanumeric_filter, decontam_score, decontam_filter, decontam_excluded,
     minhash_signature, lsh_candidates, near_dedup, near_dedup_production, shard_manifest, numeric_filter_threshold, numeric_filter_percentile, metadata_stats, sample_num,
-    judge_parse, judge_filter, judge_summary, callable_generation, pipeline_stage_counts, pipeline_stage_counts_production,
+    judge_parse, judge_filter, judge_summary, callable_generation, callable_generation_records, pipeline_stage_counts, pipeline_stage_counts_production,
 )
 
 

@@ -147,6 +147,8 @@ SELECT sample_id, strftime(ingested_at AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S')
 FROM samples WHERE judge.score >= 7.0 AND NOT isnan(judge.score)""",
     "judge_summary": "SELECT count(s) AS sample_count, min(s) AS min, max(s) AS max, avg(s) AS mean FROM (SELECT judge.score AS s FROM samples) WHERE NOT isnan(s)",
     "callable_generation": "SELECT item_id, trim(upper(substr(suite || '/' || item_id || ': ' || text, 1, 24))) AS generated_answer, 'echo' AS model, NULL::VARCHAR AS error FROM benchmark",
+    "callable_generation_records": f"""WITH {_TURNS}, prompts AS (SELECT conv_id, part, conv_id || '/' || part || ': ' || text AS p FROM chat)
+SELECT conv_id, part, md5(p) || ' ' || length(p) AS generated_answer, 'digest' AS model, NULL::VARCHAR AS error FROM prompts""",
     "pipeline_stage_counts": f"""WITH RECURSIVE {_minhash("documents", "doc_id", "text")}{_COMPONENTS},{_SCORES},
 unique_docs AS (SELECT * FROM documents WHERE doc_id NOT IN (SELECT id FROM dropped)),
 clean AS (SELECT u.* FROM unique_docs u JOIN scores s USING (doc_id) WHERE s.matched < 1 OR s.ratio <= 0.05),
