@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.runtime import materialize
+from tidewright.runtime import discard, materialize
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -40,6 +40,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
             break
         following = materialize(_small_star(_large_star(current)), "edges")
         new_state = _state(following)
+        discard(current)
         current, unchanged, state = following, new_state == state, new_state
         if unchanged:
             break

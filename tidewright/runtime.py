@@ -49,11 +49,14 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
-def materialize(df: DataFrame, label: str = "table") -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: a lineage cut that survives the loss of executors."""
+def materialize(df: DataFrame, label: str = "table", *folders: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: a lineage cut that survives the loss of executors.
+
+    With ``folders``, columns of few values, the table is laid out by them, and a filter on them reads its folder only.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidewright-{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").partitionBy(*folders).parquet(path)
     _written.append((spark, path))
     table = spark.read.schema(df.schema).parquet(path)
     table._written_path = path
