@@ -4,18 +4,22 @@ Every text is the set of its distinct runs of words (shingles). Two sets with Ja
 in at least t/(1+t) * (a + b) shingles. Under one global order of shingles, rare ones first, two such sets share at
 least c shingles within their prefixes (index prefix for the smaller set, probe prefix for the larger one). That
 overlap join is solved size-aware: a set whose prefix is small enumerates all its subsets of c shingles, and two small
-sets meet under a common subset; a large set scans inverted lists of single shingles and counts. Which of the two a set
-is follows from the estimated cost of either way. Candidates are verified on the full sets.
-
-Shingles that occur in one set only cannot be shared; they are known from a count sketch of fixed size (which never
-counts too low) and take part in the sizes, not in the join.
+sets meet under a common subset; a large set scans inverted lists of single shingles and counts. The boundary between
+small and large is the prefix length at which both ways together cost least, from sums over all sets. Subsets that
+occur once are never shuffled: a partition-merged Bloom filter of the repeated ones is asked first. Candidates are
+verified on the full sets.
+
+Shingles that occur in one set only cannot be shared; they are known from a count sketch of fixed size, which counts a
+shingle of several sets as two or more (larger counts are rounded, they only order the shingles). They take part in the
+sizes, not in the join.
 """
 
 from __future__ import annotations
 
 import itertools
 from collections.abc import Iterator
-from functools import lru_cache
+from dataclasses import dataclass
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +37,15 @@ SUBSET = 4
 WHOLE = 12
 #: Cells of the count sketch (one byte each once merged); fewer cells make the join slower, never wrong.
 SKETCH_CELLS = 1 << 25
-#: Largest prefix that may be enumerated at all; C(16, 4) = 1820.
-MOST_ENUMERATED = 16
-#: Cost of an enumerated subset, which is written, shuffled and sorted, in comparisons of two entries of a list.
-SUBSET_COST = 32
+#: Largest prefix that may be enumerated at all; C(24, 4) = 10626.
+MOST_ENUMERATED = 24
+#: Cost of an enumerated subset in entries of inverted lists that a set scans. Measured: 0.16 microseconds to enumerate a
+#: subset, add it to the filter and ask the filter, 0.15 microseconds to read an entry and test the pair.
+SUBSET_COST = 1.0
+#: Subsets enumerated at once, which bounds a worker's memory.
+SUBSETS_AT_ONCE = 1 << 18
+#: An inverted list of about this many sets is split over several keys, at most MOST_SPLITS.
+HOT_LIST, MOST_SPLITS = 4096, 64
 
 def _cell(tokens: np.ndarray, size: int) -> np.ndarray:
     return (K.mix(tokens ^ np.uint64(0xA0761D6478BD642F)) >> np.uint64(24)).astype(np.int64) & (size - 1)
@@ -115,24 +124,21 @@ def _subsets(count: int) -> np.ndarray:
     return np.array(list(itertools.combinations(range(count), SUBSET)), np.int64).reshape(-1, SUBSET)
 
 
-def _choose(count: np.ndarray) -> np.ndarray:
-    """Number of subsets of size c."""
-    value = np.ones(len(count))
-    for k in range(SUBSET):
-        value = value * np.maximum(count - k, 0) / (k + 1)
-    return value
-
-
-#: spot holds the set's size and its shareable tokens (21 bits each), the place in the prefix (18 bits), whether the
-#: entry is in the index, and its kind (0: token of a large set, 1: token of a small set, 2: subset of a small set).
-_POSTINGS = "key bigint, hash bigint, spot bigint, again boolean"
+#: One row per distinct set that can have a partner: its size, its shareable shingles, the end of its index prefix, whether
+#: all its partners share c shingles with it, the lengths of the lists it would scan, and its probe prefix with the coded
+#: counts of the shingles, rare ones first.
+_PREFIXES = "hash bigint, n int, shared int, ends int, fits boolean, again boolean, scan double, tokens array<bigint>, codes binary"
+#: spot holds the set's size and its shareable shingles (21 bits each), the place in the prefix (17 bits), what the entry
+#: may be in a pair (1: the smaller set, in the index, 2: the larger one) and its kind (0: shingle of a large set,
+#: 1: shingle of a small set, 2: subset of a small set), two bits each.
+_POSTINGS = "key bigint, hash bigint, spot bigint"
 #: Entries beyond these sizes are held to weaker bounds: the index prefix of such a set is its probe prefix, and what
 #: depends on exact sizes and places is not asked of it.
-MOST_SIZE, MOST_PLACE = (1 << 21) - 1, (1 << 18) - 1
+MOST_SIZE, MOST_PLACE = (1 << 21) - 1, (1 << 17) - 1
 
 
-def _postings(df: DataFrame, size: int, threshold: float, cells: np.ndarray, repeats: np.ndarray, repeat_cells: int) -> DataFrame:
-    """Prefix tokens, and c-subsets of small sets, of every distinct set that can have a partner.
+def _prefixes(df: DataFrame, size: int, threshold: float, cells: np.ndarray, repeats: np.ndarray, repeat_cells: int) -> tuple[DataFrame, DataFrame]:
+    """(prefixes, written): the prefix of every distinct set that can have a partner, and the table that is read for it.
 
     ``again`` marks sets that may stand in several blocks; only their rows have to be made distinct.
     """
@@ -145,15 +151,17 @@ def _postings(df: DataFrame, size: int, threshold: float, cells: np.ndarray, rep
         for batch in batches:
             for _, _, text in K.blocks(batch.column(0)):
                 s = Sets(text, size)
-                yield _postings_of(s, threshold, table, count, sketches.holds(s.hash, bits, repeat_cells))
+                yield _prefixes_of(s, threshold, table, count, sketches.holds(s.hash, bits, repeat_cells))
 
-    return df.mapInArrow(run, _POSTINGS)
+    found = materialize(df.mapInArrow(run, _PREFIXES), "prefixes")
+    once = found.where("again").groupBy("hash").agg(*[F.first(c).alias(c) for c in found.columns[1:]])
+    return found.where("not again").unionByName(once), found
 
 
-def _postings_of(s: Sets, threshold: float, table: np.ndarray, cells: int, again: np.ndarray) -> pa.RecordBatch:
-    df = table[_cell(s.token, cells)]
-    keep = (df >= 2) & s.first_copies()[s.doc]
-    token, doc, df = s.token[keep], s.doc[keep], df[keep]
+def _prefixes_of(s: Sets, threshold: float, table: np.ndarray, cells: int, again: np.ndarray) -> pa.RecordBatch:
+    code = table[_cell(s.token, cells)]
+    keep = (code >= 2) & s.first_copies()[s.doc]
+    token, doc, code = s.token[keep], s.doc[keep], code[keep]
     shared = K.per_doc(doc, s.docs)
     probe_need = np.ceil(threshold * s.size - 1e-9).astype(np.int64)
     index_need = np.ceil(2 * threshold / (1 + threshold) * s.size - 1e-9).astype(np.int64)
@@ -161,34 +169,148 @@ def _postings_of(s: Sets, threshold: float, table: np.ndarray, cells: int, again
     able = shared >= np.maximum(probe_need, 1)
     probe = np.where(able, np.minimum(shared, shared - probe_need + SUBSET), 0)
     index = np.where(able & (shared >= index_need), np.minimum(shared, shared - index_need + SUBSET), 0)
-    order = np.lexsort((token, df, doc))
-    token, doc, df = token[order], doc[order], df[order]
+    order = np.lexsort((token, code, doc))
+    token, doc, code = token[order], doc[order], code[order]
     begin = np.concatenate([[0], np.cumsum(shared)])[:-1]
-    place = np.arange(len(token)) - begin[doc]
-    inside = place < probe[doc]
-    token, doc, df, place = token[inside], doc[inside], df[inside], place[inside]
-    scan_cost = K.per_doc(doc, s.docs, sketches.decode(df))
-    small = (probe >= SUBSET) & (probe <= MOST_ENUMERATED) & (probe_need >= SUBSET) & (SUBSET_COST * (_choose(probe) + _choose(index)) <= scan_cost)
-    keys, docs, places, kinds, indexed = [token], [doc], [place], [small[doc].astype(np.int8)], [place < index[doc]]
-    begin = np.concatenate([[0], np.cumsum(probe)])[:-1]
-    for width in np.unique(probe[small]):
-        chosen = np.flatnonzero(small & (probe == width))
-        combos = _subsets(int(width))
-        picked = token[begin[chosen][:, None, None] + combos[None]]
-        key = picked[..., 0]
-        for k in range(1, SUBSET):
-            key = K.mix(key) + picked[..., k]
-        keys.append(K.mix(key).ravel())
-        docs.append(np.repeat(chosen, len(combos)))
-        places.append(np.tile(combos[:, 0], len(chosen)))
-        kinds.append(np.full(len(chosen) * len(combos), 2, np.int8))
-        indexed.append((combos[:, -1][None] < index[chosen][:, None]).ravel())
-    doc = np.concatenate(docs)
-    place = np.concatenate(places)
-    spot = (np.minimum(s.size, MOST_SIZE).astype(np.int64) << 39)[doc] | (np.minimum(shared, MOST_SIZE) << 18)[doc]
-    spot = (spot | np.minimum(place, MOST_PLACE)) * 2 | np.concatenate(indexed)
-    spot = spot * 4 | np.concatenate(kinds)
-    return pa.RecordBatch.from_arrays([_signed(np.concatenate(keys)), _signed(s.hash[doc]), pa.array(spot), pa.array(again[doc])], [f.split()[0] for f in _POSTINGS.split(", ")])
+    inside = np.arange(len(token)) - begin[doc] < probe[doc]
+    token, doc, code = token[inside], doc[inside], code[inside]
+    scan = K.per_doc(doc, s.docs, sketches.decode(code))
+    chosen = np.flatnonzero(probe > 0)
+    ends = np.concatenate([[0], np.cumsum(probe[chosen])]).astype(np.int32)
+    lists = pa.ListArray.from_arrays(pa.array(ends), _signed(token))
+    codes = pa.Array.from_buffers(pa.binary(), len(chosen), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(np.ascontiguousarray(code).tobytes())])
+    whole = [np.minimum(s.size, MOST_SIZE), np.minimum(shared, MOST_SIZE), index]
+    return pa.RecordBatch.from_arrays(
+        [_signed(s.hash[chosen]), *[pa.array(v[chosen].astype(np.int32)) for v in whole], pa.array(probe_need[chosen] >= SUBSET), pa.array(again[chosen]), pa.array(scan[chosen]), lists, codes], [f.split()[0] for f in _PREFIXES.split(", ")]
+    )
+
+
+@dataclass
+class Block:
+    """The prefixes of an Arrow batch as flat arrays."""
+
+    hash: np.ndarray
+    n: np.ndarray
+    shared: np.ndarray
+    index: np.ndarray
+    token: np.ndarray
+    code: np.ndarray
+    probe: np.ndarray
+    begin: np.ndarray
+    small: np.ndarray
+
+    @classmethod
+    def of(cls, batch: pa.RecordBatch, boundary: int) -> Block:
+        column = lambda name: batch.column(batch.schema.names.index(name))
+        numbers = [column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("hash", "n", "shared", "ends")]
+        lists = column("tokens")
+        begin = lists.offsets.to_numpy().astype(np.int64)
+        token = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+        code = np.frombuffer(b"".join(column("codes").to_pylist()), np.uint8)
+        probe = np.diff(begin)
+        small = column("fits").to_numpy(zero_copy_only=False).astype(bool) & (probe >= SUBSET) & (probe <= boundary)
+        return cls(*numbers, token, code, probe, (begin - begin[0])[:-1], small)
+
+    def subsets(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(key, row, first place, in the index) of all subsets of the small sets, some at a time."""
+        for width in np.unique(self.probe[self.small]).tolist():
+            combos = _subsets(width)
+            rows = np.flatnonzero(self.small & (self.probe == width))
+            step = max(1, SUBSETS_AT_ONCE // len(combos))
+            for at in range(0, len(rows), step):
+                chosen = rows[at : at + step]
+                picked = self.token[self.begin[chosen][:, None] + np.arange(width)]
+                key = picked[:, combos[:, 0]]
+                for k in range(1, SUBSET):
+                    key = K.mix(key) + picked[:, combos[:, k]]
+                indexed = combos[:, -1][None] < self.index[chosen][:, None]
+                yield K.mix(key).ravel(), np.repeat(chosen, len(combos)), np.tile(combos[:, 0], len(chosen)), indexed.ravel()
+
+    def spot(self, row: np.ndarray, place: np.ndarray, role: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        packed = (self.n[row] << 38) | (self.shared[row] << 17) | np.minimum(place, MOST_PLACE)
+        return (packed * 4 | role) * 4 | kind
+
+
+def choose_boundary(prefixes: DataFrame) -> tuple[int, dict[str, int]]:
+    """(boundary, figures): the longest prefix that is enumerated, and what either side holds.
+
+    The costs of both sides are summed over all sets by prefix length, and the boundary with the least sum is taken:
+    subsets of the sets up to it, lists scanned by the others. Below SUBSET nothing is enumerated.
+    """
+    length = F.size("tokens")
+    group = F.when(F.col("fits"), F.least(length, F.lit(MOST_ENUMERATED + 1))).otherwise(F.lit(0)).alias("length")
+    choose = lambda n: F.lit(1.0) * reduce(lambda a, k: a * F.greatest(n - k, F.lit(0)) / (k + 1), range(SUBSET), F.lit(1.0))
+    rows = prefixes.groupBy(group).agg(F.count(F.lit(1)).alias("sets"), F.sum(choose(length)).alias("subsets"), F.sum("scan").alias("scan"), F.sum(length).alias("entries")).orderBy("length").collect()
+    best, boundary, saved = 0.0, SUBSET - 1, 0.0
+    for r in rows:
+        if SUBSET <= r["length"] <= MOST_ENUMERATED:
+            saved += r["scan"] - SUBSET_COST * r["subsets"]
+            if saved > best:
+                best, boundary = saved, r["length"]
+    small = [r for r in rows if SUBSET <= r["length"] <= boundary]
+    large = [r for r in rows if not SUBSET <= r["length"] <= boundary]
+    return boundary, {
+        "small_sets": sum(r["sets"] for r in small), "subsets": int(sum(r["subsets"] for r in small)), "large_sets": sum(r["sets"] for r in large), "list_entries": sum(r["entries"] for r in large),
+    }
+
+
+def _repeated_subsets(prefixes: DataFrame, boundary: int, subsets: int) -> tuple[np.ndarray, int]:
+    """Packed filter of the subsets that may stand in several small sets, and its cells."""
+    cells = sketches.filter_cells(subsets)
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = sketches.Seen(cells)
+        for batch in batches:
+            for key, *_ in Block.of(batch, boundary).subsets():
+                seen.add(key)
+        yield from sketches.emit(seen.cells, sketches.partition_id())
+
+    small = prefixes.where(F.col("fits") & F.size("tokens").between(SUBSET, boundary))
+    merged = sketches.merge(small.mapInArrow(build, sketches.SCHEMA), sketches.merge_seen, small.rdd.getNumPartitions())
+    return np.packbits(sketches.gather(merged, cells) > 1), cells
+
+
+def _postings(prefixes: DataFrame, boundary: int, subsets: int) -> DataFrame:
+    """Entries of the inverted lists: prefix shingles of all sets, and those subsets of small sets that may repeat."""
+    bits, cells = _repeated_subsets(prefixes, boundary, subsets) if subsets else (np.zeros(1, np.uint8), 8)
+    shared_bits = prefixes.sparkSession.sparkContext.broadcast(bits.tobytes())
+    names = [f.split()[0] for f in _POSTINGS.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.frombuffer(shared_bits.value, np.uint8)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            b = Block.of(batch, boundary)
+            entry = lambda key, row, spot: pa.RecordBatch.from_arrays([_signed(key), pa.array(b.hash[row]), pa.array(spot)], names)  # noqa: E731, B023
+            yield from (entry(*made) for made in _list_entries(b))
+            for key, row, place, indexed in b.subsets():
+                held = sketches.holds(key, table, cells)
+                key, row, place, indexed = key[held], row[held], place[held], indexed[held]
+                yield entry(key, row, b.spot(row, place, 2 + indexed, np.full(len(row), 2)))
+
+    return prefixes.mapInArrow(run, _POSTINGS)
+
+
+def _list_entries(b: Block) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(key, row, spot) of all prefix shingles. A long list is split: larger sets are dealt out, smaller ones stand in every part."""
+    row = np.repeat(np.arange(len(b.probe)), b.probe)
+    place = np.arange(len(row)) - b.begin[row]
+    kind = b.small[row].astype(np.int64)
+    indexed = (place < b.index[row]).astype(np.int64)
+    parts = np.clip(np.ceil(sketches.decode(b.code) / HOT_LIST), 1, MOST_SPLITS).astype(np.int64)
+    whole = parts == 1
+    yield b.token[whole], row[whole], b.spot(row, place, 2 + indexed, kind)[whole]
+    hot = np.flatnonzero(~whole)
+    if len(hot):
+        part = lambda at, k: K.mix(b.token[at] + (k.astype(np.uint64) + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F))
+        mine = (K.mix(b.hash[row[hot]].view(np.uint64)) % parts[hot].astype(np.uint64)).astype(np.int64)
+        yield part(hot, mine), row[hot], b.spot(row[hot], place[hot], np.full(len(hot), 2), kind[hot])
+        again = np.repeat(hot[indexed[hot] > 0], parts[hot[indexed[hot] > 0]])
+        size = parts[again]
+        first = np.flatnonzero(np.r_[True, again[1:] != again[:-1]]) if len(again) else np.zeros(0, np.int64)
+        k = np.arange(len(again)) - np.repeat(first, size[first])
+        yield part(again, k), row[again], b.spot(row[again], place[again], np.full(len(again), 1), kind[again])
 
 
 def _needed(threshold: float, a: Column, b: Column) -> Column:
@@ -196,13 +318,15 @@ def _needed(threshold: float, a: Column, b: Column) -> Column:
 
 
 def _candidates(postings: DataFrame, threshold: float) -> DataFrame:
-    """(a, b): pairs of set hashes that share at least c prefix tokens and may reach the needed overlap."""
-    once = postings.where("not again").drop("again").unionByName(postings.where("again").drop("again").distinct())
-    indexed = F.col("spot").bitwiseAND(4) != 0
-    a = once.where(indexed).select("key", F.col("hash").alias("a_hash"), F.col("spot").alias("a_spot"))
-    b = once.select("key", F.col("hash").alias("b_hash"), F.col("spot").alias("b_spot"))
+    """(a, b): pairs of set hashes that share at least c prefix shingles and may reach the needed overlap.
+
+    The lists are shuffled once: both sides of the join read the same exchange, so no condition may concern one side only.
+    """
+    lists = postings.repartition("key")
+    a = lists.select("key", F.col("hash").alias("a_hash"), F.col("spot").alias("a_spot"))
+    b = lists.select("key", F.col("hash").alias("b_hash"), F.col("spot").alias("b_spot"))
     part = lambda x, shift, bits: F.shiftrightunsigned(F.col(f"{x}_spot"), shift).bitwiseAND((1 << bits) - 1)
-    n, shared, place, kind = (lambda x: part(x, 42, 21)), (lambda x: part(x, 21, 21)), (lambda x: part(x, 3, 18)), (lambda x: part(x, 0, 2))
+    n, shared, place, kind = (lambda x: part(x, 42, 21)), (lambda x: part(x, 21, 21)), (lambda x: part(x, 4, 17)), (lambda x: part(x, 0, 2))
     need = _needed(threshold, n("a"), n("b"))
     # c matches must lie within both prefixes, around this one
     ends = lambda x, share: F.least(shared(x), shared(x) - F.ceil(F.lit(share) * n(x) - F.lit(1e-9)) + SUBSET)
@@ -211,12 +335,13 @@ def _candidates(postings: DataFrame, threshold: float) -> DataFrame:
     whole = (n("a") < MOST_SIZE) & (n("b") < MOST_SIZE) & (place("a") < MOST_PLACE) & (place("b") < MOST_PLACE)
     reach = F.least(shared("a") - place("a"), shared("b") - place("b")) + F.least(place("a"), place("b"))
     met = a.join(b, "key").where(
-        ((n("a") < n("b")) | ((n("a") == n("b")) & (F.col("a_hash") < F.col("b_hash"))))
+        (F.col("a_spot").bitwiseAND(4) + F.col("b_spot").bitwiseAND(8) == 12)
+        & ((n("a") < n("b")) | ((n("a") == n("b")) & (F.col("a_hash") < F.col("b_hash"))))
         & (((kind("a") == 2) & (kind("b") == 2)) | ((kind("a") < 2) & (kind("b") < 2) & (kind("a") + kind("b") < 2)))
         & (F.least(shared("a"), shared("b")) >= need)
         & (~whole | ((reach >= need) & ((kind("a") == 2) | (around >= F.least(F.lit(SUBSET), need)))))
     )
-    # tiny sets need fewer than c tokens; weights that add up to WHOLE for whatever is needed save a column
+    # tiny sets need fewer than c shingles; weights that add up to WHOLE for whatever is needed save a column
     weight = F.when(kind("a") == 2, F.lit(WHOLE)).when(need >= SUBSET, F.lit(WHOLE // SUBSET)).otherwise(F.ceil(F.lit(WHOLE) / need))
     counted = met.groupBy(F.col("a_hash").alias("a"), F.col("b_hash").alias("b")).agg(F.sum(weight.cast("int")).alias("_met"))
     return counted.where(F.col("_met") >= WHOLE).select("a", "b")
@@ -277,9 +402,10 @@ def near_duplicates(
     only = texts.select("_text")
     repeat_cells = sketches.filter_cells(docs.count())
     repeats = sketches.repeat_filter(docs.where("n > 0"), ["hash"], repeat_cells)
-    postings = materialize(_postings(only, size, threshold, cells, repeats, repeat_cells), "postings")
-    pairs = materialize(_candidates(postings, threshold), "pairs")
-    discard(postings, scanned)  # the sketches are merged, documents and pairs are written
+    prefixes, written = _prefixes(only, size, threshold, cells, repeats, repeat_cells)
+    boundary, sides = choose_boundary(prefixes)
+    pairs = materialize(_candidates(_postings(prefixes, boundary, sides["subsets"]), threshold), "pairs")
+    discard(written, scanned)  # the sketches are merged, documents and pairs are written
     wanted = pairs.select(F.col("a").alias("hash")).unionByName(pairs.select(F.col("b").alias("hash"))).distinct()
     sets = _sets_of(only, size, wanted, repeats, repeat_cells)
     left = sets.select(F.col("hash").alias("a"), F.col("check").alias("a_check"), F.col("tokens").alias("a_tokens"))
@@ -309,10 +435,19 @@ def near_duplicates(
     return classes, links
 
 
+#: Members that one task pairs with the others of their class; a larger class is split, into MOST_SPLITS parts at most.
+MEMBERS = 1000
+
+
 def class_pairs(classes: DataFrame) -> DataFrame:
-    """(sample_id_a, sample_id_b): all pairs, smaller id first, of samples in the same class."""
-    several = classes.groupBy("class_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("class_id")
-    members = classes.join(broadcast_if_small(several), "class_id").select("class_id", "sample_id")
-    a = members.select("class_id", F.col("sample_id").alias("sample_id_a"))
-    b = members.select("class_id", F.col("sample_id").alias("sample_id_b"))
-    return a.join(b, "class_id").where("sample_id_a < sample_id_b").select("sample_id_a", "sample_id_b")
+    """(sample_id_a, sample_id_b): all pairs, smaller id first, of samples in the same class.
+
+    For reports that ask for pairs; the classes themselves hold the same in one row per sample. Members of a large class
+    are dealt out over several keys, and each of them meets the whole class under every key.
+    """
+    several = classes.groupBy("class_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    parts = F.least(F.lit(MOST_SPLITS), F.ceil(F.col("_n") / MEMBERS)).cast("int")
+    members = classes.select("class_id", "sample_id").join(broadcast_if_small(several.select("class_id", parts.alias("_parts"))), "class_id")
+    a = members.select("class_id", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_part"), F.col("sample_id").alias("sample_id_a"))
+    b = members.select("class_id", F.pmod(F.xxhash64("sample_id"), F.col("_parts")).cast("int").alias("_part"), F.col("sample_id").alias("sample_id_b"))
+    return a.join(b, ["class_id", "_part"]).where("sample_id_a < sample_id_b").select("sample_id_a", "sample_id_b")

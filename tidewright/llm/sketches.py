@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from tidewright.llm.kernels import mix
+from tidewright.runtime import discard, materialize
 
 #: Cells of a sketch that travel in one row, and partials merged in one group.
 SEGMENT, FAN_IN = 1 << 20, 16
@@ -120,13 +122,20 @@ def add_to(counts: np.ndarray, at: np.ndarray, times: np.ndarray) -> None:
 
 # --- filter of repeated hashes ---------------------------------------------------------------------------------------
 
-#: Hash functions of the filter, cells per hash, and bounds of its size (one bit a cell once it is merged).
-HASHES, CELLS_PER_HASH, LEAST_CELLS, MOST_CELLS = 3, 12, 1 << 16, 1 << 26
+#: Hash functions of the filter, least cells per hash (with 8 of them 0.03 of the unrepeated hashes pass), and bounds of the
+#: size of one filter (one byte a cell while it is built, one bit once it is merged). More hashes than that get several
+#: filters, by ranges of the hash.
+HASHES, CELLS_PER_HASH, LEAST_CELLS, RANGE_CELLS = 3, 8, 1 << 16, 1 << 27
 
 
-def filter_cells(count: int) -> int:
-    """Cells for ``count`` hashes: a power of two between the bounds. Beyond the upper bound more unrepeated hashes pass."""
-    return int(min(MOST_CELLS, max(LEAST_CELLS, 1 << (max(1, count * CELLS_PER_HASH) - 1).bit_length())))
+def filter_cells(count: int, most: int = RANGE_CELLS) -> int:
+    """Cells for ``count`` hashes in one filter: a power of two between the bounds. Beyond the upper bound more unrepeated hashes pass."""
+    return int(min(most, max(LEAST_CELLS, 1 << (max(1, count * CELLS_PER_HASH) - 1).bit_length())))
+
+
+def filter_ranges(count: int, most: int = RANGE_CELLS) -> int:
+    """Ranges of the hash, a power of two, that keep the cells per hash above CELLS_PER_HASH in filters of ``most`` cells."""
+    return 1 << max(0, -(-count * CELLS_PER_HASH // most) - 1).bit_length()
 
 
 def places(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -140,6 +149,21 @@ def merge_seen(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a | b | ((a & b & 1) << 1)
 
 
+class Seen:
+    """Two Bloom filters in one array: of hashes seen (bit 0) and of hashes seen repeatedly (bit 1)."""
+
+    def __init__(self, size: int):
+        self.cells = np.zeros(size, np.uint8)
+
+    def add(self, hashes: np.ndarray) -> None:
+        values, count = np.unique(hashes, return_counts=True)
+        if len(values):
+            at = places(values, len(self.cells))
+            again = (count > 1) | ((self.cells[at] & 1).min(axis=0) > 0)
+            self.cells[at] |= 1
+            self.cells[at[:, again]] |= 3
+
+
 def repeat_filter(df: DataFrame, columns: list[str], size: int) -> np.ndarray:
     """Packed bits of a Bloom filter that holds every value seen more than once in any of the hash ``columns``.
 
@@ -148,16 +172,11 @@ def repeat_filter(df: DataFrame, columns: list[str], size: int) -> np.ndarray:
     """
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(size, np.uint8)
+        seen = Seen(size)
         for batch in batches:
             for i in range(batch.num_columns):
-                values, count = np.unique(batch.column(i).drop_null().to_numpy(zero_copy_only=False).view(np.uint64), return_counts=True)
-                if len(values):
-                    at = places(values, size)
-                    again = (count > 1) | ((cells[at] & 1).min(axis=0) > 0)
-                    cells[at] |= 1
-                    cells[at[:, again]] |= 3
-        yield from emit(cells, partition_id())
+                seen.add(batch.column(i).drop_null().to_numpy(zero_copy_only=False).view(np.uint64))
+        yield from emit(seen.cells, partition_id())
 
     narrow = df.select(*columns)
     partials = narrow.mapInArrow(build, SCHEMA)
@@ -182,3 +201,25 @@ def may_repeat(df: DataFrame, bits: np.ndarray, size: int) -> Callable:
         return pa.array(holds(values, table, size) & ~hashes.is_null().to_numpy(zero_copy_only=False))
 
     return F.arrow_udf(probe, BooleanType())
+
+
+def mark_repeats(df: DataFrame, column: str, count: int, most: int = RANGE_CELLS) -> DataFrame:
+    """``df`` with ``_maybe``: true for every row whose hash in ``column`` stands in several rows, and for few others.
+
+    ``df`` must be written already; ``count`` is its number of rows. One filter serves as long as its cells suffice; beyond,
+    the table is written again by ranges of the hash (no shuffle), and each range is marked with a filter of its own, so
+    the share of unrepeated hashes that pass does not grow with the table. Null hashes are not repeated.
+    """
+    ranges = filter_ranges(count, most)
+    if ranges == 1:
+        size = filter_cells(count, most)
+        return df.withColumn("_maybe", may_repeat(df, repeat_filter(df, [column], size), size)(column))
+    place = F.coalesce(F.shiftrightunsigned(column, 65 - ranges.bit_length()), F.lit(0)).cast("int")
+    dealt = materialize(df.withColumn("_range", place), "ranges", "_range")
+    marked = []
+    for k in range(ranges):
+        part = dealt.where(F.col("_range") == k).drop("_range")
+        probe = may_repeat(part, repeat_filter(part, [column], most), most)
+        marked.append(materialize(part.withColumn("_maybe", probe(column)), "marked"))
+    discard(dealt)
+    return reduce(DataFrame.unionByName, marked)
