@@ -36,21 +36,24 @@ def duplicate_records(samples: DataFrame) -> tuple[DataFrame, DataFrame]:
     ``records`` has one row per distinct record: (record_id, copies), the smallest sample_id and how many samples carry
     it. ``copies`` has (first_id, copy_id) for every further sample of a group.
 
-    Two partition-merged Bloom filters (hashes seen once, hashes seen repeatedly) mark the rows that may be repeats, of
-    the content or of the sample_id; only they are shuffled and grouped by a 128-bit digest, all others are singletons.
+    Partition-merged Bloom filters (hashes seen once, hashes seen repeatedly) mark the rows that may be repeats, first of
+    the sample_id, then of the content; only they are shuffled and grouped by a 128-bit digest, all others are singletons.
     Of a sample_id the latest delivery counts. Null ids are dropped; a record without messages and text is a singleton,
     empty texts are copies of each other.
     """
     content = canonical_record(F.col("messages"), F.col("text"))
     rows = samples.where("sample_id is not null").select("sample_id", "ingested_at", content.alias("_content"))
-    rows = rows.select("sample_id", "ingested_at", F.unhex(F.md5("_content")).alias("digest"))
-    rows = materialize(rows.select("*", F.xxhash64("digest").alias("_h"), F.xxhash64(F.lit("id"), "sample_id").alias("_s")).withColumn("_h", F.when(F.col("digest").isNotNull(), F.col("_h"))), "digests")
-    size = sketches.filter_cells(2 * rows.count())
-    probe = sketches.may_repeat(rows, sketches.repeat_filter(rows, ["_h", "_s"], size), size)
-    marked = rows.select("sample_id", "ingested_at", "digest", (probe("_h") | probe("_s")).alias("_maybe"))
-    latest = materialize(latest_by(marked.where("_maybe"), "sample_id", "ingested_at", {"digest": F.col("digest")}), "repeats")
-    groups = latest.where("digest is not null").groupBy("digest").agg(F.min("sample_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
-    lone = marked.where(~F.col("_maybe")).select("sample_id").unionByName(latest.where("digest is null").select("sample_id"))
+    rows = rows.select("sample_id", "ingested_at", F.unhex(F.md5("_content")).alias("digest"), F.xxhash64("sample_id").alias("_s"))
+    rows = materialize(rows, "digests")
+    count = rows.count()
+    delivered = sketches.mark_repeats(rows, "_s", count)
+    once = delivered.where("not _maybe").select("sample_id", "digest")
+    resolved = once.unionByName(latest_by(delivered.where("_maybe"), "sample_id", "ingested_at", {"digest": F.col("digest")}))
+    resolved = materialize(resolved.withColumn("_h", F.when(F.col("digest").isNotNull(), F.xxhash64("digest"))), "resolved")
+    marked = sketches.mark_repeats(resolved, "_h", count)
+    latest = materialize(marked.where("_maybe").select("sample_id", "digest"), "repeats")
+    groups = latest.groupBy("digest").agg(F.min("sample_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
+    lone = marked.where(~F.col("_maybe")).select("sample_id")
     records = groups.select(F.col("first_id").alias("record_id"), "copies").unionByName(lone.select(F.col("sample_id").alias("record_id"), F.lit(1).cast("bigint").alias("copies")))
     salt = F.when(F.col("copies") > HOT_COPIES, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     several = groups.where("copies > 1").select("digest", "first_id", F.explode(salt).alias("_salt"), (F.col("copies") > HOT_COPIES).alias("_hot"))
