@@ -356,3 +356,65 @@ def test_reading_level_edges(spark):
     assert set(got) == {1, 6} and all(1 <= b <= 4 for b in got.values())
     assert reading.reading_levels(docs, labels.limit(0)).count() == 0
     assert reading.reading_levels(docs.limit(0), labels).count() == 0
+
+
+# --- languages and scripts ------------------------------------------------------------------------------------------
+
+Q = "How should the worker be closed with the tool?"
+OTHER = {
+    "ru": "Очередь рабочего процесса нужно закрыть, прежде чем её открыть.", "ko": "작업자의 대기열을 먼저 닫아야 합니다.", "ar": "يجب إغلاق قائمة الانتظار قبل فتحها.", "pt": "A fila deve ser fechada antes que você possa abri-la, e isso não é difícil.",
+    "ja": "ワーカーのキューを閉じる必要があります。", "zh": "先关闭工作进程的队列。", "uk": "Черга має бути закрита, перш ніж її відкриють.", "hi": "पहले कतार बंद करें।", "it": "La coda deve essere chiusa prima di aprire il processo, perché questo non è difficile.",
+}
+
+
+def test_languages_by_script_and_words():
+    assert language.detect(pa.array(list(OTHER.values()))).to_pylist() == list(OTHER)
+    assert language.detect(pa.array(["OK ок"])).to_pylist() == [None]
+
+
+def test_answers_in_any_script_and_long_answers(spark):
+    tail = " The reasons are many, and I would like to set them out in some detail here." * 8
+    cases = [(Q, a, ["other_language"]) for a in OTHER.values()]
+    cases += [(q, a, []) for q, a in (("Как закрыть рабочий процесс?", OTHER["ru"]), ("ワーカーはどう閉じますか？", OTHER["ja"]), ("Please answer in Russian: " + Q, OTHER["ru"]), ("Как закрыть рабочий процесс?", "kubectl delete pod worker-3"))]
+    cases += [(Q, "<div><span></span></div><p></p>" * 12, ["empty"]), (Q, "I'm sorry, but I can't help with that." + tail, ["refusal"]), (Q, 'The bot answered "I cannot help with that" in 21 chats, so we closed the queue and looked at the log.' + tail, [])]
+    cases += [("Как закрыть рабочий процесс?", "К сожалению, я не могу вам помочь с этим.", ["refusal"]), ("Como devo fechar a fila do processo, e quando?", "Desculpe, mas não posso ajudar com isso.", ["refusal"]), (Q, '"I\'m sorry, I can\'t help with that."', ["refusal"])]
+    df = spark.createDataFrame([(i, q, a) for i, (q, a, _) in enumerate(cases)], "i int, q string, a string")
+    got = {r["i"]: r["defects"] for r in pairs.defects(df, F.col("q"), F.col("a"), keep={"i": F.col("i")}).collect()}
+    assert {i: (got[i], cases[i][1][:40]) for i in got if got[i] != cases[i][2]} == {}
+
+
+def test_declared_languages_are_kept(spark):
+    from tidewright.llm.common import language_code
+
+    rows = [("en-US", "en"), ("English", "en"), ("Italiano", "it"), ("por", "pt"), ("русский", "ru"), ("ga", "ga"), ("ZH_tw", "zh"), ("und", None), ("klingon", None), ("", None), (None, None), ("1", None)]
+    df = spark.createDataFrame([(i, a) for i, (a, _) in enumerate(rows)], "i int, a string")
+    got = {r["i"]: r["c"] for r in df.select("i", language_code(F.col("a")).alias("c")).collect()}
+    assert [got[i] for i in range(len(rows))] == [c for _, c in rows]
+
+
+def test_filters_by_ranges_of_the_hash(spark):
+    """As many hashes for each cell as 10^9 records bring: one filter of 2^12 cells would be full, ranges are not."""
+    from tidewright.llm import sketches
+    from tidewright.runtime import materialize
+
+    count, most = 20_000, 1 << 12
+    df = spark.range(count).select("id", F.when(F.col("id") % 10 == 0, F.xxhash64((F.col("id") / 20).cast("bigint"))).when(F.col("id") != 7, F.xxhash64("id", F.lit("x"))).alias("h")).repartition(8)
+    df = materialize(df, "hashes")
+    assert sketches.filter_ranges(count, most) == 64 and sketches.filter_ranges(10**9) == 64 and sketches.filter_ranges(1000) == 1
+    marked = sketches.mark_repeats(df, "h", count, most).select("id", "h", "_maybe")
+    again = df.groupBy("h").count().where("count > 1 and h is not null").select("h")
+    assert marked.count() == count and marked.join(again, "h", "left_semi").where("not _maybe").count() == 0
+    assert marked.where("h is null").select("_maybe").first()[0] is False
+    lone = marked.where("h is not null").join(again, "h", "left_anti")
+    assert lone.where("_maybe").count() < 0.05 * lone.count()
+
+
+def test_repeats_in_ranges_give_the_same_records(spark, monkeypatch):
+    from tidewright.llm import sketches
+
+    rows = [(f"s{i % 90:03d}", T0 + timedelta(i // 90), None, f"text {i % 37}" if i % 5 else None) for i in range(100)]
+    df = spark.createDataFrame(rows, f"sample_id string, ingested_at timestamp, messages {MSG}, text string")
+    found = lambda: [sorted(map(tuple, t.collect())) for t in formatting.duplicate_records(df)]
+    one = found()
+    monkeypatch.setattr(sketches, "mark_repeats", lambda d, c, n, most=0, f=sketches.mark_repeats: f(d, c, n, 256))
+    assert found() == one and one[1]

@@ -8,23 +8,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Spellings of a language in metadata, by code. Fixed values.
+#: Names of languages in metadata beside their two-letter code, by code. Fixed values.
 LANGUAGE_NAMES = {
-    "en": ("en", "eng", "english"),
-    "de": ("de", "deu", "ger", "german", "deutsch"),
-    "fr": ("fr", "fra", "fre", "french", "français", "francais"),
-    "es": ("es", "spa", "spanish", "español", "espanol"),
-    "zh": ("zh", "zho", "chi", "cmn", "chinese", "中文"),
-}
+    "en": "eng english", "de": "deu ger german deutsch", "fr": "fra fre french français francais", "es": "spa spanish español espanol castellano", "zh": "zho chi cmn chinese mandarin 中文 汉语", "it": "ita italian italiano",
+    "pt": "por portuguese português portugues", "nl": "nld dut dutch nederlands", "sv": "swe swedish svenska", "da": "dan danish dansk", "no": "nor nob nb nn norwegian norsk", "fi": "fin finnish suomi", "pl": "pol polish polski",
+    "cs": "ces cze czech čeština", "ro": "ron rum romanian română", "hu": "hun hungarian magyar", "tr": "tur turkish türkçe", "ru": "rus russian русский", "uk": "ukr ukrainian українська", "bg": "bul bulgarian български",
+    "el": "ell gre greek ελληνικά", "he": "heb hebrew iw עברית", "ar": "ara arabic العربية", "fa": "fas per persian farsi فارسی", "ur": "urd urdu اردو", "hi": "hin hindi हिन्दी", "bn": "ben bengali বাংলা", "ta": "tam tamil தமிழ்",
+    "th": "tha thai ไทย", "vi": "vie vietnamese tiếng", "id": "ind indonesian bahasa", "ja": "jpn japanese 日本語", "ko": "kor korean 한국어",
+}
+#: Codes that say that the language is not known. Fixed values.
+NO_LANGUAGE = ("und", "unk", "xx", "xxx", "zxx", "mul", "mis", "nan", "nil", "na")
 
 
 def language_code(column: Column) -> Column:
-    """Two-letter code of a language spelt in any of the known ways (``en-US``, ``English``, ``eng``), else null."""
+    """Code of a language spelt in any of the known ways (``en-US``, ``English``, ``eng``); other codes of two or three letters stay, else null."""
     head = F.lower(F.regexp_extract(F.trim(column), r"^([^\s_-]+)", 1))
-    found = F.lit(None).cast("string")
-    for code, names in LANGUAGE_NAMES.items():
-        found = F.when(head.isin(*names), F.lit(code)).otherwise(found)
-    return found
+    known = F.create_map(*[F.lit(x) for code, names in LANGUAGE_NAMES.items() for name in (code, *names.split()) for x in (name, code)])
+    return F.coalesce(F.try_element_at(known, head), F.when(head.rlike(r"^[a-z]{2,3}$") & ~head.isin(*NO_LANGUAGE), head))
 
 
 def label(column: Column) -> Column:

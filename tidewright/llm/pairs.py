@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.language import language_of
+from tidewright.llm.language import language_and_script
 from tidewright.runtime import latest_by
 
 #: Defects in the order in which one is chosen when several are triggered.
@@ -31,14 +31,27 @@ REFUSALS = (
     r"no puedo (ayudar|responder|atender|proporcionar|ofrecer|contestar)", r"no me es posible (responder|ayudar|atender)", r"prefiero no (tratar|responder|hablar|contestar)", r"(debo|tengo que) (rechazar|declinar)", r"fuera de lo que puedo", r"no atiendo (este|esta|ese)",
     r"no se puede dar respuesta", r"normas no (me )?lo permiten", r"(rechazo|declino) (la|esta) (petición|solicitud)",
     r"(不便|无法|不能|不可以|难以) ?(回答|回复|提供|处理|满足|帮助|协助|答复|作答)", r"恕 ?(我)? ?(无法|不能|难以)", r"拒绝回答|拒绝该(请求|要求)", r"我不能处理|不能处理",
+    r"não (posso|consigo|poderei|me é possível|estou em condições de) (te |lhe |o |a )?(ajudar|ajudá|auxiliar|responder|atender|fornecer|comentar)", r"(devo|preciso|tenho de|tenho que) (recusar|declinar)", r"prefiro não (responder|comentar|tratar|falar)", r"fora do que (eu )?posso",
+    r"non (posso|sono in grado di|mi è possibile) (aiutar|rispond|fornir|assister|soddisf|comment)", r"(devo|preferisco) (rifiutare|declinare|non rispondere)",
+    r"не (могу|можем|смогу|сможем) (вам |тебе |с этим |вам с этим |на это )?(помочь|ответить|отвечать|предоставить|обсуждать|выполнить|комментировать)", r"(вынужден|вынуждена|должен|должна) отказать", r"отказываюсь (отвечать|выполнять|помогать)", r"не можу (вам |тобі )?(з цим )?(допомогти|відповісти|надати)",
+    r"nie mogę (ci |panu |pani |w tym |na to )?(pomóc|odpowiedzieć|udzielić)", r"muszę odmówić", r"kan ik (je |u )?(hier |daar )?(helaas )?niet (mee )?(helpen|beantwoorden)", r"ik kan (je |u |dit |dat |deze vraag )?(hier |daar )?(helaas )?niet (mee )?(helpen|beantwoorden)", r"kan (jag )?(tyvärr )?(inte|ikke) (hjälpa|svara|besvara|hjælpe)",
+    r"yardımcı ol(amam|amıyorum|amayacağım)|(cevap|yanıt) veremem|yanıtlayamam", r"(お答え|回答|お手伝い|ご提供|提供|対応|お応え)(は|を|する)?(こと(は|が))?(でき(ません|ない|かね)|いたしかね|致しかね|出来ません)", r"お断り(し|いたし|致し|させて)", r"(도와 ?드릴|도울|답변 ?드릴|답변할|답할|대답할|제공할|제공해 ?드릴) 수 ?(가 )?없", r"답변을 ?거부",
+    r"لا (أستطيع|استطيع|يمكنني|أقدر على) (أن )?(مساعدتك|أساعدك|المساعدة|الإجابة|الرد|تقديم|تلبية)", r"أعتذر عن (الإجابة|المساعدة|عدم)", r"(मदद|सहायता|उत्तर|जवाब) नहीं (कर|दे) सकत", r"tôi không thể (giúp|trả lời|cung cấp|hỗ trợ)", r"tidak (dapat|bisa) (membantu|menjawab|memberikan)",
 )
-#: A refusal has at most this many words (Han characters count as letters of a word here) and characters.
-REFUSAL_WORDS, REFUSAL_CHARS = 60, 420
+#: A refusal opens the answer: its phrase starts within so many characters, outside of quotation marks.
+OPENING = 200
+#: Quoted passages: what somebody else said. At least OWN_WORDS words must stand outside of them, else the whole answer counts.
+_QUOTED, OWN_WORDS = r"\"[^\"\n]*\"|“[^”\n]*”|„[^“”\n]*[“”]|«[^»\n]*»|「[^」\n]*」|『[^』\n]*』", 3
+_MARKUP = r"<[^<>]*>|&nbsp;"
 
 #: A wish for an answer in a named language. Fixed values.
 ASKED = (
-    r"\b(in|into|auf|ins|en|au) (english|german|french|spanish|chinese|mandarin|deutsch|englisch|französisch|spanisch|chinesisch|anglais|allemand|français|espagnol|chinois|inglés|alemán|francés|español|chino)\b"
-    r"|(用|以|译成|翻译成) ?(英|德|法|西班牙|中|汉)(文|语)|\b(translate|übersetze|traduis|traduire|traduce|traducir)\b|翻译"
+    r"\b(in|into|auf|ins|en|au|em|para|na|naar|po|til|till) (english|german|french|spanish|chinese|mandarin|russian|portuguese|italian|japanese|korean|arabic|hindi|dutch|polish|turkish|ukrainian|swedish|vietnamese"
+    r"|deutsch|englisch|französisch|spanisch|chinesisch|russisch|portugiesisch|italienisch|japanisch|koreanisch|arabisch|anglais|allemand|français|espagnol|chinois|russe|portugais|italien|japonais|coréen|arabe"
+    r"|inglés|alemán|francés|español|chino|ruso|portugués|italiano|japonés|coreano|árabe|inglês|alemão|francês|espanhol|chinês|português|inglese|tedesco|francese|spagnolo|cinese|russo|portoghese|giapponese|engels|duits|frans|spaans|nederlands)\b"
+    r"|на (английском|немецком|французском|испанском|китайском|русском|японском|английский|немецкий|французский|испанский|китайский|русский)"
+    r"|(用|以|译成|翻译成) ?(英|德|法|西班牙|中|汉|俄|日|韩|葡萄牙|阿拉伯|意大利)(文|语)|(英|日本|中国|韓国|ドイツ|フランス|スペイン|ロシア)語で|(영어|한국어|일본어|중국어|독일어|프랑스어|스페인어)로|بال(إنجليزية|عربية|فرنسية|ألمانية|إسبانية|صينية|روسية)"
+    r"|\b(translate|translation|übersetze|übersetzung|traduis|traduire|traduce|traducir|traduz|traduza|traduzir|traduci|vertaal|przetłumacz)\b|翻译|翻訳|번역|перевед|ترجم"
 )
 
 _FENCE = "```"
@@ -68,21 +81,26 @@ def defects(df: DataFrame, question: Column, answer: Column, context: Column | N
     """``keep`` plus ``defects``: every triggered defect of each pair, in the order of :data:`ORDER`.
 
     Null or blank answers are ``empty`` and nothing else; a null or blank question can only make an answer ``empty``,
-    ``refusal`` or ``truncated``. ``context`` (a system prompt) may also ask for a language.
+    ``refusal`` or ``truncated``. ``context`` (a system prompt) may also ask for a language. No rule depends on how long an
+    answer is: markup is taken off any answer before it is called empty, a refusal may be followed by any explanation (but
+    opens the answer, and not as a quotation), and ``other_language`` is a script that the question does not use, or
+    another language by function words.
     """
     keep = keep or {}
     base = df.select(*[c.alias(n) for n, c in keep.items()], F.coalesce(question, F.lit("")).alias("_q"), F.coalesce(answer, F.lit("")).alias("_a"), F.coalesce(context if context is not None else F.lit(""), F.lit("")).alias("_s"))
     base = base.select(
         "*",
         canonical(F.col("_q")).alias("_cq"),
-        F.when(F.length("_a") < 80, canonical(F.regexp_replace(F.col("_a"), r"<[^<>]*>|&nbsp;", " "))).otherwise(canonical(F.col("_a"))).alias("_ca"),
+        canonical(F.when(F.col("_a").rlike("[<&]"), F.regexp_replace("_a", _MARKUP, " ")).otherwise(F.col("_a"))).alias("_ca"),
     )
-    base = base.select("*", F.split("_ca", " ").alias("_wa"), F.split("_cq", " ").alias("_wq"), language_of(F.col("_q")).alias("_lq"), language_of(F.col("_a")).alias("_la"))
+    outside = canonical(F.regexp_replace("_a", _QUOTED, " "))
+    own = F.when(F.col("_a").rlike("[\"“„«「『]") & (F.size(F.split(outside, " ")) >= OWN_WORDS), outside).otherwise(F.col("_ca"))
+    base = base.select("*", own.alias("_own"), F.split("_ca", " ").alias("_wa"), F.split("_cq", " ").alias("_wq"), language_and_script(F.col("_q")).alias("_lq"), language_and_script(F.col("_a")).alias("_la"))
     words = F.size("_wa")
     # for the rule on endings each Han character is a word, since no blanks stand between them
     spelled = F.when(F.col("_ca").rlike(r"\p{IsHan}"), F.size(F.regexp_extract_all("_ca", F.lit(r"\p{IsHan}|[^ \p{IsHan}]+"), F.lit(0)))).otherwise(words)
     empty = F.col("_ca").isin(*NOTHING)
-    refusal = (words <= REFUSAL_WORDS) & (F.length("_ca") <= REFUSAL_CHARS) & F.col("_ca").rlike("|".join(f"(?:{r})" for r in REFUSALS))
+    refusal = F.col("_own").rlike(rf"^.{{0,{OPENING}}}?(?:{'|'.join(f'(?:{r})' for r in REFUSALS)})")
     flat_q, flat_a = F.replace("_cq", F.lit(" "), F.lit("")), F.replace("_ca", F.lit(" "), F.lit(""))
     spoken = F.array_distinct("_wa")
     copied = (F.length(flat_q) >= 12) & (
@@ -91,7 +109,10 @@ def defects(df: DataFrame, question: Column, answer: Column, context: Column | N
         | ((words >= 8) & (F.size(F.array_intersect(spoken, F.col("_wq"))) >= 0.85 * F.size(spoken)))
     )
     asked = F.lower("_q").rlike(ASKED) | F.lower("_s").rlike(ASKED)
-    other = F.col("_lq").isNotNull() & F.col("_la").isNotNull() & (F.col("_lq") != F.col("_la")) & ~asked
+    # a script that the question does not use needs no further words to tell; Latin letters may be names or code
+    spoken_other = F.coalesce(F.col("_lq.language") != F.col("_la.language"), F.lit(False))
+    written_other = F.coalesce((F.col("_lq.script") != F.col("_la.script")) & (F.col("_la.script") != "LATIN"), F.lit(False))
+    other = (spoken_other | written_other) & ~asked
     rules = {"empty": empty, "copied": copied, "refusal": refusal, "truncated": _truncated(F.col("_a"), spelled), "other_language": other}
     listed = F.array_compact(F.array(*[F.when(rules[d], F.lit(d)) for d in ORDER]))
     return base.select(*keep, F.when(empty, F.array(F.lit("empty"))).otherwise(listed).alias("defects"))

@@ -32,7 +32,8 @@ CONNECTIVES = (
     "bien parce tandis lorsque quand lorsqu puisque afin malgré quoique dès après avant dont cependant toutefois "
     "aunque porque mientras cuando puesto hasta después antes luego además embargo desde cual cuyo "
 )
-_LANGUAGES = (*FUNCTION_WORDS, "zh", None)
+#: Languages that are standardised by themselves; all others count as undecided.
+_LANGUAGES = ("en", "de", "fr", "es", "zh", None)
 _ENDS = np.array([ord(c) for c in ".!?…。！？"], np.uint32)
 _COMMAS = np.array([ord(c) for c in ",;:，；：、–—("], np.uint32)
 
@@ -53,7 +54,7 @@ def running_text(text: Column) -> Column:
 
 @lru_cache(maxsize=1)
 def _lists() -> tuple[np.ndarray, np.ndarray]:
-    return K.hash_set(CONNECTIVES.split()), K.hash_set(" ".join(FUNCTION_WORDS.values()).split())
+    return K.hash_set(CONNECTIVES.split()), K.hash_set(" ".join(FUNCTION_WORDS[c] for c in _LANGUAGES[:4]).split())
 
 
 def _word_cell(hashes: np.ndarray) -> np.ndarray:
@@ -69,8 +70,8 @@ def features(text: K.Chars, rarity: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     w = K.words(text, K.LETTER | K.MARK, split_han=True)
     docs = text.docs
     n = K.per_doc(w.doc, docs)
-    code = detect_block(text)
-    language = np.array([_LANGUAGES.index(c) for c in code], np.int64)
+    code = detect_block(text)[0]
+    language = np.array([_LANGUAGES.index(c) if c in _LANGUAGES else len(_LANGUAGES) - 1 for c in code], np.int64)
     out = np.zeros((docs, len(FEATURES)))
     if not len(w.hash):
         return n, language, out
