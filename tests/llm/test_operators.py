@@ -376,7 +376,7 @@ def test_answers_in_any_script_and_long_answers(spark):
     tail = " The reasons are many, and I would like to set them out in some detail here." * 8
     cases = [(Q, a, ["other_language"]) for a in OTHER.values()]
     cases += [(q, a, []) for q, a in (("Как закрыть рабочий процесс?", OTHER["ru"]), ("ワーカーはどう閉じますか？", OTHER["ja"]), ("Please answer in Russian: " + Q, OTHER["ru"]), ("Как закрыть рабочий процесс?", "kubectl delete pod worker-3"))]
-    cases += [(Q, "<div><span></span></div><p></p>" * 12, ["empty"]), (Q, "I'm sorry, but I can't help with that." + tail, ["refusal"]), (Q, 'The bot answered "I cannot help with that" in 21 chats, so we closed the queue and looked at the log.' + tail, [])]
+    cases += [(Q, "<div><span></span></div><p></p>" * 12, ["empty"]), (Q, "I'm sorry, but I can't help with that." + tail, ["refusal"]), (Q, 'The bot answered "I cannot help with that" in 21 chats, so we closed the queue and looked at the log.' + tail, []), (Q, "The bot said 'I can't help with that' in 21 chats, so we closed the queue and looked at the log.", [])]
     cases += [("Как закрыть рабочий процесс?", "К сожалению, я не могу вам помочь с этим.", ["refusal"]), ("Como devo fechar a fila do processo, e quando?", "Desculpe, mas não posso ajudar com isso.", ["refusal"]), (Q, '"I\'m sorry, I can\'t help with that."', ["refusal"])]
     df = spark.createDataFrame([(i, q, a) for i, (q, a, _) in enumerate(cases)], "i int, q string, a string")
     got = {r["i"]: r["defects"] for r in pairs.defects(df, F.col("q"), F.col("a"), keep={"i": F.col("i")}).collect()}

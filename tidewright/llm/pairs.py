@@ -30,18 +30,24 @@ REFUSALS = (
     r"aucune réponse ne peut", r"consignes ne (me )?le permettent pas", r"je (décline|refuse)\b",
     r"no puedo (ayudar|responder|atender|proporcionar|ofrecer|contestar)", r"no me es posible (responder|ayudar|atender)", r"prefiero no (tratar|responder|hablar|contestar)", r"(debo|tengo que) (rechazar|declinar)", r"fuera de lo que puedo", r"no atiendo (este|esta|ese)",
     r"no se puede dar respuesta", r"normas no (me )?lo permiten", r"(rechazo|declino) (la|esta) (petición|solicitud)",
-    r"(不便|无法|不能|不可以|难以) ?(回答|回复|提供|处理|满足|帮助|协助|答复|作答)", r"恕 ?(我)? ?(无法|不能|难以)", r"拒绝回答|拒绝该(请求|要求)", r"我不能处理|不能处理",
     r"não (posso|consigo|poderei|me é possível|estou em condições de) (te |lhe |o |a )?(ajudar|ajudá|auxiliar|responder|atender|fornecer|comentar)", r"(devo|preciso|tenho de|tenho que) (recusar|declinar)", r"prefiro não (responder|comentar|tratar|falar)", r"fora do que (eu )?posso",
     r"non (posso|sono in grado di|mi è possibile) (aiutar|rispond|fornir|assister|soddisf|comment)", r"(devo|preferisco) (rifiutare|declinare|non rispondere)",
     r"не (могу|можем|смогу|сможем) (вам |тебе |с этим |вам с этим |на это )?(помочь|ответить|отвечать|предоставить|обсуждать|выполнить|комментировать)", r"(вынужден|вынуждена|должен|должна) отказать", r"отказываюсь (отвечать|выполнять|помогать)", r"не можу (вам |тобі )?(з цим )?(допомогти|відповісти|надати)",
     r"nie mogę (ci |panu |pani |w tym |na to )?(pomóc|odpowiedzieć|udzielić)", r"muszę odmówić", r"kan ik (je |u )?(hier |daar )?(helaas )?niet (mee )?(helpen|beantwoorden)", r"ik kan (je |u |dit |dat |deze vraag )?(hier |daar )?(helaas )?niet (mee )?(helpen|beantwoorden)", r"kan (jag )?(tyvärr )?(inte|ikke) (hjälpa|svara|besvara|hjælpe)",
-    r"yardımcı ol(amam|amıyorum|amayacağım)|(cevap|yanıt) veremem|yanıtlayamam", r"(お答え|回答|お手伝い|ご提供|提供|対応|お応え)(は|を|する)?(こと(は|が))?(でき(ません|ない|かね)|いたしかね|致しかね|出来ません)", r"お断り(し|いたし|致し|させて)", r"(도와 ?드릴|도울|답변 ?드릴|답변할|답할|대답할|제공할|제공해 ?드릴) 수 ?(가 )?없", r"답변을 ?거부",
+    r"yardımcı ol(amam|amıyorum|amayacağım)|(cevap|yanıt) veremem|yanıtlayamam",
     r"لا (أستطيع|استطيع|يمكنني|أقدر على) (أن )?(مساعدتك|أساعدك|المساعدة|الإجابة|الرد|تقديم|تلبية)", r"أعتذر عن (الإجابة|المساعدة|عدم)", r"(मदद|सहायता|उत्तर|जवाब) नहीं (कर|दे) सकत", r"tôi không thể (giúp|trả lời|cung cấp|hỗ trợ)", r"tidak (dapat|bisa) (membantu|menjawab|memberikan)",
 )
-#: A refusal opens the answer: its phrase starts within so many characters, outside of quotation marks.
-OPENING = 200
+#: The same where words are not set apart by blanks. Fixed values.
+REFUSALS_UNSPACED = (
+    r"(不便|无法|不能|不可以|难以) ?(回答|回复|提供|处理|满足|帮助|协助|答复|作答)", r"恕 ?(我)? ?(无法|不能|难以)", r"(^| |我|我们|只能|必须|不得不) ?拒绝(回答|该请求|该要求)",
+    r"(お答え|回答|お手伝い|ご提供|提供|対応|お応え)(は|を|する)?(こと(は|が))?(でき(ません|ない|かね)|いたしかね|致しかね|出来ません)", r"お断り(し|いたし|致し|させて)", r"(도와 ?드릴|도울|답변 ?드릴|답변할|답할|대답할|제공할|제공해 ?드릴) 수 ?(가 )?없", r"답변을 ?거부",
+)
+UNSPACED = ("CJK", "HIRAGANA", "HANGUL")
+#: A refusal opens the answer: its phrase starts within so many words (characters where words are not set apart), outside
+#: of quotation marks.
+OPENING_WORDS, OPENING_CHARS = 40, 120
 #: Quoted passages: what somebody else said. At least OWN_WORDS words must stand outside of them, else the whole answer counts.
-_QUOTED, OWN_WORDS = r"\"[^\"\n]*\"|“[^”\n]*”|„[^“”\n]*[“”]|«[^»\n]*»|「[^」\n]*」|『[^』\n]*』", 3
+_QUOTED, OWN_WORDS = r"\"[^\"\n]*\"|“[^”\n]*”|„[^“”\n]*[“”]|«[^»\n]*»|「[^」\n]*」|『[^』\n]*』|‘[^’\n]*’(?!\p{L})|(?<![\p{L}\p{N}])'(?:[^'\n]|'(?=\p{L}))*+'", 3
 _MARKUP = r"<[^<>]*>|&nbsp;"
 
 #: A wish for an answer in a named language. Fixed values.
@@ -94,13 +100,15 @@ def defects(df: DataFrame, question: Column, answer: Column, context: Column | N
         canonical(F.when(F.col("_a").rlike("[<&]"), F.regexp_replace("_a", _MARKUP, " ")).otherwise(F.col("_a"))).alias("_ca"),
     )
     outside = canonical(F.regexp_replace("_a", _QUOTED, " "))
-    own = F.when(F.col("_a").rlike("[\"“„«「『]") & (F.size(F.split(outside, " ")) >= OWN_WORDS), outside).otherwise(F.col("_ca"))
+    own = F.when(F.col("_a").rlike("[\"“„«「『‘']") & (F.size(F.split(outside, " ")) >= OWN_WORDS), outside).otherwise(F.col("_ca"))
     base = base.select("*", own.alias("_own"), F.split("_ca", " ").alias("_wa"), F.split("_cq", " ").alias("_wq"), language_and_script(F.col("_q")).alias("_lq"), language_and_script(F.col("_a")).alias("_la"))
     words = F.size("_wa")
     # for the rule on endings each Han character is a word, since no blanks stand between them
     spelled = F.when(F.col("_ca").rlike(r"\p{IsHan}"), F.size(F.regexp_extract_all("_ca", F.lit(r"\p{IsHan}|[^ \p{IsHan}]+"), F.lit(0)))).otherwise(words)
     empty = F.col("_ca").isin(*NOTHING)
-    refusal = F.col("_own").rlike(rf"^.{{0,{OPENING}}}?(?:{'|'.join(f'(?:{r})' for r in REFUSALS)})")
+    opens = lambda step, phrases: F.col("_own").rlike(f"^{step}?(?:{'|'.join(f'(?:{r})' for r in phrases)})")
+    refusal = F.when(F.col("_la.script").isin(*UNSPACED), opens(f".{{0,{OPENING_CHARS}}}", REFUSALS_UNSPACED)).otherwise(opens(f"(?:[^ ]+ ){{0,{OPENING_WORDS}}}", REFUSALS))
+    refusal = F.coalesce(refusal, F.lit(False))
     flat_q, flat_a = F.replace("_cq", F.lit(" "), F.lit("")), F.replace("_ca", F.lit(" "), F.lit(""))
     spoken = F.array_distinct("_wa")
     copied = (F.length(flat_q) >= 12) & (
