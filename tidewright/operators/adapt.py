@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewright.functions.text import first_filled, sorted_json, squash, squashed_or_null, stable_id
+from tidewright.functions.text import sorted_json, squash, squashed_or_null, stable_id
 from tidewright.schema import COLUMNS, MESSAGES, default_signals, generation_type, judge_type, last_assistant, render_conversation
 
 
@@ -41,7 +41,10 @@ def _as_text(column: Column, kind: T.DataType) -> Column:
 
 
 class _Row:
-    """Columns of a source by key; a key that is unset or absent has none."""
+    """Columns of a source by key; a key that is unset or absent has none.
+
+    Texts are squashed once, in columns of their own (:meth:`bound`), which every later expression reads.
+    """
 
     def __init__(self, df: DataFrame):
         self.fields = {f.name: f.dataType for f in df.schema.fields}
@@ -49,8 +52,14 @@ class _Row:
     def get(self, key: str | None) -> Column | None:
         return _as_text(F.col(f"`{key}`"), self.fields[key]) if key and key in self.fields else None
 
-    def chosen(self, *keys: str | None) -> list[Column]:
-        return [c for c in map(self.get, keys) if c is not None]
+    def bound(self, df: DataFrame, mapping: Mapping) -> DataFrame:
+        keys = dict.fromkeys(k for k in (mapping.prompt_key, mapping.instruction_key, mapping.text_key, mapping.input_key, mapping.response_key, mapping.output_key, mapping.system_prompt_key) if k in self.fields)
+        return df.select("*", *[squash(self.get(k)).alias(f"__squashed_{k}") for k in keys])
+
+    def filled(self, *keys: str | None) -> Column:
+        """The first of these columns that is not blank, squashed; null if all are."""
+        there = [F.nullif(F.col(f"`__squashed_{k}`"), F.lit("")) for k in keys if k in self.fields]
+        return F.coalesce(*there, F.lit(None).cast("string"))
 
 
 def _message(item: Column, kind: T.DataType, mapping: Mapping) -> Column:
@@ -80,12 +89,13 @@ def messages_of(df: DataFrame, mapping: Mapping) -> Column:
 
     The prompt is the first filled of prompt, instruction and text column, the input follows it after a blank. A dropped
     message of a list is replaced by an empty user message if ``drop_empty_messages`` is off. A record with nothing but
-    a blank text has one empty user message; one with nothing at all has none.
+    a blank text has one empty user message; one with nothing at all has none. ``df`` has the columns of
+    :meth:`_Row.bound`.
     """
     row = _Row(df)
-    prompt = first_filled(row.chosen(mapping.prompt_key, mapping.instruction_key, mapping.text_key))
-    extra = first_filled(row.chosen(mapping.input_key))
-    response = first_filled(row.chosen(mapping.response_key, mapping.output_key))
+    prompt = row.filled(mapping.prompt_key, mapping.instruction_key, mapping.text_key)
+    extra = row.filled(mapping.input_key)
+    response = row.filled(mapping.response_key, mapping.output_key)
     asked = F.nullif(F.concat_ws(" ", prompt, extra), F.lit(""))
     pair = F.array_compact(F.array(_said("user", asked), _said("assistant", response)))
     text = row.get(mapping.text_key)
@@ -101,17 +111,26 @@ def messages_of(df: DataFrame, mapping: Mapping) -> Column:
 
 
 def metadata_of(df: DataFrame, mapping: Mapping, source_name: str, source_path: str) -> Column:
-    """Origin of the record, overlaid by the fields of the metadata column, overlaid by the kept columns."""
+    """Origin of the record, overlaid by the fields of the metadata column, overlaid by the kept columns.
+
+    A struct column gives a struct with all its fields; a map column, whose keys are known at run time only, makes the
+    whole a map of strings.
+    """
     parts = {"source_name": F.lit(source_name), "source_path": F.lit(source_path), "adapter": F.lit("tidewright")}
+    kept = {name: F.col(f"`{name}`") for name in mapping.keep_fields if name in df.columns}
     kind = df.schema[mapping.metadata_key].dataType if mapping.metadata_key in df.columns else None
+    if isinstance(kind, T.MapType):
+        own = F.coalesce(F.transform_values(F.col(f"`{mapping.metadata_key}`"), lambda k, v: _as_text(v, kind.valueType)), F.create_map().cast("map<string,string>"))
+        last = F.create_map(*[x for n, c in kept.items() for x in (F.lit(n), _as_text(c, df.schema[n].dataType))]).cast("map<string,string>")
+        first = F.create_map(*[x for n, c in parts.items() for x in (F.lit(n), c)])
+        beside = lambda low, high: F.map_concat(F.map_filter(low, lambda k, _: ~F.map_contains_key(high, k)), high)
+        return beside(beside(first, own), last)
     if isinstance(kind, T.StructType):
         whole = F.col(f"`{mapping.metadata_key}`")
         for f in kind.fields:
             value = whole[f.name]
             parts[f.name] = F.when(whole.isNotNull(), value).otherwise(parts[f.name]) if f.name in parts and isinstance(f.dataType, T.StringType) else value
-    for name in mapping.keep_fields:
-        if name in df.columns:
-            parts[name] = F.col(f"`{name}`")
+    parts |= kept
     return F.struct(*[c.alias(n) for n, c in parts.items()])
 
 
@@ -124,8 +143,8 @@ def adapt(df: DataFrame, mapping: Mapping, source_path: str = "", position: Colu
     """
     name = mapping.source_name or source_path.rsplit("/", 1)[-1]
     row = _Row(df)
-    base = df.select("*", messages_of(df, mapping).alias("__messages"))
-    base = base.withColumn("__system", squashed_or_null(row.get(mapping.system_prompt_key)) if row.get(mapping.system_prompt_key) is not None else F.lit(None).cast("string"))
+    bound = row.bound(df, mapping)
+    base = bound.select("*", messages_of(bound, mapping).alias("__messages")).withColumn("__system", row.filled(mapping.system_prompt_key))
     tools = F.transform("__messages", lambda m: m["tool_calls"])
     has_tools = isinstance(df.schema[mapping.messages_key].dataType, T.ArrayType) if mapping.messages_key in df.columns else False
     if has_tools and "tool_calls" in df.schema[mapping.messages_key].dataType.simpleString():
@@ -134,13 +153,13 @@ def adapt(df: DataFrame, mapping: Mapping, source_path: str = "", position: Colu
         base = base.withColumn("__tools", F.from_json(_sorted_each(raw), "array<string>"))
     else:
         base = base.withColumn("__tools", F.lit(None).cast("array<string>"))
-    rendered = render_conversation(F.col("__messages"), F.col("__system"), F.coalesce("__tools", tools))
+    rendered = render_conversation(F.col("__messages"), F.col("__system"), F.coalesce("__tools", tools), squashed=True)
     given = row.get(mapping.text_key)
-    text = F.when(F.length(given) > 0, squash(given)).otherwise(rendered) if given is not None else rendered
+    text = F.when(F.length(given) > 0, F.col(f"`__squashed_{mapping.text_key}`")).otherwise(rendered) if given is not None else rendered
     base = base.withColumn("__text", text)
     identity = row.get(mapping.id_key)
     made = stable_id(F.lit(name), (position if position is not None else F.lit(0)).cast("bigint"), F.col("__text"))
-    answer = F.coalesce(first_filled(row.chosen(mapping.response_key, mapping.output_key)), last_assistant(F.col("__messages")))
+    answer = F.coalesce(row.filled(mapping.response_key, mapping.output_key), last_assistant(F.col("__messages"), squashed=True))
     columns = {
         "sample_id": F.coalesce(identity, made) if identity is not None else made,
         "text": F.col("__text"),

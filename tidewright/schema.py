@@ -57,30 +57,32 @@ def with_signals(existing: Column, changes: dict[str, Column]) -> Column:
     return existing
 
 
-def render_conversation(messages: Column, system_prompt: Column | None = None, tool_json: Column | None = None) -> Column:
+def render_conversation(messages: Column, system_prompt: Column | None = None, tool_json: Column | None = None, squashed: bool = False) -> Column:
     """``role: content`` blocks with blank lines between them, the system prompt first, tool calls after their message.
 
     Messages without content are left out with their tool calls. ``tool_json``, an array parallel to ``messages``,
-    overrides how tool calls are written.
+    overrides how tool calls are written. ``squashed`` says that roles and contents are normalised already.
     """
     filled = F.coalesce(messages, F.array().cast(MESSAGES))
 
     def block(message: Column, i: Column) -> Column:
-        role = F.lower(F.coalesce(squashed_or_null(message["role"]), F.lit("user")))
-        content = squash(message["content"])
+        role = message["role"] if squashed else F.lower(F.coalesce(squashed_or_null(message["role"]), F.lit("user")))
+        content = message["content"] if squashed else squash(message["content"])
         calls = F.nullif(message["tool_calls"] if tool_json is None else F.get(tool_json, i), F.lit(""))
         calls = F.when(~calls.isin("[]", "{}", "null", "0", "false", '""'), calls)
         return F.when(content != "", F.concat_ws("\n\n", F.concat(role, F.lit(": "), content), F.concat(F.lit("tool_calls: "), calls)))
 
     blocks = F.array_compact(F.transform(filled, block))
     if system_prompt is not None:
-        opening = F.concat(F.lit("system: "), squashed_or_null(system_prompt))
+        opening = F.concat(F.lit("system: "), system_prompt if squashed else squashed_or_null(system_prompt))
         blocks = F.concat(F.array_compact(F.array(opening)), blocks)
     return F.trim(F.array_join(blocks, "\n\n"))
 
 
-def last_assistant(messages: Column) -> Column:
+def last_assistant(messages: Column, squashed: bool = False) -> Column:
     """Content of the last assistant message that is not blank, squashed; null without one."""
+    if squashed:
+        return F.try_element_at(F.filter(messages, lambda m: (m["role"] == "assistant") & (m["content"] != "")), F.lit(-1))["content"]
     spoken = F.filter(F.coalesce(messages, F.array().cast(MESSAGES)), lambda m: (F.lower(m["role"]) == "assistant") & squashed_or_null(m["content"]).isNotNull())
     return squash_null(F.try_element_at(spoken, F.lit(-1))["content"])
 
