@@ -62,6 +62,14 @@ class Pipeline:
     monitoring: Monitoring = field(default_factory=Monitoring)
     operators: list[Injection] = field(default_factory=list)
 
+    def overview(self) -> dict[str, Any]:
+        """What a valid configuration will do, for the command line."""
+        switches = {"deduplicated": self.dedup, "decontaminated": self.contamination, "quality_filtered": self.quality, "augmented": self.augmentation, "judge_filtered": self.judge}
+        return {
+            "valid": True, "work_dir": self.runtime.work_dir, "source_count": len(self.sources),
+            "stages": ["normalized", *(name for name, section in switches.items() if section.enabled)], "operators": [f"{o.hook}: {o.class_path}" for o in self.operators if o.enabled],
+        }
+
 
 #: Element types that the annotations leave open.
 _ELEMENTS = {(Rules, "reference_sources"): Source}

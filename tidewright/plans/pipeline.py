@@ -20,6 +20,7 @@ from tidewright.plans.monitor import Monitor
 from tidewright.plans.report import write_report
 from tidewright.runtime import materialize
 from tidewright.schema import generation_type, judge_type
+from tidewright.sources.files import save_text
 from tidewright.sources.readers import load_all, with_position
 from tidewright.sources.writers import export, write_shards
 
@@ -96,7 +97,6 @@ class Run:
             table = self._run()
             rows = self.stages[-1]["rows"]
             began_export = time.perf_counter()
-            os.makedirs(os.path.dirname(self.config.export.path) or ".", exist_ok=True)
             export(table.orderBy(*ORDER).drop(*ORDER), self.config.export, self.config.runtime.single_file_export)
             self.monitor.record("exported", rows, time.perf_counter() - began_export)
             summary = self._summary(table, rows)
@@ -160,9 +160,7 @@ class Run:
         return write_report(v.output_dir or os.path.join(self.folder, "report"), summary, tokens, scores)
 
     def _write_summary(self, summary: dict[str, Any]) -> None:
-        os.makedirs(self.folder, exist_ok=True)
-        with open(os.path.join(self.folder, "pipeline_summary.json"), "w", encoding="utf-8") as out:
-            json.dump(summary, out, ensure_ascii=False, indent=2)
+        save_text(os.path.join(self.folder, "pipeline_summary.json"), json.dumps(summary, ensure_ascii=False, indent=2))
 
 
 def _plain(value: Any) -> Any:

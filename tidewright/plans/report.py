@@ -7,6 +7,8 @@ import os
 from html import escape
 from typing import Any
 
+from tidewright.sources.files import save_text
+
 #: Values of each metric that the page shows.
 SHOWN = 50
 
@@ -41,7 +43,6 @@ def page(stages: list[dict[str, Any]], token_values: list[float], judge_values:
 
 def write_report(folder: str, summary: dict[str, Any], token_values: list[float], judge_values: list[float]) -> dict[str, str]:
     """The four files and their paths."""
-    os.makedirs(folder, exist_ok=True)
     stages = summary.get("stages", [])
     texts = {
         "svg": ("pipeline.svg", svg(stages)),
@@ -52,6 +53,5 @@ def write_report(folder: str, summary: dict[str, Any], token_values: list[float]
     paths = {}
     for key, (name, text) in texts.items():
         paths[key] = os.path.join(folder, name)
-        with open(paths[key], "w", encoding="utf-8") as out:
-            out.write(text)
+        save_text(paths[key], text)
     return paths

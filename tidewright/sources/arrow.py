@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
-from glob import glob
+from fnmatch import fnmatch
 
 import pyarrow as pa
-from pyspark.sql import SparkSession
+from pyarrow import fs
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.pandas.types import from_arrow_schema
 from pyspark.sql.types import StructType
@@ -16,19 +17,59 @@ from pyspark.sql.types import StructType
 BATCHES_PER_PARTITION = 16
 
 
+def _located(path: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of an address (``file:``, ``hdfs:``, ``s3:``, ...) or of a plain path."""
+    if "://" in path:
+        return fs.FileSystem.from_uri(path)
+    return fs.LocalFileSystem(), path.removeprefix("file:")
+
+
 def _files(path: str) -> list[str]:
-    local = path.removeprefix("file://")
-    if os.path.isdir(local):
-        return sorted(os.path.join(root, n) for root, _, names in os.walk(local) for n in names if n.endswith((".arrow", ".feather")))
-    return sorted(glob(local)) or [local]
+    """Addresses of the Arrow files of a file, folder or (for the last part of the path) pattern."""
+    system, inside = _located(path)
+    head = path[: len(path) - len(inside)] if path.endswith(inside) else ""
+    folder, _, name = inside.rpartition("/")
+    if any(c in name for c in "*?["):
+        found = [i.path for i in system.get_file_info(fs.FileSelector(folder or ".", recursive=False)) if i.is_file and fnmatch(i.base_name, name)]
+    elif system.get_file_info(inside).type == fs.FileType.Directory:
+        found = [i.path for i in system.get_file_info(fs.FileSelector(inside, recursive=True)) if i.is_file and i.base_name.endswith((".arrow", ".feather"))]
+    else:
+        found = [inside]
+    return [head + p for p in sorted(found)]
 
 
 def _open(path: str) -> pa.ipc.RecordBatchFileReader | pa.ipc.RecordBatchStreamReader:
-    """The file form if it is one, else the stream form. Memory-mapped: only what is read is loaded."""
+    """The file form if it is one, else the stream form. Local files are memory-mapped: only what is read is loaded."""
+    system, inside = _located(path)
+    start = (lambda: pa.memory_map(inside)) if isinstance(system, fs.LocalFileSystem) else (lambda: system.open_input_file(inside))
     try:
-        return pa.ipc.open_file(pa.memory_map(path))
+        return pa.ipc.open_file(start())
     except pa.ArrowInvalid:
-        return pa.ipc.open_stream(pa.memory_map(path))
+        return pa.ipc.open_stream(start())
+
+
+def write_arrow(df: DataFrame, folder: str, suffix: str = "arrow") -> DataFrame:
+    """Write ``df`` as Arrow IPC files (Feather V2 is the same format), one per partition; (path, rows) of each file."""
+    system, inside = _located(folder)
+    system.create_dir(inside, recursive=True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, path = _located(folder)
+        target = f"{path}/part-{TaskContext.get().partitionId():05d}.{suffix}"
+        writer, rows, out = None, 0, None
+        for batch in batches:
+            if writer is None:
+                out = own.open_output_stream(target)
+                writer = pa.ipc.new_file(out, batch.schema)
+            writer.write_batch(batch)
+            rows += batch.num_rows
+        if writer is not None:
+            writer.close()
+            out.close()
+            yield pa.RecordBatch.from_arrays([pa.array([target]), pa.array([rows], pa.int64())], ["path", "rows"])
+
+    written = df.mapInArrow(run, "path string, rows bigint").collect()  # one row per file
+    return df.sparkSession.createDataFrame(written, "path string, rows bigint")
 
 
 class Piece(InputPartition):

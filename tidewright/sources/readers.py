@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewright.operators.adapt import Mapping, adapt
+from tidewright.runtime import broadcast_if_small
 from tidewright.sources.arrow import register
+from tidewright.sources.files import files_under, first_mark, is_file, is_folder, session
 
 #: Formats by suffix, after a compression suffix is taken off.
 SUFFIXES = {".json": "json", ".jsonl": "json", ".ndjson": "json", ".csv": "csv", ".tsv": "tsv", ".parquet": "parquet", ".arrow": "arrow", ".feather": "arrow", ".txt": "text", ".md": "text"}
@@ -48,32 +50,33 @@ def format_of(path: str, given: str | None = None) -> str:
         return NAMES[given.lower()]
     if found:
         return found
-    local = path.removeprefix("file://")
-    if os.path.isdir(local):
-        inside = {s for root, _, names in os.walk(local) for s in map(_suffix, names) if s}
+    spark = session()
+    if is_folder(spark, path):
+        inside: set[str] = set()
+        for name in files_under(spark, path):
+            inside |= {s for s in (_suffix(name),) if s}
+            if len(inside) > 1:
+                break
         if len(inside) == 1:
             return inside.pop()
     raise ValueError(f"cannot tell the format of {path}")
 
 
-def _is_json_array(path: str) -> bool:
-    local = path.removeprefix("file://")
-    if not os.path.isfile(local) or not local.endswith(".json"):
-        return False
-    with open(local, encoding="utf-8") as handle:
-        while (char := handle.read(1)).isspace():
-            pass
-    return char == "["
+def _is_json_array(spark: SparkSession, path: str) -> bool:
+    return path.endswith(".json") and not any(c in path for c in "*?[{") and is_file(spark, path) and first_mark(spark, path) == "["
 
 
 def read(spark: SparkSession, path: str, kind: str | None = None, options: dict[str, Any] | None = None) -> DataFrame:
-    """The records of a path. Options go to Spark's reader (``schema`` as a DDL string saves the inference)."""
+    """The records of a path. Options go to Spark's reader (``schema`` as a DDL string saves the inference).
+
+    A CSV field may hold line breaks, so a file is one task unless the option ``multiLine`` is set to false.
+    """
     options = dict(options or {})
     schema = options.pop("schema", None)
     fmt = format_of(path, kind)
     reader = spark.read.schema(schema) if schema and fmt != "arrow" else spark.read
     if fmt == "json":
-        return reader.options(**({"multiLine": True} if _is_json_array(path) else {}), **options).json(path)
+        return reader.options(**({"multiLine": True} if _is_json_array(spark, path) else {}), **options).json(path)
     if fmt in ("csv", "tsv"):
         return reader.options(**{"header": True, "multiLine": True, "escape": '"', **({"sep": "\t"} if fmt == "tsv" else {}), **options}).csv(path)
     if fmt == "parquet":
@@ -95,7 +98,7 @@ def with_position(df: DataFrame, out: str = "_position") -> DataFrame:
     sizes = marked.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
     starts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    joined = marked.withColumn("_inside", inside).join(F.broadcast(starts), "_part")
+    joined = marked.withColumn("_inside", inside).join(broadcast_if_small(starts), "_part")
     return joined.withColumn(out, F.col("_start") + F.col("_inside")).drop("_part", "_mono", "_inside", "_start")
 
 

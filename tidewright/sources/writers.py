@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Any
 
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewright.runtime import broadcast_if_small, running_sum
+from tidewright.sources.files import delete, move, parts, write_text
 from tidewright.sources.readers import with_position
 
 #: Spark writers by export type.
@@ -76,22 +78,8 @@ def shard_sizes(df: DataFrame, rows_per_shard: int, index: str, group: str | Non
     return assign_shards(placed, df.count(), rows_per_shard, "_position").groupBy("shard").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def _filesystem(spark: SparkSession, path: str):
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
-
-
-def _move(spark: SparkSession, source: str, target: str) -> None:
-    fs, new = _filesystem(spark, target)
-    fs.delete(new, True)
-    fs.mkdirs(new.getParent())
-    if not fs.rename(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(source), new):
-        raise OSError(f"cannot move {source} to {target}")
-
-
-def _parts(spark: SparkSession, folder: str) -> list[str]:
-    fs, target = _filesystem(spark, folder)
-    return sorted(s.getPath().toString() for s in fs.listStatus(target) if s.getPath().getName().startswith("part-"))
+#: Files renamed at once; a rename is a request to the name service and moves no data.
+RENAMES_AT_ONCE = 16
 
 
 def write_shards(df: DataFrame, folder: str, rows_per_shard: int, export_type: str = "parquet", index: str | None = None, group: str | None = None) -> str:
@@ -110,44 +98,37 @@ def write_shards(df: DataFrame, folder: str, rows_per_shard: int, export_type: s
     sharded = assign_shards(numbered, rows, rows_per_shard, "_position")
     ordered = sharded.repartitionByRange(count, "shard").sortWithinPartitions("shard", "_position").drop("_position")
     ordered.write.mode("overwrite").partitionBy("shard").format(WRITERS[export_type]).save(staged)
-    sizes = {r["shard"]: r["rows"] for r in sharded.groupBy("shard").agg(F.count(F.lit(1)).alias("rows")).collect()}  # one row per shard
-    manifest = []
-    for shard in range(count):
+    sizes = {r["shard"]: r["rows"] for r in sharded.groupBy("shard").agg(F.count(F.lit(1)).alias("rows")).collect()}  # one row per shard, as in the manifest
+
+    def place(shard: int) -> dict[str, Any]:
         target = f"{folder}/shard-{shard:05d}.{export_type}"
-        parts = _parts(spark, f"{staged}/shard={shard}") if sizes.get(shard) else []
-        if len(parts) == 1:
-            _move(spark, parts[0], target)
-        elif not parts:
+        found = parts(spark, f"{staged}/shard={shard}") if sizes.get(shard) else []
+        if len(found) == 1:
+            move(spark, found[0], target)
+        elif not found:
             write_single(df.limit(0), target, export_type)
         else:
             write_single(spark.read.format(WRITERS[export_type]).schema(df.schema).load(f"{staged}/shard={shard}"), target, export_type)
-        manifest.append({"shard_id": shard, "rows": sizes.get(shard, 0), "path": target})
-    fs, target = _filesystem(spark, staged)
-    fs.delete(target, True)
+        return {"shard_id": shard, "rows": sizes.get(shard, 0), "path": target}
+
+    with ThreadPoolExecutor(RENAMES_AT_ONCE) as pool:
+        manifest = list(pool.map(place, range(count)))
+    delete(spark, staged)
     path = f"{folder}/manifest.json"
     write_text(spark, path, json.dumps(manifest, ensure_ascii=False, indent=2))
     return path
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """A small file, on any file system Hadoop knows."""
-    fs, target = _filesystem(spark, path)
-    stream = fs.create(target, True)
-    stream.write(bytearray(text, "utf-8"))
-    stream.close()
-
-
 def write_single(df: DataFrame, path: str, export_type: str = "parquet", **options: Any) -> str:
     """``df`` as one file at ``path``. For small results: all rows pass through one task."""
     spark, folder = df.sparkSession, f"{path}.parts"
     df.coalesce(1).write.mode("overwrite").options(**options).format(WRITERS[export_type]).save(folder)
-    parts = _parts(spark, folder)
-    if parts:
-        _move(spark, parts[0], path)
+    found = parts(spark, folder)
+    if found:
+        move(spark, found[0], path)
     else:
         write_text(spark, path, "")
-    fs, target = _filesystem(spark, folder)
-    fs.delete(target, True)
+    delete(spark, folder)
     return path
 
 
@@ -190,19 +171,12 @@ def write_chunks(df: DataFrame, folder: str, chunk_size: int, compression: str |
     spark, staged = df.sparkSession, f"{folder}/_staged"
     df.write.mode("overwrite").option("maxRecordsPerFile", chunk_size).options(**({"compression": compression} if compression else {})).json(staged)
     written, numbers = [], {}
-    for part in _parts(spark, staged):
+    for part in parts(spark, staged):
         name = part.rsplit("/", 1)[-1]
         task = int(name.split("-")[1])
         number = numbers[task] = numbers.get(task, -1) + 1
         target = f"{folder}/chunk_{task}_{number}{name[name.index('.json') :]}"
-        _move(spark, part, target)
+        move(spark, part, target)
         written.append({"path": target})
-    fs, target = _filesystem(spark, staged)
-    fs.delete(target, True)
+    delete(spark, staged)
     return written
-
-
-def ranked_shards(df: DataFrame, rows_per_shard: int, order: list[str]) -> DataFrame:
-    """(order columns, shard) by ``ntile``, for small tables and for comparison: one task sorts all rows."""
-    count = shard_count(df.count(), rows_per_shard)
-    return df.select(*order, (F.ntile(count).over(Window.orderBy(*order)) - 1).alias("shard"))
