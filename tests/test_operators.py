@@ -1,5 +1,6 @@
 import itertools
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -105,6 +106,32 @@ def test_sample_and_stats_and_counter(spark):
     assert [(r["prompt_tokens"], r["response_tokens"], r["total_tokens"]) for r in blocks.token_counter(chat, end_token=True).collect()] == [(4, 2, 6), (0, 0, 0)]
 
 
+def test_percentiles_equal_sorting(spark, monkeypatch):
+    rng = random.Random(4)
+    values = [rng.choice([1.0, 2.0, 2.0, 7.0]) for _ in range(300)] + [rng.gauss(0, 50) for _ in range(2000)] + [-1e300, 1e300]
+    df = spark.createDataFrame([(v,) for v in [*values, None, float("nan")]], "v double").repartition(3)
+    ordered = sorted(values)
+    shares = [0.0, 0.01, 0.25, 0.5, 0.501, 0.9, 1.0]
+
+    def at(s):
+        place = s * (len(ordered) - 1)
+        low = ordered[math.floor(place)]
+        return low + (place - math.floor(place)) * (ordered[math.ceil(place)] - low)
+
+    want = [at(s) for s in shares]
+    assert quality.percentiles(df, F.col("v"), shares) == pytest.approx(want, rel=1e-12)
+    monkeypatch.setattr(quality, "MOST_VALUES", 20)  # ranges are narrowed again and again
+    assert quality.percentiles(df, F.col("v"), shares) == pytest.approx(want, rel=1e-12)
+    assert quality.percentiles(df.limit(0), F.col("v"), [0.5]) == [None]
+    monkeypatch.setattr(quality, "MOST_VALUES", 100_000)
+    monkeypatch.setattr(blocks, "MOST_LISTED", 2)
+    ids = spark.range(500)
+    large = sorted(r["id"] for r in blocks.sample_num(ids, 40, "id", 3).collect())
+    monkeypatch.setattr(blocks, "MOST_LISTED", 10_000)
+    assert large == sorted(r["id"] for r in blocks.sample_num(ids, 40, "id", 3).collect()) and len(large) == 40
+    assert blocks.sample_num(ids.limit(0), 3, "id").count() == 0
+
+
 def test_sft_export_and_chain(spark):
     df = spark.createDataFrame([("q", "a", "s", [("r1",), ("r2",)]), ("q2", None, "s", [])], "text string, answer string, source string, res array<struct<text:string>>")
     rows = blocks.sft_export(df, system_prompt="sys").collect()

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from tidewright.functions.text import token_count
 from tidewright.operators.generate import Backend, Call, ask, check_call, judgement, make_backend, render_prompt
+from tidewright.operators.quality import order_statistics, percentiles
 
 # --- documents -------------------------------------------------------------------------------------------------------
 
@@ -52,14 +53,13 @@ def numeric_condition(path: str | Sequence[str], comparison: str, threshold: flo
 def numeric_filter(df: DataFrame, path: str | Sequence[str], comparison: str = ">=", threshold: float | None = None, percentile: float | None = None, **missing: bool) -> tuple[DataFrame, DataFrame]:
     """(kept, excluded) by a threshold, or by a percentile (0 to 100) of the field itself.
 
-    The percentile is one exact aggregate of the column (missing and NaN values left out); its single row is what the
-    filter waits for. Of no values it keeps what ``keep_missing`` keeps.
+    The percentile is exact (missing and NaN values left out) and known before the filter is built. Of no values it keeps
+    what ``keep_missing`` keeps.
     """
     if (threshold is None) == (percentile is None):
         raise ValueError("give either threshold or percentile")
     if percentile is not None:
-        value = path_value(path).cast("double")
-        threshold = df.where(~F.isnan(value)).agg(F.percentile(value, F.lit(percentile / 100))).first()[0]
+        threshold = percentiles(df, path_value(path), [percentile / 100])[0]
         if threshold is None:
             met = F.lit(bool(missing.get("keep_missing", False)))
             return df.where(met), df.where(~met)
@@ -67,13 +67,27 @@ def numeric_filter(df: DataFrame, path: str | Sequence[str], comparison: str = "
     return df.where(met), df.where(~met)
 
 
+#: Rows up to which a sample is one top-k list; a larger one is cut at the place in the order where it ends.
+MOST_LISTED = 10_000
+
+
 def sample_num(df: DataFrame, count: int, key: str, seed: int = 0) -> DataFrame:
     """``count`` rows, the same ones for the same data and seed: those with the smallest MD5 of seed and key.
 
-    Ties of equal keys are broken by the key only, so repeated keys may leave a choice open. A top-k per partition runs
-    before the merge; nothing is sorted as a whole.
+    Ties of equal keys are broken by the key only, so repeated keys may leave a choice open. A small sample is a top-k per
+    partition that is merged; for a large one the digest at which it ends is found first, and a filter keeps what lies
+    below, so no task ever holds the sample.
     """
-    return df.withColumn("_order", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))).orderBy("_order", key).limit(count).drop("_order")
+    keyed = df.withColumn("_order", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))))
+    if count <= MOST_LISTED:
+        return keyed.orderBy("_order", key).limit(count).drop("_order")
+    place = F.conv(F.substring("_order", 1, 13), 16, 10).cast("double")  # 52 bits of the digest, exact as a double
+    found, ends = order_statistics(keyed, place, lambda n: [min(count, n) - 1])
+    if not found:
+        return df.limit(0)
+    before = keyed.where(place < F.lit(ends[0]))
+    rest = keyed.where(place == F.lit(ends[0])).orderBy("_order", key).limit(count - before.count())
+    return before.unionByName(rest).drop("_order")
 
 
 def lambda_filter(df: DataFrame, condition: Callable[[DataFrame], Column]) -> tuple[DataFrame, DataFrame]:
@@ -86,12 +100,13 @@ def lambda_filter(df: DataFrame, condition: Callable[[DataFrame], Column]) -> tu
 
 
 def metadata_stats(df: DataFrame, path: str | Sequence[str]) -> DataFrame:
-    """One row: total, count, min, max, mean, p50, p75, p90, p95, p99 of a numeric field; missing values do not count."""
-    found = df.select(path_value(path).cast("double").alias("_v")).agg(
-        F.count(F.lit(1)).alias("total"), F.count("_v").alias("count"), F.min("_v").alias("min"), F.max("_v").alias("max"), F.avg("_v").alias("mean"),
-        F.percentile("_v", F.array(*[F.lit(p / 100) for p in (50, 75, 90, 95, 99)])).alias("_p"),
-    )
-    return found.select("total", "count", "min", "max", "mean", *[F.get("_p", F.lit(i)).alias(f"p{p}") for i, p in enumerate((50, 75, 90, 95, 99))])
+    """One row: total, count, min, max, mean, p50, p75, p90, p95, p99 of a numeric field; missing values and NaN do not count."""
+    shares = (50, 75, 90, 95, 99)
+    value = path_value(path).cast("double")
+    values = df.select(F.when(~F.isnan(value), value).alias("_v"))
+    found = percentiles(values, F.col("_v"), [p / 100 for p in shares])
+    counted = values.agg(F.count(F.lit(1)).alias("total"), F.count("_v").alias("count"), F.min("_v").alias("min"), F.max("_v").alias("max"), F.avg("_v").alias("mean"))
+    return counted.select("*", *[F.lit(v).cast("double").alias(f"p{p}") for p, v in zip(shares, found)])
 
 
 #: Marks around a message in the built-in chat templates: (before the role, after the role, after the content).

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
 from dataclasses import dataclass, field
-from functools import lru_cache
+from functools import lru_cache, reduce
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -77,24 +80,104 @@ def passes(limits: Limits, signals: Column | None = None) -> Column:
     return condition
 
 
-def percentiles(column: Column, shares: list[float]) -> Column:
-    """Exact percentiles with linear interpolation, keyed by the share; 0 and 1 are the minimum and the maximum.
+#: Size of the quantile sketches that narrow a percentile down, the share of the ranks that a range reaches beyond the wanted
+#: one, and distinct values within the ranges that are counted one by one.
+KLL_K, RANK_MARGIN, MOST_VALUES = 4096, 0.005, 100_000
 
-    A histogram of the distinct values is what travels, so a column of bounded integers stays small.
+
+def order_statistics(df: DataFrame, column: Column, ranks: Callable[[int], list[int]]) -> tuple[int, list[float]]:
+    """(count, values at the ranks that ``ranks`` names for that count, from 0) of a column of doubles, exactly.
+
+    Nulls and NaN do not count. A mergeable sketch gives a range for each rank; the values below and within the ranges are
+    counted, and a range that still holds too many distinct values is narrowed by a sketch of its own. Only sketches and
+    at most MOST_VALUES counts ever come to one place.
     """
+    values = df.select(column.cast("double").alias("_v")).where(~F.isnan("_v"))
+    grid = F.array(*[F.lit(i / 200) for i in range(201)])
+    sketched = lambda d: d.agg(F.count("_v").alias("n"), F.min("_v").alias("low"), F.max("_v").alias("high"), F.when(F.count("_v") > 0, F.kll_sketch_get_quantile_double(F.kll_sketch_agg_double("_v", F.lit(KLL_K)), grid)).alias("grid")).first()
+    whole = sketched(values)
+    if not whole["n"]:
+        return 0, []
+    wanted = ranks(whole["n"])
+    found: dict[int, float] = {}
+    _narrow(values, whole, 0, sorted(set(wanted)), sketched, found)
+    return whole["n"], [found[r] for r in wanted]
+
+
+def _narrow(values: DataFrame, sketch: Any, below: int, wanted: list[int], sketched: Callable[[DataFrame], Any], found: dict[int, float]) -> None:
+    """Values at the ``wanted`` ranks, all within ``values``, of which ``below`` others are smaller."""
+    n, grid = sketch["n"], sketch["grid"]
+
+    def bounds(rank: int) -> tuple[float, float]:
+        place, slack = 200 * (rank - below) / n, 200 * RANK_MARGIN + 1
+        low, high = math.floor(place - slack), math.ceil(place + slack)
+        return (sketch["low"] if low <= 0 else grid[low]), (sketch["high"] if high >= 200 else grid[high])
+
+    ranges: list[list[Any]] = []
+    for low, high, rank in sorted((*bounds(r), r) for r in wanted):
+        if ranges and low <= ranges[-1][1]:
+            ranges[-1][1] = max(high, ranges[-1][1])
+            ranges[-1][2].append(rank)
+        else:
+            ranges.append([low, high, [rank]])
+    inside = lambda low, high: F.col("_v").between(low, high)
+    near = values.where(reduce(lambda a, b: a | b, [inside(low, high) for low, high, _ in ranges]))
+    counts = {r["_v"]: r["n"] for r in near.groupBy("_v").agg(F.count(F.lit(1)).alias("n")).limit(MOST_VALUES + 1).collect()}
+    under = values.agg(*[F.count(F.when(F.col("_v") < low, 1)) for low, _, _ in ranges]).first()
+    for k, (low, high, group) in enumerate(ranges):
+        if len(counts) > MOST_VALUES and low < high and not (low == sketch["low"] and high == sketch["high"]):
+            part = values.where(inside(low, high))
+            _narrow(part, sketched(part), below + under[k], group, sketched, found)
+            continue
+        if len(counts) > MOST_VALUES and low < high:  # the sketch cannot narrow this range any more: halve it by value
+            middle = low + (high - low) / 2
+            for part in (values.where(F.col("_v") <= middle), values.where(F.col("_v") > middle)):
+                own = sketched(part)
+                mine = [r for r in group if below <= r < below + own["n"]]
+                if mine:
+                    _narrow(part, own, below, mine, sketched, found)
+                below += own["n"]
+            continue
+        at = below + under[k]
+        if low == high and low not in counts:
+            counts[low] = values.where(F.col("_v") == low).count()
+        for value in sorted(v for v in counts if low <= v <= high):
+            for rank in group:
+                if at <= rank < at + counts[value]:
+                    found[rank] = value
+            at += counts[value]
+        missed = [r for r in group if r not in found]
+        if missed:  # the sketch's bound is probabilistic: look on the side where the rank lies
+            for side, start, take in ((values.where(F.col("_v") < low), below, lambda r: r < below + under[k]), (values.where(F.col("_v") > high), at, lambda r: r >= at)):
+                mine = [r for r in missed if take(r)]
+                if mine:
+                    _narrow(side, sketched(side), start, mine, sketched, found)
+
+
+def percentiles(df: DataFrame, column: Column, shares: list[float]) -> list[float | None]:
+    """Exact percentiles with linear interpolation between neighbours; 0 and 1 are the minimum and the maximum, None of no values."""
     inside = [min(1.0, max(0.0, float(s))) for s in shares]
-    found = F.percentile(column, F.array(*[F.lit(s) for s in inside]))
-    return F.map_from_arrays(F.array(*[F.lit(str(s)) for s in shares]), found)
+    ranks = lambda n: [r for s in inside for r in (math.floor(s * (n - 1)), math.ceil(s * (n - 1)))]
+    count, values = order_statistics(df, column, ranks)
+    if not count:
+        return [None] * len(shares)
+    made = []
+    for k, s in enumerate(inside):
+        low, high, place = values[2 * k], values[2 * k + 1], s * (count - 1)
+        part = place - math.floor(place)
+        made.append(low if part == 0 else (1 - part) * low + part * high)
+    return made
 
 
 def summary(df: DataFrame, shares: list[float], column: Column | None = None) -> DataFrame:
     """One row: sample_count, min, max, mean and the percentiles of the token counts; zeros for no rows."""
     value = F.coalesce(F.col("quality_signals.token_count") if column is None else column, F.lit(0)).cast("double")
-    found = df.select(value.alias("_v")).agg(
+    counted = df.select(value.alias("_v"))
+    found = percentiles(counted, F.col("_v"), shares)
+    shown = F.map_from_arrays(F.array(*[F.lit(str(s)) for s in shares]).cast("array<string>"), F.array(*[F.lit(v or 0.0) for v in found]).cast("array<double>"))
+    return counted.agg(
         F.count("_v").alias("sample_count"), F.coalesce(F.min("_v"), F.lit(0.0)).alias("min"), F.coalesce(F.max("_v"), F.lit(0.0)).alias("max"), F.coalesce(F.avg("_v"), F.lit(0.0)).alias("mean"),
-        F.coalesce(percentiles(F.col("_v"), shares), F.map_from_arrays(F.array(*[F.lit(str(s)) for s in shares]), F.array(*[F.lit(0.0)] * len(shares)))).alias("percentiles"),
-    )
-    return found
+    ).withColumn("percentiles", shown)
 
 
 def metric_sample(df: DataFrame, column: Column, order: list[str], limit: int) -> list[float]:
