@@ -38,6 +38,18 @@ def test_scores_with_null_and_repeated_rows(spark):
     assert got == {1: (1, 2), 2: (0, 0), None: (1, 1)}
 
 
+def test_large_index_by_filter_and_shuffle(spark, monkeypatch):
+    rules = decontam.Rules(ngram_size=2)
+    df = spark.createDataFrame([(i, " ".join(f"w{(i * j) % 17}" for j in range(i))) for i in range(40)] + [(99, None)], "k int, text string")
+    index = decontam.reference_index(df.where("k % 3 = 1"), rules)
+    found = lambda: sorted(map(tuple, decontam.scores(df, index, rules, "k").collect()))
+    small = found()
+    monkeypatch.setattr(decontam, "BROADCAST_NGRAMS", 3)
+    assert found() == small and any(0 < r[1] < r[2] for r in small)
+    bits, size = decontam._filter_bits(index, index.count())
+    assert size == 1 << 15 and 0 < sum(map(int.bit_count, bits)) <= 2 * index.count()
+
+
 def test_bands_for_the_default_threshold():
     assert minhash.optimal_bands(0.8, 256) == (17, 15)
 
@@ -212,7 +224,7 @@ def test_a_long_conversation_stays_one(spark, tmp_path):
 
     rows = [(7, t, "assistant" if t % 2 else "user", f"turn {t}", "2024-01-01") for t in range(451)]
     spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string, logged_at string").write.parquet(str(tmp_path / "conversations.parquet"))
-    made = {n: [tuple(r) for r in catalog.queries()[n](spark, str(tmp_path)).collect()] for n in ("turn_signals_whole", "last_assistant_answer_whole", "quality_filter_whole", "token_counter_whole")}
+    made = {n: [tuple(r) for r in catalog.queries()[n](spark, str(tmp_path)).collect()] for n in ("turn_signals", "last_assistant_answer", "quality_filter", "token_counter")}
     chars = len("\n\n".join(f"{r}: {x}" for _, _, r, x, _ in rows))
-    assert made["turn_signals_whole"] == [(7, chars, 451, 225, 226)] and made["last_assistant_answer_whole"] == [(7, "turn 449")]
-    assert made["quality_filter_whole"] == [(7, 451 * 4, 451, 225, chars)] and made["token_counter_whole"] == [(7, 451 * 4, 3, 451 * 4 + 3)]
+    assert made["turn_signals"] == [(7, chars, 451, 225, 226)] and made["last_assistant_answer"] == [(7, "turn 449")]
+    assert made["quality_filter"] == [(7, 451 * 4, 451, 225, chars)] and made["token_counter"] == [(7, 451 * 4, 3, 451 * 4 + 3)]

@@ -5,15 +5,21 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from tidewright.functions.text import ngram_hashes, words
-from tidewright.runtime import broadcast_if_small, materialize
+from tidewright.runtime import materialize
 from tidewright.schema import with_signals
 
 #: Reference n-grams that may be broadcast: 8 bytes each, so 1 million take 8 MB (32 MB as a hash table).
 BROADCAST_NGRAMS = 1_000_000
+#: Bits of the filter of a larger index at most (32 MB); beyond 33 million n-grams more unknown ones pass. Bytes of one bitmap
+#: of the built-in aggregate.
+MOST_BITS, BUCKET_BYTES = 1 << 28, 4096
 
 
 @dataclass
@@ -38,15 +44,60 @@ def reference_index(references: DataFrame, rules: Rules, text: str = "text") ->
     return references.select(F.explode(grams(F.col(text), rules)).alias("gram")).distinct()
 
 
+def _filter_bits(index: DataFrame, count: int) -> tuple[bytes, int]:
+    """A Bloom filter of the index with two places per n-gram, and its bits: eight per n-gram, MOST_BITS at most.
+
+    Partial bitmaps are made and merged by built-in aggregates; what comes to the driver is the filter, not the index.
+    """
+    size = min(MOST_BITS, 1 << max(15, (8 * count - 1).bit_length()))
+    spots = index.select(F.explode(F.array(*[p.bitwiseAND(size - 1) + 1 for p in _places(F.col("gram"))])).alias("_at"))
+    buckets = spots.groupBy(F.bitmap_bucket_number("_at").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_at")).alias("bits"))
+    bits = bytearray(size // 8)
+    for row in buckets.toLocalIterator():
+        start = (row["bucket"] - 1) * BUCKET_BYTES
+        bits[start : start + BUCKET_BYTES] = row["bits"][: len(bits) - start]
+    return bytes(bits), size
+
+
+def _places(gram: Column) -> tuple[Column, Column]:
+    return gram, F.shiftrightunsigned(gram, 32)
+
+
+def _maybe_known(df: DataFrame, index: DataFrame, count: int) -> Column:
+    """``_grams`` without those that the filter of the index rules out, in Arrow batches."""
+    bits, size = _filter_bits(index, count)
+    shared = df.sparkSession.sparkContext.broadcast(bits)
+
+    def probe(lists: pa.Array) -> pa.Array:
+        table = np.frombuffer(shared.value, np.uint8)
+        values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        held = np.ones(len(values), bool)
+        for place in (values, values.view(np.uint64) >> np.uint64(32)):
+            at = place.astype(np.int64) & (size - 1)
+            held &= (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+        owner = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+        ends = np.concatenate([[0], np.cumsum(np.bincount(owner[held], minlength=len(lists)))]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(values[held]))
+
+    return F.arrow_udf(probe, ArrayType(LongType()))(F.col("_grams"))
+
+
 def _matches(df: DataFrame, index: DataFrame, rules: Rules, key: str, text: str) -> DataFrame:
     """(key, matched, total) of every key, in one pass over the texts.
 
-    The n-grams are exploded and looked up in the index (broadcast while its counted size allows, else by shuffle); a
-    partial aggregate folds each text back to one row before anything is shuffled by key.
+    The n-grams are exploded and looked up in the index, which is broadcast while its counted size allows. A larger index
+    is joined by shuffle, of the n-grams only that its Bloom filter does not rule out. A partial aggregate folds each text
+    back to one row before anything is shuffled by key.
     """
-    known = broadcast_if_small(index.withColumn("_hit", F.lit(1)), BROADCAST_NGRAMS)
+    known = index.withColumn("_hit", F.lit(1))
+    count = index.limit(BROADCAST_NGRAMS + 1).count()
     split = df.select(key, grams(F.col(text), rules).alias("_grams"))
-    looked_up = split.select(key, F.size("_grams").alias("_total"), F.explode_outer("_grams").alias("gram")).join(known, "gram", "left")
+    split = split.select(key, F.size("_grams").alias("_total"), "_grams")
+    if count <= BROADCAST_NGRAMS:
+        known = F.broadcast(known)
+    else:
+        split = split.select(key, "_total", _maybe_known(df, index, index.count()).alias("_grams"))
+    looked_up = split.select(key, "_total", F.explode_outer("_grams").alias("gram")).join(known, "gram", "left")
     return looked_up.groupBy(key).agg(F.count("_hit").cast("int").alias("matched"), F.max("_total").alias("total"))
 
 

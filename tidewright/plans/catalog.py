@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,17 +10,11 @@ from pyspark.sql import functions as F
 from tidewright.functions.text import alphanumeric_ratio, squash, stable_id, token_count
 from tidewright.operators import blocks, decontam, generate, minhash, quality
 from tidewright.operators.adapt import Mapping, adapt
-from tidewright.runtime import latest_by, materialize, spread
-from tidewright.schema import default_signals, last_assistant, render_conversation
+from tidewright.runtime import latest_by, materialize, running_sum, spread
 from tidewright.sources.writers import shard_sizes
 
-#: Turns of one record with its messages: a longer conversation becomes several, so that no row grows without bound.
-#: The queries named ..._whole are about conversations without that cut.
-TURNS_PER_RECORD = 200
-#: Settings of the queries on near-duplicates: few permutations, since SQL has to follow.
-FEW = minhash.Settings(num_permutations=16, window_size=5, bands=4, rows=4, seed=1, verify=False)
 #: Settings of a run: 256 permutations, candidates verified on their shingle sets at 0.8.
-PRODUCTION = minhash.Settings()
+NEAR = minhash.Settings()
 #: Rules of the queries on decontamination.
 EIGHT = decontam.Rules(enabled=True, ngram_size=8, max_contamination_ratio=0.05)
 LIMITS = quality.Limits(min_tokens=200, max_tokens=100_000, min_turns=2, min_assistant_turns=1)
@@ -41,61 +34,18 @@ def _said(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.where("text <> ''").select("conv_id", "turn", F.coalesce(F.nullif("role", F.lit("")), F.lit("user")).alias("role"), "text")
 
 
-def conversation_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(conv_id, part, messages): turns in order, of each turn the latest delivery, blank turns left out."""
-    message = F.struct(F.col("turn"), F.col("role"), F.col("text").alias("content"), F.lit(None).cast("string").alias("tool_calls"))
-    part = F.floor(F.col("turn") / TURNS_PER_RECORD).cast("bigint").alias("part")
-    grouped = _said(spark, sf_dir).groupBy("conv_id", part).agg(F.sort_array(F.collect_list(message)).alias("_m"))  # at most TURNS_PER_RECORD turns
-    return grouped.select("conv_id", "part", F.transform("_m", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"), m["tool_calls"].alias("tool_calls"))).alias("messages"))
-
-
-def _chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = conversation_records(spark, sf_dir).withColumn("text", render_conversation(F.col("messages")))
-    return records.withColumn("quality_signals", default_signals(F.col("text"), F.col("messages"))).withColumn("answer", last_assistant(F.col("messages")))
+#: Turns of one bucket when they are numbered.
+BUCKET_TURNS = 1000
 
 
 def normalize_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _chat(spark, sf_dir).select("conv_id", "part", "text")
-
-
-def turn_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _chat(spark, sf_dir).select("conv_id", "part", "quality_signals.char_count", "quality_signals.message_count", "quality_signals.assistant_turn_count", "quality_signals.user_turn_count")
-
-
-def last_assistant_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _chat(spark, sf_dir).select("conv_id", "part", "answer")
-
-
-def quality_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = quality.enrich(_chat(spark, sf_dir), stats=False).where(quality.passes(LIMITS))
-    return kept.select("conv_id", "part", "quality_signals.token_count", "quality_signals.message_count", "quality_signals.assistant_turn_count", "quality_signals.char_count")
-
-
-def prompt_response_adapter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First user and first assistant turn of each record as prompt and response, mapped to standard records."""
-    said = lambda role: F.try_element_at(F.filter("messages", lambda m: m["role"] == role), F.lit(1))["content"]
-    flat = conversation_records(spark, sf_dir).select(F.concat_ws("-", "conv_id", "part").alias("id"), said("user").alias("prompt"), said("assistant").alias("response"))
-    made = adapt(flat, Mapping(source_name="pairs", id_key="id", prompt_key="prompt", response_key="response"))
-    return made.select("sample_id", "text", "answer", "source", "quality_signals.message_count")
-
-
-def sft_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Training rows of the first exchange, with the messages rendered."""
-    said = lambda role: F.try_element_at(F.filter("messages", lambda m: m["role"] == role), F.lit(1))["content"]
-    flat = conversation_records(spark, sf_dir).select(F.concat_ws("-", "conv_id", "part").alias("id"), F.lit("conversations").alias("source"), F.coalesce(said("user"), F.lit("")).alias("text"), said("assistant").alias("answer"))
-    made = blocks.sft_export(flat, extra={"id": "id"}, system_prompt="Be brief.")
-    return made.select(F.col("extra_info.id").alias("id"), "data_source", F.array_join(F.transform("messages", lambda m: F.concat_ws("=", m["role"], m["content"])), "|").alias("messages"))
-
+    """(conv_id, position, block): the rendered conversation as its blocks in order; joined by blank lines they are its text.
 
-def token_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = blocks.token_counter(_chat(spark, sf_dir), end_token=True)
-    return counted.select("conv_id", "part", "prompt_tokens", "response_tokens", "total_tokens")
-
-
-def render_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chat = _chat(spark, sf_dir)
-    template = "Rate conversation {conv_id} ({quality_signals[message_count]} messages).\n\n{answer}\n{unknown}"
-    return chat.select("conv_id", "part", generate.render_prompt(chat, template).alias("prompt"))
+    A conversation may hold a tenth of all turns, so its text is never put into one row: turns are numbered by buckets.
+    """
+    said = _said(spark, sf_dir).select("conv_id", "turn", F.concat("role", F.lit(": "), "text").alias("block"), F.floor(F.col("turn") / BUCKET_TURNS).alias("_bucket"), F.lit(1).cast("bigint").alias("_one"))
+    numbered = running_sum(materialize(said, "turns"), ["conv_id"], "_bucket", ["turn"], "_one", "position")
+    return numbered.select("conv_id", "position", "block")
 
 
 def whole_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,39 +67,39 @@ def whole_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("conv_id", F.struct(*signals).alias("quality_signals"), "prompt", "response", "answer", "last")
 
 
-def turn_signals_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+def turn_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole_conversations(spark, sf_dir).select("conv_id", *[f"quality_signals.{n}" for n in ("char_count", "message_count", "assistant_turn_count", "user_turn_count")])
 
 
-def last_assistant_answer_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+def last_assistant_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole_conversations(spark, sf_dir).select("conv_id", "answer")
 
 
-def quality_filter_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+def quality_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = whole_conversations(spark, sf_dir).where(quality.passes(LIMITS))
     return kept.select("conv_id", *[f"quality_signals.{n}" for n in ("token_count", "message_count", "assistant_turn_count", "char_count")])
 
 
-def prompt_response_adapter_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+def prompt_response_adapter(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = whole_conversations(spark, sf_dir).select(F.col("conv_id").cast("string").alias("id"), "prompt", "response")
     made = adapt(flat, Mapping(source_name="pairs", id_key="id", prompt_key="prompt", response_key="response"))
     return made.select("sample_id", "text", "answer", "source", "quality_signals.message_count")
 
 
-def sft_export_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sft_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = whole_conversations(spark, sf_dir).select(F.col("conv_id").cast("string").alias("id"), F.lit("conversations").alias("source"), F.coalesce("prompt", F.lit("")).alias("text"), F.col("response").alias("answer"))
     made = blocks.sft_export(flat, extra={"id": "id"}, system_prompt="Be brief.")
     return made.select(F.col("extra_info.id").alias("id"), "data_source", F.array_join(F.transform("messages", lambda m: F.concat_ws("=", m["role"], m["content"])), "|").alias("messages"))
 
 
-def token_counter_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+def token_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The prompt is the whole conversation, without the last turn if that is the assistant's."""
     prompt = F.col("quality_signals.token_count") - F.when(F.col("last.role") == "assistant", F.col("last.tokens")).otherwise(0)
     response = F.when(F.length("answer") > 0, token_count(F.col("answer")) + 1).otherwise(0)
     return whole_conversations(spark, sf_dir).select("conv_id", prompt.alias("prompt_tokens"), response.alias("response_tokens"), (prompt + response).alias("total_tokens"))
 
 
-def render_prompt_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+def render_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
     chat = whole_conversations(spark, sf_dir)
     template = "Rate conversation {conv_id} ({quality_signals[message_count]} messages).\n\n{answer}\n{unknown}"
     return chat.select("conv_id", generate.render_prompt(chat, template).alias("prompt"))
@@ -168,7 +118,7 @@ def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def normalize_text_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = adapt(_documents(spark, sf_dir), Mapping(source_name="documents", id_key="doc_id", text_key="text", keep_fields=["lang"]))
+    made = adapt(spread(_documents(spark, sf_dir).select("doc_id", "text", "lang")), Mapping(source_name="documents", id_key="doc_id", text_key="text", keep_fields=["lang"]))
     return made.select("sample_id", "text", "answer", "source", F.col("metadata.lang").alias("lang"), "quality_signals.char_count", "quality_signals.message_count", "quality_signals.user_turn_count")
 
 
@@ -178,10 +128,10 @@ def stable_sample_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two sources as one table of standard records, summed up by source."""
-    a = adapt(_documents(spark, sf_dir), Mapping(source_name="documents", id_key="doc_id", text_key="text"))
+    a = adapt(_texts(spark, sf_dir), Mapping(source_name="documents", id_key="doc_id", text_key="text"))
     b = adapt(table(spark, sf_dir, "benchmark"), Mapping(source_name="benchmark", id_key="item_id", text_key="text"))
     both = a.unionByName(b, allowMissingColumns=True)
-    return both.groupBy("source").agg(F.count(F.lit(1)).alias("records"), F.sum("quality_signals.char_count").alias("chars"), F.countDistinct("text").alias("texts"))
+    return both.groupBy("source").agg(F.count(F.lit(1)).alias("records"), F.sum("quality_signals.char_count").alias("chars"), F.countDistinct(F.md5("text")).alias("texts"))
 
 
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -215,22 +165,17 @@ def decontam_excluded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def minhash_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
-    signed = minhash.signatures_in_batches(_texts(spark, sf_dir), FEW, ["doc_id"])
+    signed = minhash.signatures_in_batches(_texts(spark, sf_dir), NEAR, ["doc_id"])
     return signed.select("doc_id", F.array_join("_signature", ",").alias("signature"))
 
 
 def lsh_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    signed = minhash.signatures_in_batches(_texts(spark, sf_dir), FEW, ["doc_id"])
-    return minhash.candidate_links(minhash.band_keys(signed, FEW, ["doc_id"]), "doc_id")
+    signed = minhash.signatures_in_batches(_texts(spark, sf_dir), NEAR, ["doc_id"])
+    return minhash.candidate_links(minhash.band_keys(signed, NEAR, ["doc_id"]), "doc_id")
 
 
 def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.remove_near_duplicates(_texts(spark, sf_dir), FEW, ["doc_id"]).select("doc_id")
-
-
-def near_dedup_production(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Near-duplicate removal as a run does it; ``near_dedup`` shows the bands alone, unverified."""
-    return minhash.remove_near_duplicates(_texts(spark, sf_dir), PRODUCTION, ["doc_id"]).select("doc_id")
+    return minhash.remove_near_duplicates(_texts(spark, sf_dir), NEAR, ["doc_id"]).select("doc_id")
 
 
 def shard_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -274,8 +219,8 @@ def judge_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def echo_model(prompt: str, system_prompt: str | None = None) -> dict[str, str]:
-    """A deterministic stand-in for a model: the prompt's first characters in capitals."""
-    return {"text": prompt[:24].upper().strip()}
+    """A deterministic stand-in for a model: the prompt in capitals."""
+    return {"text": prompt.upper().strip()}
 
 
 def callable_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -284,53 +229,43 @@ def callable_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("item_id", "augmentation.generated_answer", "augmentation.model", "augmentation.error")
 
 
-def digest_model(prompt: str, system_prompt: str | None = None) -> dict[str, str]:
-    """A deterministic stand-in whose answer depends on the whole prompt: its digest and length."""
-    return {"text": f"{hashlib.md5(prompt.encode()).hexdigest()} {len(prompt)}"}
-
-
-def callable_generation_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Model calls over the records of the conversations."""
-    call = generate.Generation(enabled=True, backend="callable", callable_path="tidewright.plans.catalog:digest_model", model="digest", prompt_template="{conv_id}/{part}: {text}", keep_prompt=True)
-    made = generate.generate(_chat(spark, sf_dir), call)
-    return made.select("conv_id", "part", "augmentation.generated_answer", "augmentation.model", "augmentation.error")
-
-
 def _stage_counts(spark: SparkSession, sf_dir: str, dedup: minhash.Settings) -> DataFrame:
-    docs = adapt(_texts(spark, sf_dir), Mapping(source_name="documents", id_key="doc_id", text_key="text")).withColumn("doc_id", F.col("sample_id").cast("bigint"))
-    # each stage is counted and used by the next one, so it is written once
-    docs = materialize(docs, "normalized")
-    unique = materialize(minhash.remove_near_duplicates(docs, dedup, ["doc_id"]), "unique")
-    clean = materialize(decontam.split_contaminated(decontam.annotate(unique, table(spark, sf_dir, "benchmark"), EIGHT), EIGHT)[0], "clean")
-    good = quality.enrich(clean, stats=False).where(quality.passes(quality.Limits(min_tokens=100, max_tokens=400, min_assistant_turns=0)))
-    counted = [d.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("stage"), "rows") for n, d in (("normalized", docs), ("deduplicated", unique), ("decontaminated", clean), ("quality_filtered", good))]
-    return counted[0].unionByName(counted[1]).unionByName(counted[2]).unionByName(counted[3])
+    """The stages pass on ids and a few numbers of each document; texts are written once, normalised, and never joined back."""
+    mapped = adapt(_texts(spark, sf_dir), Mapping(source_name="documents", id_key="doc_id", text_key="text"))
+    docs = materialize(mapped.select(F.col("sample_id").cast("bigint").alias("doc_id"), "text", "quality_signals", "messages"), "normalized")
+    groups = minhash.near_duplicate_groups(docs, dedup, "doc_id")
+    dropped = groups.where("node <> root").select(F.col("node").alias("doc_id"))
+    overlap = decontam.scores(docs, decontam.reference_index(table(spark, sf_dir, "benchmark"), EIGHT), EIGHT, "doc_id")
+    limits = quality.Limits(min_tokens=100, max_tokens=400, min_assistant_turns=0)
+    good = quality.enrich(docs, stats=False).select("doc_id", quality.passes(limits).alias("good"))
+    clean = overlap.select("doc_id", decontam.keeps(EIGHT, F.col("matched"), F.col("ratio")).alias("clean"))
+    flags = good.join(clean, "doc_id").join(dropped.withColumn("_gone", F.lit(True)), "doc_id", "left").select("good", "clean", F.col("_gone").isNull().alias("unique"))
+    stages = {"normalized": F.lit(True), "deduplicated": F.col("unique"), "decontaminated": F.col("unique") & F.col("clean"), "quality_filtered": F.col("unique") & F.col("clean") & F.col("good")}
+    counted = flags.agg(*[F.count(F.when(c, 1)).alias(n) for n, c in stages.items()])
+    return counted.select(F.explode(F.array(*[F.struct(F.lit(n).alias("stage"), F.col(n).alias("rows")) for n in stages])).alias("_s")).select("_s.*")
 
 
 def pipeline_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows after each stage of a run over the documents: normalised, deduplicated, decontaminated, filtered."""
-    return _stage_counts(spark, sf_dir, FEW)
-
-
-def pipeline_stage_counts_production(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with near-duplicates removed as a run does it."""
-    return _stage_counts(spark, sf_dir, PRODUCTION)
+    return _stage_counts(spark, sf_dir, NEAR)
 
 
 _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     normalize_conversations, turn_signals, last_assistant_answer, quality_filter, prompt_response_adapter, sft_export, token_counter, render_prompt,
-    turn_signals_whole, last_assistant_answer_whole, quality_filter_whole, prompt_response_adapter_whole, sft_export_whole, token_counter_whole, render_prompt_whole,
+    
     normalize_text_source, stable_sample_id, union_sources, token_counts, token_summary, alphanumeric_filter, decontam_score, decontam_filter, decontam_excluded,
-    minhash_signature, lsh_candidates, near_dedup, near_dedup_production, shard_manifest, numeric_filter_threshold, numeric_filter_percentile, metadata_stats, sample_num,
-    judge_parse, judge_filter, judge_summary, callable_generation, callable_generation_records, pipeline_stage_counts, pipeline_stage_counts_production,
+    minhash_signature, lsh_candidates, near_dedup, shard_manifest, numeric_filter_threshold, numeric_filter_percentile, metadata_stats, sample_num,
+    judge_parse, judge_filter, judge_summary, callable_generation, pipeline_stage_counts,
 )
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in _QUERIES}
+    from tidewright.plans import catalog_io, catalog_records
+
+    return {q.__name__: q for q in (*_QUERIES, *catalog_records.QUERIES, *catalog_io.QUERIES)}
 
 
 def oracle_sql() -> dict[str, str]:
-    from tidewright.plans.oracle import SQL
+    from tidewright.plans import oracle, oracle_more
 
-    return dict(SQL)
+    return {**oracle.SQL, **oracle_more.SQL}

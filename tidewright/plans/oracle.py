@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from tidewright.operators.minhash import PRIME, coefficients
+from tidewright.operators.minhash import PRIME, Settings, bands, coefficients
 
+_NEAR = Settings()
+_BANDS, _ROWS = bands(_NEAR)
 _BLANK = r"\s\x0B\p{Z}\x{1C}-\x{1F}\x{85}"
 _WORD = r"[\p{L}\p{N}_]+"
 _TOKEN = rf"[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_{_BLANK}]"
@@ -19,18 +21,18 @@ def _tokens(x: str) -> str:
 
 _TURNS = f"""
 turns AS (
-  SELECT conv_id, turn, floor(turn / 200)::BIGINT AS part, {_squash("text")} AS content,
+  SELECT conv_id, turn, {_squash("text")} AS content,
          coalesce(nullif(lower({_squash("role")}), ''), 'user') AS role
   FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY logged_at DESC NULLS LAST, {_squash("text")} DESC, lower({_squash("role")}) DESC) AS rn
         FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL)
   WHERE rn = 1
 ), said AS (SELECT * FROM turns WHERE content <> ''),
 chat AS (
-  SELECT conv_id, part, string_agg(role || ': ' || content, chr(10) || chr(10) ORDER BY turn) AS text, count(*)::INT AS message_count,
+  SELECT conv_id, string_agg(role || ': ' || content, chr(10) || chr(10) ORDER BY turn) AS text, count(*)::INT AS message_count,
          (count(*) FILTER (role = 'assistant'))::INT AS assistant_turn_count, (count(*) FILTER (role = 'user'))::INT AS user_turn_count,
          arg_max(content, turn) FILTER (role = 'assistant') AS answer, arg_min(content, turn) FILTER (role = 'user') AS prompt,
          arg_min(content, turn) FILTER (role = 'assistant') AS response, arg_max(role, turn) AS last_role, max(turn) AS last_turn
-  FROM said GROUP BY conv_id, part
+  FROM said GROUP BY conv_id
 )"""
 
 def _grams(name: str, key: str, table: str) -> str:
@@ -54,7 +56,7 @@ scores AS (
 )"""
 )
 
-_PAIRS = ", ".join(f"({k}, {a}::BIGINT, {c}::BIGINT)" for k, (a, c) in enumerate(coefficients(16, 1)))
+_PAIRS = ", ".join(f"({k}, {a}::BIGINT, {c}::BIGINT)" for k, (a, c) in enumerate(coefficients(_NEAR.num_permutations, _NEAR.seed)))
 
 
 def _minhash(table: str, key: str, text: str) -> str:
@@ -67,7 +69,7 @@ shingles AS (
 hashes AS (SELECT id, ('0x' || substr(md5(s), 1, 8))::BIGINT % {PRIME} AS h FROM shingles),
 perms(k, a, c) AS (VALUES {_PAIRS}),
 sigs AS (SELECT id, k, min((a * h + c) % {PRIME}) AS v FROM hashes CROSS JOIN perms GROUP BY id, k),
-bands AS (SELECT id, k // 4 AS band, string_agg(v::VARCHAR, ',' ORDER BY k) AS key FROM sigs GROUP BY id, k // 4),
+bands AS (SELECT id, k // {_ROWS} AS band, string_agg(v::VARCHAR, ',' ORDER BY k) AS key FROM sigs WHERE k < {_BANDS * _ROWS} GROUP BY id, k // {_ROWS}),
 least AS (SELECT band, key, min(id) AS src FROM bands GROUP BY band, key HAVING count(*) > 1),
 links AS (SELECT DISTINCT l.src, b.id AS dst FROM bands b JOIN least l USING (band, key) WHERE b.id <> l.src)"""
 
@@ -91,26 +93,26 @@ shared AS (SELECT a.id AS src, b.id AS dst, count(*) AS n FROM shingles a JOIN s
 links AS (SELECT s.src, s.dst FROM shared s JOIN sizes a ON a.id = s.src JOIN sizes b ON b.id = s.dst WHERE s.n::DOUBLE / (a.n + b.n - s.n) >= 0.8)"""
 
 SQL = {
-    "normalize_conversations": f"WITH {_TURNS} SELECT conv_id, part, text FROM chat",
-    "turn_signals": f"WITH {_TURNS} SELECT conv_id, part, length(text)::INT AS char_count, message_count, assistant_turn_count, user_turn_count FROM chat",
-    "last_assistant_answer": f"WITH {_TURNS} SELECT conv_id, part, answer FROM chat",
+    "normalize_conversations": f"WITH {_TURNS} SELECT conv_id, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1)::BIGINT AS position, role || ': ' || content AS block FROM said",
+    "turn_signals": f"WITH {_TURNS} SELECT conv_id, length(text)::INT AS char_count, message_count, assistant_turn_count, user_turn_count FROM chat",
+    "last_assistant_answer": f"WITH {_TURNS} SELECT conv_id, answer FROM chat",
     "quality_filter": f"""WITH {_TURNS}, counted AS (SELECT *, {_tokens("text")}::INT AS token_count, length(text)::INT AS char_count FROM chat)
-SELECT conv_id, part, token_count, message_count, assistant_turn_count, char_count FROM counted
+SELECT conv_id, token_count, message_count, assistant_turn_count, char_count FROM counted
 WHERE token_count BETWEEN 200 AND 100000 AND message_count >= 2 AND assistant_turn_count >= 1""",
     "prompt_response_adapter": f"""WITH {_TURNS}
-SELECT conv_id || '-' || part AS sample_id, concat_ws(chr(10) || chr(10), 'user: ' || prompt, 'assistant: ' || response) AS text, response AS answer, 'pairs' AS source,
+SELECT conv_id::VARCHAR AS sample_id, concat_ws(chr(10) || chr(10), 'user: ' || prompt, 'assistant: ' || response) AS text, response AS answer, 'pairs' AS source,
        ((prompt IS NOT NULL)::INT + (response IS NOT NULL)::INT)::INT AS message_count FROM chat""",
     "sft_export": f"""WITH {_TURNS}
-SELECT conv_id || '-' || part AS id, 'conversations' AS data_source, 'system=Be brief.|user=' || coalesce(prompt, '') || '|assistant=' || response AS messages FROM chat WHERE response <> ''""",
+SELECT conv_id::VARCHAR AS id, 'conversations' AS data_source, 'system=Be brief.|user=' || coalesce(prompt, '') || '|assistant=' || response AS messages FROM chat WHERE response <> ''""",
     "token_counter": f"""WITH {_TURNS}, prompts AS (
-  SELECT s.conv_id, s.part, string_agg(s.role || ': ' || s.content || chr(10), '' ORDER BY s.turn) AS p
-  FROM said s JOIN chat c USING (conv_id, part) WHERE NOT (c.last_role = 'assistant' AND s.turn = c.last_turn) GROUP BY s.conv_id, s.part
+  SELECT s.conv_id, string_agg(s.role || ': ' || s.content || chr(10), '' ORDER BY s.turn) AS p
+  FROM said s JOIN chat c USING (conv_id) WHERE NOT (c.last_role = 'assistant' AND s.turn = c.last_turn) GROUP BY s.conv_id
 )
-SELECT c.conv_id, c.part, {_tokens("p.p")}::INT AS prompt_tokens, (CASE WHEN length(c.answer) > 0 THEN {_tokens("c.answer")} + 1 ELSE 0 END)::INT AS response_tokens,
+SELECT c.conv_id, {_tokens("p.p")}::INT AS prompt_tokens, (CASE WHEN length(c.answer) > 0 THEN {_tokens("c.answer")} + 1 ELSE 0 END)::INT AS response_tokens,
        ({_tokens("p.p")} + CASE WHEN length(c.answer) > 0 THEN {_tokens("c.answer")} + 1 ELSE 0 END)::INT AS total_tokens
-FROM chat c LEFT JOIN prompts p USING (conv_id, part)""",
+FROM chat c LEFT JOIN prompts p USING (conv_id)""",
     "render_prompt": f"""WITH {_TURNS}
-SELECT conv_id, part, rtrim('Rate conversation ' || conv_id || ' (' || message_count || ' messages).' || chr(10) || chr(10) || coalesce(answer, '') || chr(10), ' ' || chr(10)) AS prompt FROM chat""",
+SELECT conv_id, rtrim('Rate conversation ' || conv_id || ' (' || message_count || ' messages).' || chr(10) || chr(10) || coalesce(answer, '') || chr(10), ' ' || chr(10)) AS prompt FROM chat""",
     "normalize_text_source": f"""SELECT doc_id::VARCHAR AS sample_id, CASE WHEN length(text) > 0 THEN {_squash("text")} ELSE '' END AS text, NULL::VARCHAR AS answer, 'documents' AS source, lang,
   length({_squash("text")})::INT AS char_count, (length(coalesce(text, '')) > 0)::INT AS message_count, (length(coalesce(text, '')) > 0)::INT AS user_turn_count FROM documents""",
     "stable_sample_id": f"SELECT doc_id, 'documents-' || lpad(doc_id::VARCHAR, 8, '0') || '-' || substr(sha1({_squash('text')}), 1, 12) AS sample_id FROM documents",
@@ -125,8 +127,7 @@ FROM (SELECT {_tokens("text")}::DOUBLE AS n FROM documents)""",
     "decontam_excluded": f"WITH {_SCORES} SELECT doc_id, matched, total FROM scores WHERE NOT (matched < 1 OR ratio <= 0.05)",
     "minhash_signature": f"WITH {_DOCS}, joined AS (SELECT id, string_agg(v::VARCHAR, ',' ORDER BY k) AS signature FROM sigs GROUP BY id) SELECT d.doc_id, j.signature FROM documents d LEFT JOIN joined j ON j.id = d.doc_id",
     "lsh_candidates": f"WITH {_DOCS} SELECT src, dst FROM links",
-    "near_dedup": f"WITH RECURSIVE {_DOCS}{_COMPONENTS} SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT id FROM dropped)",
-    "near_dedup_production": f"WITH RECURSIVE {_EXACT}{_COMPONENTS} SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT id FROM dropped)",
+    "near_dedup": f"WITH RECURSIVE {_EXACT}{_COMPONENTS} SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT id FROM dropped)",
     "shard_manifest": """SELECT shard, count(*) AS rows FROM (
   SELECT ((CASE WHEN r < m * (q + 1) THEN r // (q + 1) ELSE m + (r - m * (q + 1)) // greatest(q, 1) END))::INT AS shard
   FROM (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS r, count(*) OVER () // k AS q, count(*) OVER () % k AS m FROM documents, (SELECT greatest(1, (count(*) + 127) // 128) AS k FROM documents))) GROUP BY shard""",
@@ -146,24 +147,11 @@ SELECT sample_id, strftime(ingested_at AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S')
     "judge_filter": """SELECT sample_id, strftime(ingested_at AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') || CASE WHEN microsecond(ingested_at) % 1000000 = 0 THEN '' ELSE '.' || rtrim(lpad((microsecond(ingested_at) % 1000000)::VARCHAR, 6, '0'), '0') END AS ingested_at
 FROM samples WHERE judge.score >= 7.0 AND NOT isnan(judge.score)""",
     "judge_summary": "SELECT count(s) AS sample_count, min(s) AS min, max(s) AS max, avg(s) AS mean FROM (SELECT judge.score AS s FROM samples) WHERE NOT isnan(s)",
-    "callable_generation": "SELECT item_id, trim(upper(substr(suite || '/' || item_id || ': ' || text, 1, 24))) AS generated_answer, 'echo' AS model, NULL::VARCHAR AS error FROM benchmark",
-    "callable_generation_records": f"""WITH {_TURNS}, prompts AS (SELECT conv_id, part, conv_id || '/' || part || ': ' || text AS p FROM chat)
-SELECT conv_id, part, md5(p) || ' ' || length(p) AS generated_answer, 'digest' AS model, NULL::VARCHAR AS error FROM prompts""",
-    "pipeline_stage_counts": f"""WITH RECURSIVE {_minhash("documents", "doc_id", "text")}{_COMPONENTS},{_SCORES},
-unique_docs AS (SELECT * FROM documents WHERE doc_id NOT IN (SELECT id FROM dropped)),
-clean AS (SELECT u.* FROM unique_docs u JOIN scores s USING (doc_id) WHERE s.matched < 1 OR s.ratio <= 0.05),
-good AS (SELECT * FROM clean WHERE {_tokens("text")} BETWEEN 100 AND 400 AND length(text) > 0)
-SELECT 'normalized' AS stage, count(*) AS rows FROM documents UNION ALL SELECT 'deduplicated', count(*) FROM unique_docs
-UNION ALL SELECT 'decontaminated', count(*) FROM clean UNION ALL SELECT 'quality_filtered', count(*) FROM good""",
-    "pipeline_stage_counts_production": f"""WITH RECURSIVE {_EXACT}{_COMPONENTS},{_SCORES},
+    "callable_generation": "SELECT item_id, trim(upper(trim(suite || '/' || item_id || ': ' || text, ' ' || chr(9) || chr(10) || chr(13)))) AS generated_answer, 'echo' AS model, NULL::VARCHAR AS error FROM benchmark",
+    "pipeline_stage_counts": f"""WITH RECURSIVE {_EXACT}{_COMPONENTS},{_SCORES},
 unique_docs AS (SELECT * FROM documents WHERE doc_id NOT IN (SELECT id FROM dropped)),
 clean AS (SELECT u.* FROM unique_docs u JOIN scores s USING (doc_id) WHERE s.matched < 1 OR s.ratio <= 0.05),
 good AS (SELECT * FROM clean WHERE {_tokens("text")} BETWEEN 100 AND 400 AND length(text) > 0)
 SELECT 'normalized' AS stage, count(*) AS rows FROM documents UNION ALL SELECT 'deduplicated', count(*) FROM unique_docs
 UNION ALL SELECT 'decontaminated', count(*) FROM clean UNION ALL SELECT 'quality_filtered', count(*) FROM good""",
 }
-
-# the same without the cut into parts
-for _name in ("turn_signals", "last_assistant_answer", "quality_filter", "token_counter", "render_prompt", "prompt_response_adapter", "sft_export"):
-    _uncut = SQL[_name].replace("floor(turn / 200)::BIGINT AS part", "0 AS part").replace("conv_id || '-' || part AS", "conv_id::VARCHAR AS")
-    SQL[f"{_name}_whole"] = _uncut if _name in ("prompt_response_adapter", "sft_export") else f"SELECT * EXCLUDE (part) FROM ({_uncut})"

@@ -63,6 +63,13 @@ def materialize(df: DataFrame, label: str = "table", *folders: str) -> DataFrame
     return table
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new place in the shared folder for files that :func:`release` deletes."""
+    path = f"{shared_dir(spark)}/tidewright-{label}-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    return path
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     try:
         target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
