@@ -4,14 +4,19 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from tidewright.llm.tokens import document_tokens
 from tidewright.runtime import broadcast_if_small, materialize, running_sum
 
-#: Most sources a mixture may name, and most slots of a schedule (blocks grow with the data instead).
-MOST_SOURCES, MOST_SLOTS = 100_000, 1 << 16
+#: Slots up to which a schedule is as fine as LEAST_BLOCK_DOCUMENTS allows; beyond, blocks grow, to MOST_BLOCK_TOKENS at most.
+FINE_SLOTS, MOST_BLOCK_TOKENS = 1 << 16, 1 << 20
+#: Slots of one bucket when the slots of a source are ranked.
+BUCKET_SLOTS = 1 << 12
 #: Least size of a block in mean documents (small mixtures keep exact shares with fine blocks); rows of one source per
 #: bucket of the running sum.
 LEAST_BLOCK_DOCUMENTS, BUCKET_ROWS = 0.25, 5_000
@@ -47,16 +52,15 @@ def mixture(documents: DataFrame, targets: DataFrame, total_tokens: int | None =
     counted = document_tokens(documents.where("doc_id is not null and source is not null"), ["doc_id", "source"], tokenizers=tokenizers)
     pool = materialize(counted.where("tokens > 0"), "pool")
     plan = _plan(pool, targets)
-    rows = plan.limit(MOST_SOURCES + 1).collect()
-    if len(rows) > MOST_SOURCES:
-        raise ValueError(f"a mixture names at most {MOST_SOURCES} sources")
+    rows = plan.collect()  # one row per target source: the targets are a setting, not data
     usable = sorted((r for r in rows if r["target_share"] > 0 and r["max_repeats"] > 0 and r["tokens"] > 0), key=lambda r: r["source"])
     whole = sum(r["target_share"] for r in usable)
     weights = [r["target_share"] / whole for r in usable]
     size = min((r["max_repeats"] * r["tokens"] / w for r, w in zip(usable, weights)), default=0)
     size = min(size, total_tokens) if total_tokens is not None else size
     mean = sum(r["tokens"] for r in usable) / max(1, sum(r["documents"] for r in usable))
-    slots = max(1, min(MOST_SLOTS, int(size / max(1.0, LEAST_BLOCK_DOCUMENTS * mean)))) if usable else 0
+    finest = int(size / max(1.0, LEAST_BLOCK_DOCUMENTS * mean))
+    slots = max(1, min(finest, max(FINE_SLOTS, math.ceil(size / MOST_BLOCK_TOKENS)))) if usable else 0
     block = size / max(1, slots)
     spark = documents.sparkSession
     details = spark.createDataFrame(
@@ -71,7 +75,7 @@ def mixture(documents: DataFrame, targets: DataFrame, total_tokens: int | None =
     got = draws.groupBy("source").agg(
         F.sum("tokens").alias("drawn_tokens"), F.count(F.lit(1)).alias("draws"), F.countDistinct("doc_id").alias("documents_used"), F.max("use").alias("most_uses")
     )
-    report = plan.join(broadcast_if_small(got, MOST_SOURCES), "source", "left").na.fill(0, ["drawn_tokens", "draws", "documents_used", "most_uses"])
+    report = plan.join(broadcast_if_small(got), "source", "left").na.fill(0, ["drawn_tokens", "draws", "documents_used", "most_uses"])
     all_rows = Window.partitionBy()  # one row per target source
     report = report.select(
         "source", "target_share", "max_repeats", "documents", F.col("tokens").alias("available_tokens"), "drawn_tokens", "draws", "documents_used", "most_uses",
@@ -82,11 +86,12 @@ def mixture(documents: DataFrame, targets: DataFrame, total_tokens: int | None =
 
 def _draw(spark, pool: DataFrame, details: DataFrame, bounds: list[float], slots: int, block: float, seed: int) -> DataFrame:
     point = (F.col("id") + F.lit(0.5)) * F.lit(_GOLDEN)
-    place = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]).cast("array<double>"), lambda b: b <= F.col("point")))
-    schedule = spark.range(slots).select(F.col("id").alias("slot"), (point - F.floor(point)).alias("point")).select("slot", place.alias("place"))
-    ranked = schedule.withColumn("block", F.row_number().over(Window.partitionBy("place").orderBy("slot")).cast("bigint") - 1)  # at most MOST_SLOTS rows
-    ranked = ranked.join(F.broadcast(details.select("place", "source")), "place").select("slot", "source", "block")
-    used = pool.join(broadcast_if_small(details, MOST_SOURCES), "source").withColumn("use", F.explode(F.sequence(F.lit(1), F.col("uses"))))
+    edges = np.array(bounds)
+    find = F.arrow_udf(lambda points: pa.array(np.searchsorted(edges, points.to_numpy(zero_copy_only=False), side="right").astype(np.int32)), IntegerType())
+    schedule = spark.range(slots).select(F.col("id").alias("slot"), find(point - F.floor(point)).alias("place"), F.floor(F.col("id") / BUCKET_SLOTS).alias("_slots"), F.lit(1).cast("bigint").alias("_one"))
+    ranked = running_sum(schedule, ["place"], "_slots", ["slot"], "_one", "block")
+    ranked = ranked.join(broadcast_if_small(details.select("place", "source")), "place").select("slot", "source", "block")
+    used = pool.join(broadcast_if_small(details), "source").withColumn("use", F.explode(F.sequence(F.lit(1), F.col("uses"))))
     used = used.withColumn("_order", F.xxhash64(F.lit(seed), "use", "doc_id"))
     bucket = F.floor((F.col("_order") / F.lit(2.0**64) + 0.5) * F.col("buckets")).cast("bigint")
     summed = running_sum(used.withColumn("_bucket", bucket), ["source", "use"], "_bucket", ["_order", "doc_id"], "tokens", "_before_tokens")
