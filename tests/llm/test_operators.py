@@ -83,6 +83,18 @@ def test_token_budget(spark):
     assert tokens.token_budget(spark.createDataFrame([], SAMPLE)).count() == 0
 
 
+def test_document_tokens_equal_the_library(spark):
+    import tiktoken
+
+    from tidewright.llm import bpe
+
+    library = tiktoken.Encoding("own", pat_str=bpe.PATTERN, mergeable_ranks=bpe.ranks(bpe.vocabulary_path()).rank, special_tokens={})
+    texts = ["It's 12 o'clock.  Done!\n\n  x", "这是一个测试文本，谢谢", "", None, "a\u00a0b\u2003c\x1cd\x85e  ", "Ünïcödé e\u0301 ½ ² 𝔘𝔫 🙂🙂", "x" * 5000 + " " * 300, "we'll they've I'd 'S 's"]
+    got = {r["i"]: r["tokens"] for r in tokens.document_tokens(spark.createDataFrame(list(enumerate(texts)), "i int, text string"), ["i"]).collect()}
+    assert [got[i] for i in range(len(texts))] == [len(library.encode_ordinary(t or "")) for t in texts]
+    assert tokens.document_tokens(spark.createDataFrame([], "i int, text string"), ["i"]).count() == 0
+
+
 def test_mixture(spark):
     rng = random.Random(3)
     docs = [(i, rng.choice(["big"] * 6 + ["mid", "mid", "tiny", None, "other"]), "word " * rng.randint(5, 60)) for i in range(1500)] + [(9001, "big", None), (9002, "big", ""), (None, "big", "x")]

@@ -130,33 +130,23 @@ def ranks(path: str) -> Ranks:
     return Ranks(path)
 
 
-@lru_cache(maxsize=1)
-def _splitter():
-    import regex
-
-    return regex.compile(PATTERN)
-
-
 class Counter:
-    """Token counts of whole texts, with a bounded memory of the pieces seen by this worker."""
+    """Token counts of distinct pieces, with a bounded memory of the pieces seen by this worker."""
 
     MOST_PIECES = 1_000_000
 
     def __init__(self, path: str):
         self.ranks, self.known = ranks(path), {}
 
-    def __call__(self, texts: list[str | None]) -> np.ndarray:
-        split = _splitter().findall
-        pieces = [split(t) if t else [] for t in texts]
+    def __call__(self, pieces: list[str]) -> np.ndarray:
         known = self.known
-        fresh = list({p for found in pieces for p in found if p not in known})
+        fresh = [p for p in pieces if p not in known]
         if len(known) + len(fresh) > self.MOST_PIECES:
             known.clear()
-            fresh = list({p for found in pieces for p in found})
+            fresh = pieces
         if fresh:
             known.update(zip(fresh, self.ranks.count([p.encode("utf-8", "replace") for p in fresh]).tolist()))
-        get = known.__getitem__
-        return np.array([sum(map(get, found)) for found in pieces], np.int64)
+        return np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
 
 
 @lru_cache(maxsize=2)

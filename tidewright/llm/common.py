@@ -8,6 +8,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewright.llm import sketches
+from tidewright.runtime import latest_by
+
 #: Names of languages in metadata beside their two-letter code, by code. Fixed values.
 LANGUAGE_NAMES = {
     "en": "eng english", "de": "deu ger german deutsch", "fr": "fra fre french français francais", "es": "spa spanish español espanol castellano", "zh": "zho chi cmn chinese mandarin 中文 汉语", "it": "ita italian italiano",
@@ -32,6 +35,21 @@ def label(column: Column) -> Column:
     return F.coalesce(F.nullif(F.lower(F.trim(column)), F.lit("")), F.lit("unknown"))
 
 
+def latest_deliveries(samples: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """(sample_id, columns) of the latest delivery of each sample; null ids are dropped.
+
+    Only rows whose sample_id may be there again (by a partition-merged filter of the ids) are shuffled, so wide columns of
+    single deliveries stay where they are.
+    """
+    there = samples.where("sample_id is not null")
+    cells = sketches.filter_cells(there.count())
+    key = F.xxhash64("sample_id")
+    again = sketches.may_repeat(there, sketches.repeat_filter(there.select(key.alias("_s")), ["_s"], cells), cells)
+    marked = there.withColumn("_again", again(key))
+    once = marked.where("not _again").select("sample_id", *[c.alias(n) for n, c in columns.items()])
+    return once.unionByName(latest_by(marked.where("_again"), "sample_id", "ingested_at", columns))
+
+
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """``mapInArrow`` with a function of one batch."""
 

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.llm import bpe
-from tidewright.llm.common import arrow_map, label, language_code
+from tidewright.llm.common import arrow_map, label, language_code, latest_deliveries
 from tidewright.llm.language import language_of
-from tidewright.runtime import latest_by, materialize
+from tidewright.runtime import materialize
 
 
 def piece_tokens(pieces: DataFrame, path: str) -> DataFrame:
@@ -42,7 +43,7 @@ def token_budget(samples: DataFrame, tokenizers: str | None = None, vocabulary:
         "declared": F.col("quality_signals.token_count"),
         "text": F.col("text"),
     }
-    latest = latest_by(samples.select("sample_id", "ingested_at", "source", "metadata", "quality_signals", "text"), "sample_id", "ingested_at", columns)
+    latest = latest_deliveries(samples.select("sample_id", "ingested_at", "source", "metadata", "quality_signals", "text"), columns)
     latest = latest.withColumn("lang", F.coalesce(language_of(F.col("text")), "declared_lang", F.lit("unknown")))
     keys = ["source", "lang", "domain"]
     # one pass: a null piece stands for the document itself
@@ -71,14 +72,23 @@ def token_budget(samples: DataFrame, tokenizers: str | None = None, vocabulary:
 
 
 def document_tokens(df: DataFrame, keep: list[str], text: str = "text", tokenizers: str | None = None, vocabulary: str = bpe.RANKS) -> DataFrame:
-    """``keep`` plus ``tokens`` of each whole text; null and empty texts have 0."""
+    """``keep`` plus ``tokens`` of each whole text; null and empty texts have 0.
+
+    Texts are split in the JVM. Of a batch's pieces the distinct ones are counted, and the counts are added up by document
+    with array operations; nothing is shuffled.
+    """
     path = bpe.vocabulary_path(tokenizers, vocabulary)
-    fields = df.select(*keep, F.col(text).alias("_text"))
+    split = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(bpe.JVM_PATTERN), F.lit(0))
+    fields = df.select(*keep, split.alias("_pieces"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields.schema.fields[:-1])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         last = batch.num_columns - 1
-        tokens = bpe.counter(path)(batch.column(last).to_pylist())
+        lists = batch.column(last)
+        pieces = lists.flatten().dictionary_encode()
+        each = bpe.counter(path)(pieces.dictionary.to_pylist())
+        owner = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+        tokens = np.bincount(owner, weights=each[pieces.indices.to_numpy()], minlength=len(lists)).astype(np.int64) if len(owner) else np.zeros(len(lists), np.int64)
         return pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(last)), pa.array(tokens)], [*keep, "tokens"])
 
     return arrow_map(fields, run, f"{schema}, tokens bigint")
