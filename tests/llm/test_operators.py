@@ -337,6 +337,25 @@ def test_leaks_of_short_items(spark):
     assert sorted((r["doc_id"], r["item_id"]) for r in got.collect()) == [(1, 1), (2, 2), (3, 3)]
 
 
+def test_items_of_ten_to_sixty_characters(spark):
+    rng = random.Random(17)
+    word = lambda: "".join(rng.choice("bcdfghjklmnprstvwz") + rng.choice("aeiou") for _ in range(rng.randint(1, 3)))
+    items, docs, must = [], [], set()
+    for k, size in enumerate(range(10, 62, 4)):
+        text = ""
+        while len(text) < size:
+            text += (" " if text else "") + word()
+        items.append((k, text))
+        docs.append((2 * k, f"It says: {text.upper()}! and goes on with other matters."))
+        must.add((2 * k, k))
+        if len(text) >= 20:  # half of it is longer than a q-gram
+            docs.append((2 * k + 1, f"Only {text[: len(text) // 2 + 2]} is quoted here."))
+            must.add((2 * k + 1, k))
+    docs.append((999, "Nothing of the kind stands in this sentence about the weather."))
+    got = leakage.leaked_items(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame([*items, (500, "Why?")], "item_id bigint, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == must
+
+
 def test_shared_openings_do_not_depend_on_size(spark, monkeypatch):
     opening = " ".join(f"Rule number {w} of the task ist nötig." for w in ("one", "two", "three", "four", "five", "six"))
     own = ["alpha beta gamma delta epsilon zeta eta theta iota kappa", "wholly other words stand in this second item of ours", "a third wording that shares nothing with the former two"]

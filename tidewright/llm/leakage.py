@@ -30,7 +30,7 @@ EDIT_SHARE = 0.35
 #: An opening sentence that this many items share is an instruction.
 SHARED_OPENINGS = 3
 #: Characters of items searched at once (their gram table is broadcast), and least own wording of an item.
-BLOCK_ITEM_CHARS, LEAST_WORDING = 4_000_000, 2 * Q
+BLOCK_ITEM_CHARS, LEAST_WORDING = 4_000_000, Q
 
 _TABLE_BITS = 22
 _MARKUP = r"<[^<>]{1,80}>|&#?[A-Za-z0-9]{1,8};|\\[nrt]"
@@ -241,15 +241,13 @@ def _chain(segments: np.ndarray, credit: np.ndarray, items: Items, least_share:
         rows, gain = segments[a:b], credit[a:b]
         if gain.sum() < least_share * items.length[rows[0, 1]]:
             continue
-        best: list[float] = []
-        for k in range(len(rows)):
-            top = gain[k]
-            for j in range(k):
-                overlap = max(0, rows[j, 5] - rows[k, 4])
-                if rows[j, 3] <= rows[k, 3] and rows[j, 4] <= rows[k, 4] and rows[j, 2] <= rows[k, 2]:
-                    top = max(top, best[j] + max(0.0, gain[k] - overlap))
-            best.append(top)
-        share = max(best) / items.length[rows[0, 1]]
+        best = gain.copy()
+        for k in range(1, len(rows)):
+            before = np.flatnonzero((rows[:k, 4] <= rows[k, 4]) & (rows[:k, 2] <= rows[k, 2]))  # ends are in order already
+            if len(before):
+                overlap = np.maximum(0, rows[before, 5] - rows[k, 4])
+                best[k] = max(gain[k], float((best[before] + np.maximum(0.0, gain[k] - overlap)).max()))
+        share = best.max() / items.length[rows[0, 1]]
         if share >= least_share:
             out.append((int(rows[0, 0]), int(rows[0, 1]), min(1.0, float(share))))
     return out
@@ -259,10 +257,11 @@ def leaked_items(documents: DataFrame, benchmark: DataFrame, least_share: float
     """(doc_id, item_id, share): documents that hold at least ``least_share`` of an item's own wording, in its order.
 
     Texts are compared as lower-case letters and digits, whatever else stands between them; markup and escapes are
-    taken out. Opening sentences that several items share are instructions and do not count; items with less than
-    :data:`LEAST_WORDING` letters, digits and blanks of their own are not searched. A part counts from a window's
-    grams on (32 characters verbatim), of items under two windows at the default share from the grams of that share. Every document is read once per block of items (one block up to 4
-    million characters), whole and without a shuffle; null ids and empty texts yield nothing.
+    taken out. Opening sentences that several items share are instructions and do not count; an item with fewer letters,
+    digits and blanks of its own than a q-gram has (:data:`LEAST_WORDING`) cannot be told from chance and is in no document.
+    A part counts from a window's grams on (32 characters verbatim), of items under two windows at the default share from
+    the grams of that share. Every document is read once per block of items (one block up to 4 million characters), whole
+    and without a shuffle; null ids and empty texts yield nothing.
     """
     items = benchmark.where("item_id is not null and text is not null").select("item_id", "text")
     size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
