@@ -208,6 +208,19 @@ def test_default_groups_equal_brute_force_around_the_threshold(spark):
     assert kept == sorted(k for k, r in root.items() if r == k)
 
 
+@pytest.mark.parametrize("hash_fc,precision,language", [("sha1", 32, "english"), ("sha1", 64, "english"), ("xxhash", 32, "chinese")])
+def test_block_with_its_options(spark, hash_fc, precision, language):
+    words = [f"w{i}" for i in range(80)]
+    texts = [" ".join(words), " ".join([*words, "x"]), " ".join(words[::-1]), "先检查样本清单然后拒绝队列里所有的任务并且写下原因", "先检查样本清单然后拒绝队列里所有的任务并且写下原因。", "", None]
+    df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "id int, text string, more int")
+    made = minhash.minhash_block(df, "id", hash_fc=hash_fc, precision=precision, language=language)
+    want = [1, 4] if language == "chinese" else [1]
+    assert sorted(r["id"] for r in made["remove_ids"].collect()) == want and made["output"].columns == df.columns
+    assert sorted(r["id"] for r in made["output"].collect()) == [i for i in range(7) if i not in want] and made["buckets"].count() == 5
+    with pytest.raises(ValueError):
+        minhash.minhash_block(df, "id", hash_fc="crc")
+
+
 def test_a_chance_collision_as_smallest_member_loses_no_link(spark, monkeypatch):
     words = [f"w{i}" for i in range(60)]
     texts = [" ".join(words[:55][::-1]), " ".join(words), " ".join([*words, "x"])]

@@ -9,13 +9,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType
+from pyspark.sql.types import ArrayType, IntegerType, LongType
 
 from tidewright.functions.text import ngram_hashes, words
 from tidewright.runtime import materialize
 from tidewright.schema import with_signals
 
-#: Reference n-grams that may be broadcast: 8 bytes each, so 1 million take 8 MB (32 MB as a hash table).
+#: Reference n-grams that are sent along with the tasks as a sorted array: 8 bytes each, so 1 million take 8 MB.
 BROADCAST_NGRAMS = 1_000_000
 #: Bits of the filter of a larger index at most (32 MB); beyond 33 million n-grams more unknown ones pass. Bytes of one bitmap
 #: of the built-in aggregate.
@@ -82,30 +82,53 @@ def _maybe_known(df: DataFrame, index: DataFrame, count: int) -> Column:
     return F.arrow_udf(probe, ArrayType(LongType()))(F.col("_grams"))
 
 
+def _known(df: DataFrame, index: DataFrame) -> Column | None:
+    """How many of ``_grams`` stand in the index, in Arrow batches; None if the index is too large to be sent along."""
+    rows = index.limit(BROADCAST_NGRAMS + 1).toPandas()
+    if len(rows) > BROADCAST_NGRAMS:
+        return None
+    shared = df.sparkSession.sparkContext.broadcast(np.sort(rows["gram"].to_numpy(np.int64)))
+
+    def count(lists: pa.Array) -> pa.Array:
+        table = shared.value
+        values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        owner = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+        hit = table[np.minimum(np.searchsorted(table, values), len(table) - 1)] == values if len(table) else np.zeros(len(values), bool)
+        return pa.array(np.bincount(owner[hit], minlength=len(lists)).astype(np.int32))
+
+    # not to be moved into a filter above, which would look up the same n-grams once more
+    return F.arrow_udf(count, IntegerType()).asNondeterministic()(F.col("_grams"))
+
+
+def _with_matches(df: DataFrame, index: DataFrame, rules: Rules, text: str) -> DataFrame | None:
+    """``df`` with ``matched`` and ``total``, without a shuffle; None if the index is too large for that."""
+    matched = _known(df, index)
+    if matched is None:
+        return None
+    split = df.withColumn("_grams", grams(F.col(text), rules))
+    return split.withColumn("matched", matched).withColumn("total", F.size("_grams")).drop("_grams")
+
+
 def _matches(df: DataFrame, index: DataFrame, rules: Rules, key: str, text: str) -> DataFrame:
-    """(key, matched, total) of every key, in one pass over the texts.
+    """(key, matched, total) of every key for an index of any size, in one pass over the texts.
 
-    The n-grams are exploded and looked up in the index, which is broadcast while its counted size allows. A larger index
-    is joined by shuffle, of the n-grams only that its Bloom filter does not rule out. A partial aggregate folds each text
-    back to one row before anything is shuffled by key.
+    N-grams that the index' Bloom filter does not rule out are exploded and joined with the index by shuffle; a partial
+    aggregate folds each text back to one row before anything is shuffled by key.
     """
-    known = index.withColumn("_hit", F.lit(1))
-    count = index.limit(BROADCAST_NGRAMS + 1).count()
     split = df.select(key, grams(F.col(text), rules).alias("_grams"))
-    split = split.select(key, F.size("_grams").alias("_total"), "_grams")
-    if count <= BROADCAST_NGRAMS:
-        known = F.broadcast(known)
-    else:
-        split = split.select(key, "_total", _maybe_known(df, index, index.count()).alias("_grams"))
-    looked_up = split.select(key, "_total", F.explode_outer("_grams").alias("gram")).join(known, "gram", "left")
+    split = split.select(key, F.size("_grams").alias("_total"), _maybe_known(df, index, index.count()).alias("_grams"))
+    looked_up = split.select(key, "_total", F.explode_outer("_grams").alias("gram")).join(index.withColumn("_hit", F.lit(1)), "gram", "left")
     return looked_up.groupBy(key).agg(F.count("_hit").cast("int").alias("matched"), F.max("_total").alias("total"))
 
 
+_RATIO = "case when total > 0 then matched / total else 0.0D end"
+
+
 def scores(df: DataFrame, index: DataFrame, rules: Rules, key: str, text: str = "text") -> DataFrame:
-    """(key, matched, total, ratio) of every key; a text without n-grams has (0, 0, 0.0). Keys must be unique, null is a key."""
-    found = _matches(df, index, rules, key, text)
-    ratio = F.when(F.col("total") > 0, F.col("matched") / F.col("total")).otherwise(F.lit(0.0))
-    return found.select(key, "matched", "total", ratio.alias("ratio"))
+    """(key, matched, total, ratio) of every row; a text without n-grams has (0, 0, 0.0). Keys must be unique, null is a key."""
+    found = _with_matches(df.select(key, text), index, rules, text)
+    found = _matches(df, index, rules, key, text) if found is None else found
+    return found.select(key, "matched", "total", F.expr(_RATIO).alias("ratio"))
 
 
 def keeps(rules: Rules, matched: Column, ratio: Column) -> Column:
@@ -116,18 +139,19 @@ def keeps(rules: Rules, matched: Column, ratio: Column) -> Column:
 def annotate(df: DataFrame, references: DataFrame, rules: Rules) -> DataFrame:
     """Set the contamination signals of standard records. An empty reference leaves them as they are.
 
-    Rows are told apart by a generated number, so repeated and null sample ids do no harm; the numbers are written
-    once, since a second evaluation could number the rows differently.
+    With an index that can be sent along, records stay where they are. With a larger one, rows are told apart by a generated
+    number, so repeated and null sample ids do no harm; the numbers are written once, since a second evaluation could number
+    the rows differently.
     """
     index = materialize(reference_index(references, rules), "grams")
     if index.isEmpty():
         return df
-    numbered = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    found = _matches(numbered, index, rules, "_row", "text")
-    joined = numbered.join(found, "_row")
-    ratio = F.when(F.col("total") > 0, F.col("matched") / F.col("total")).otherwise(F.lit(0.0))
-    changes = {"contamination_ratio": ratio, "contamination_matched_ngrams": F.col("matched"), "contamination_total_ngrams": F.col("total")}
-    return joined.withColumn("quality_signals", with_signals(F.col("quality_signals"), changes)).drop("_row", "matched", "total")
+    joined = _with_matches(df, index, rules, "text")
+    if joined is None:
+        numbered = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+        joined = numbered.join(_matches(numbered, index, rules, "_row", "text"), "_row").drop("_row")
+    changes = {"contamination_ratio": F.expr(_RATIO), "contamination_matched_ngrams": F.col("matched"), "contamination_total_ngrams": F.col("total")}
+    return joined.withColumn("quality_signals", with_signals(F.col("quality_signals"), changes)).drop("matched", "total")
 
 
 def split_contaminated(df: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame]:

@@ -35,6 +35,9 @@ class Settings:
     jaccard_threshold: float = 0.8
     #: Verify candidates on their shingle sets; without it all records that share a band are duplicates.
     verify: bool = True
+    #: Hash function of the shingles (xxhash or sha1) and its bits (32 or 64).
+    hash_fc: str = "xxhash"
+    precision: int = 64
     #: Seed of the permutations, and bands and rows per band where they are not to be chosen by the threshold.
     seed: int = 1
     bands: int | None = None
@@ -197,8 +200,30 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def shingle_hashes(text: Column, settings: Settings) -> Column:
-    """The shingle set as 64-bit hashes."""
-    return F.transform(shingles(text, settings), lambda s: F.xxhash64(s))
+    """The shingle set as hashes of 64 bits; those of 32 bits fill the upper half, which the permutations read."""
+    if settings.hash_fc not in ("xxhash", "sha1") or settings.precision not in (32, 64):
+        raise ValueError(f"unknown hash function or precision: {settings.hash_fc}, {settings.precision}")
+    number = (lambda s: F.xxhash64(s)) if settings.hash_fc == "xxhash" else (lambda s: F.conv(F.substring(F.sha1(s), 1, 16), 16, -10).cast("bigint"))
+    cut = (lambda h: F.shiftleft(F.shiftrightunsigned(h, 32), 32)) if settings.precision == 32 else (lambda h: h)
+    return F.transform(shingles(text, settings), lambda s: cut(number(s)))
+
+
+#: Languages that do not set words apart: their n-grams are of characters. Fixed values.
+UNSPACED = ("chinese", "japanese", "thai", "lao", "khmer", "burmese", "tibetan", "zh", "ja", "th", "lo", "km", "my", "bo")
+
+
+def minhash_block(df: DataFrame, identity: str, n_grams: int = 5, num_buckets: int | None = None, hashes_per_bucket: int | None = None, seed: int = 1, precision: int = 64, hash_fc: str = "xxhash", language: str = "english", threshold: float = 0.8) -> dict[str, DataFrame]:
+    """Near-duplicate removal by the options of the manual's block: ``output`` (records that stay), ``buckets`` and ``remove_ids``.
+
+    ``buckets`` has (identity, keys) of every record with tokens, ``remove_ids`` the records that are left out; the schema of
+    the records is unchanged. Without ``num_buckets`` and ``hashes_per_bucket`` they follow from the threshold, so that no
+    pair at it is missed; given ones may miss pairs (10 x 8 finds 0.84 of the pairs right at 0.8). Candidates are always
+    verified on their whole sets.
+    """
+    settings = Settings(tokenization="character" if language.lower() in UNSPACED else "space", window_size=n_grams, jaccard_threshold=threshold, seed=seed, bands=num_buckets, rows=hashes_per_bucket, hash_fc=hash_fc, precision=precision)
+    narrow = df.select(identity, "text")
+    removed = near_duplicate_groups(narrow, settings, identity).where("node <> root").select(F.col("node").alias(identity))
+    return {"output": df.join(removed, identity, "left_anti"), "buckets": set_keys(narrow, settings, identity).select(identity, "keys"), "remove_ids": removed}
 
 
 def set_keys(df: DataFrame, settings: Settings, identity: str, text: str = "text") -> DataFrame:

@@ -178,6 +178,11 @@ def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.remove_near_duplicates(_texts(spark, sf_dir), NEAR, ["doc_id"]).select("doc_id")
 
 
+def minhash_block(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the manual's block removes, with another hash function."""
+    return minhash.minhash_block(_texts(spark, sf_dir), "doc_id", hash_fc="sha1", precision=32)["remove_ids"]
+
+
 def shard_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_sizes(_documents(spark, sf_dir), 128, "doc_id")
 
@@ -254,7 +259,7 @@ _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     normalize_conversations, turn_signals, last_assistant_answer, quality_filter, prompt_response_adapter, sft_export, token_counter, render_prompt,
     
     normalize_text_source, stable_sample_id, union_sources, token_counts, token_summary, alphanumeric_filter, decontam_score, decontam_filter, decontam_excluded,
-    minhash_signature, lsh_candidates, near_dedup, shard_manifest, numeric_filter_threshold, numeric_filter_percentile, metadata_stats, sample_num,
+    minhash_signature, lsh_candidates, near_dedup, minhash_block, shard_manifest, numeric_filter_threshold, numeric_filter_percentile, metadata_stats, sample_num,
     judge_parse, judge_filter, judge_summary, callable_generation, pipeline_stage_counts,
 )
 

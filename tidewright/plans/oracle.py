@@ -128,6 +128,7 @@ FROM (SELECT {_tokens("text")}::DOUBLE AS n FROM documents)""",
     "minhash_signature": f"WITH {_DOCS}, joined AS (SELECT id, string_agg(v::VARCHAR, ',' ORDER BY k) AS signature FROM sigs GROUP BY id) SELECT d.doc_id, j.signature FROM documents d LEFT JOIN joined j ON j.id = d.doc_id",
     "lsh_candidates": f"WITH {_DOCS} SELECT src, dst FROM links",
     "near_dedup": f"WITH RECURSIVE {_EXACT}{_COMPONENTS} SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT id FROM dropped)",
+    "minhash_block": f"WITH RECURSIVE {_EXACT}{_COMPONENTS} SELECT id AS doc_id FROM dropped",
     "shard_manifest": """SELECT shard, count(*) AS rows FROM (
   SELECT ((CASE WHEN r < m * (q + 1) THEN r // (q + 1) ELSE m + (r - m * (q + 1)) // greatest(q, 1) END))::INT AS shard
   FROM (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS r, count(*) OVER () // k AS q, count(*) OVER () % k AS m FROM documents, (SELECT greatest(1, (count(*) + 127) // 128) AS k FROM documents))) GROUP BY shard""",
