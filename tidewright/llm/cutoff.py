@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.runtime import broadcast_if_small, latest_by, materialize
+from tidewright.runtime import broadcast_if_small, latest_by, materialize, running_sum
 
 #: KLL size parameter; the rank error of a query stays under RANK_MARGIN with very high probability.
 KLL_K = 4096
 RANK_MARGIN = 0.005
 #: Ranks at which a sketch is asked for its quantiles; a cutoff's range lies between two of them.
 GRID = 200
+#: Buckets into which the range of a source's cutoff is cut when its scores are added up.
+BUCKETS = 1000
 
 
 def valid_score(score: Column, low: float, high: float) -> Column:
@@ -87,15 +89,14 @@ def _exact(scored: DataFrame, ranges: DataFrame) -> DataFrame:
         .groupBy("source", "keep_fraction", "_low", "_high", bucket.alias("_score"))
         .agg(F.count(F.lit(1)).alias("_rows"))
     )
-    by_score = Window.partitionBy("source").orderBy(F.desc("_score")).rowsBetween(Window.unboundedPreceding, 0)
-    summed = counts.select(
-        "source",
-        "keep_fraction",
-        "_score",
-        "_rows",
-        F.sum("_rows").over(by_score).alias("_at_least"),
-        F.sum("_rows").over(Window.partitionBy("source")).alias("_all"),
-    )
+    # summed from the top by buckets of the range, so the scores of one source are not one task's
+    width = F.col("_high") - F.col("_low")
+    inner = F.when(width > 0, F.when(width < float("inf"), (F.col("_high") - F.col("_score")) / width * BUCKETS).otherwise(-F.col("_score") * BUCKETS)).otherwise(0.0)
+    place = F.when(F.col("_score") == float("inf"), F.lit(float("-inf"))).when(F.col("_score") == float("-inf"), F.lit(float("inf"))).otherwise(F.floor(inner).cast("double"))
+    counts = materialize(counts.withColumn("_place", place).withColumn("_down", -F.col("_score")), "score_counts")
+    above = running_sum(counts, ["source"], "_place", ["_down"], "_rows", "_above_rows")
+    whole = counts.groupBy("source").agg(F.sum("_rows").alias("_all"))
+    summed = above.join(broadcast_if_small(whole), "source").select("source", "keep_fraction", "_score", "_rows", (F.col("_above_rows") + F.col("_rows")).alias("_at_least"), "_all")
     enough = (F.col("_at_least") / F.col("_all") >= F.least(F.col("keep_fraction"), F.lit(1.0))) & (F.abs("_score") != F.lit(float("inf")))
     above = F.max(F.when(F.col("_score") == F.lit(float("inf")), F.col("_rows") / F.col("_all")))
     best = F.max(F.when(enough, F.struct("_score", "_at_least", "_rows")))
