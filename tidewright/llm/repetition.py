@@ -139,6 +139,6 @@ def host_verdicts(rows: DataFrame, host_limit: float = HOST_LIMIT) -> DataFrame:
     )
     spread = F.col("_mean") * (1 - F.col("_mean"))
     strength = F.when((F.col("_var") > 0) & (F.col("_var") < spread), spread / F.col("_var") - 1).otherwise(F.lit(1.0))
-    joined = hosts.join(F.broadcast(prior.select("_mean", strength.alias("_strength"))))  # one row: a global aggregate
-    shrunk = (F.col("host_failures") + F.col("_mean") * F.col("_strength")) / (F.col("host_documents") + F.col("_strength"))
-    return joined.select("host", "host_documents", "host_failures", shrunk.alias("host_rate"), (shrunk >= F.lit(host_limit)).alias("host_repetitive"))
+    mean, weight = prior.select("_mean", strength.alias("_strength")).first()  # one row: a global aggregate
+    shrunk = (F.col("host_failures") + F.lit((mean or 0.0) * weight)) / (F.col("host_documents") + F.lit(weight))
+    return hosts.select("host", "host_documents", "host_failures", shrunk.alias("host_rate"), (shrunk >= F.lit(host_limit)).alias("host_repetitive"))
