@@ -53,13 +53,18 @@ _BEYOND_LATIN = 0x370
 
 
 @lru_cache(maxsize=1)
-def _tables() -> tuple[list[str], list[np.ndarray], np.ndarray]:
-    """Languages in Latin letters, hashes of their function words, and the languages that own a letter (bits) by code point."""
+def _tables() -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Languages in Latin letters, sorted hashes of function words with their languages (bits), and the languages that own a letter (bits) by code point."""
     owners = np.zeros(0x10000, np.uint32)
     for k, name in enumerate(FUNCTION_WORDS):
         for letter in OWN_LETTERS.get(name, ""):
             owners[ord(letter)] |= np.uint32(1 << k)
-    return list(FUNCTION_WORDS), [K.hash_set(words.split()) for words in FUNCTION_WORDS.values()], owners
+    listed = [K.hash_set(words.split()) for words in FUNCTION_WORDS.values()]
+    known = np.unique(np.concatenate(listed))
+    bits = np.zeros(len(known), np.uint32)
+    for k, words in enumerate(listed):
+        bits[np.searchsorted(known, words)] |= np.uint32(1 << k)
+    return list(FUNCTION_WORDS), known, bits, owners
 
 
 @lru_cache(maxsize=1)
@@ -85,10 +90,13 @@ def _scripts(text: K.Chars, w: K.Words) -> np.ndarray:
 
 def detect_block(text: K.Chars) -> tuple[np.ndarray, np.ndarray]:
     """(language, script) of the texts of a block; None where too little speaks for one of them."""
-    names, tables, owners = _tables()
+    names, known, bits, owners = _tables()
     w = K.words(text, K.LETTER | K.MARK)
     n = K.per_doc(w.doc, text.docs)
-    hits = np.stack([K.per_doc(w.doc, text.docs, K.member(w.hash, t)) for t in tables])
+    at = np.minimum(np.searchsorted(known, w.hash), len(known) - 1)
+    found = np.flatnonzero(known[at] == w.hash)
+    doc, mine = w.doc[found], bits[at[found]]
+    hits = np.stack([np.bincount(doc[(mine >> np.uint32(k)) & np.uint32(1) > 0], minlength=text.docs).astype(float) for k in range(len(names))])
     letters = np.flatnonzero((text.low >= 0x80) & (text.low < 0x10000))
     letters = letters[owners[text.low[letters]] > 0]
     if len(letters):
