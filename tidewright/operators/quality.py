@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from tidewright.functions.text import token_count
+from tidewright.runtime import materialize
 from tidewright.schema import MESSAGES, with_signals
 
 
@@ -172,7 +173,7 @@ def percentiles(df: DataFrame, column: Column, shares: list[float]) -> list[floa
 def summary(df: DataFrame, shares: list[float], column: Column | None = None) -> DataFrame:
     """One row: sample_count, min, max, mean and the percentiles of the token counts; zeros for no rows."""
     value = F.coalesce(F.col("quality_signals.token_count") if column is None else column, F.lit(0)).cast("double")
-    counted = df.select(value.alias("_v"))
+    counted = materialize(df.select(value.alias("_v")), "values")  # read several times; counting tokens is done once
     found = percentiles(counted, F.col("_v"), shares)
     shown = F.map_from_arrays(F.array(*[F.lit(str(s)) for s in shares]).cast("array<string>"), F.array(*[F.lit(v or 0.0) for v in found]).cast("array<double>"))
     return counted.agg(

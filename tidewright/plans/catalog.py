@@ -139,7 +139,7 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def token_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = quality.summary(_documents(spark, sf_dir), [0.1, 0.5, 0.9], token_count(F.col("text")))
+    found = quality.summary(_texts(spark, sf_dir), [0.1, 0.5, 0.9], token_count(F.col("text")))
     return found.select("sample_count", "min", "max", "mean", *[F.col("percentiles")[str(p)].alias(n) for p, n in ((0.1, "p10"), (0.5, "p50"), (0.9, "p90"))])
 
 
