@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 
 from tidewright.llm import cutoff, formatting, leakage, mixing, neardup, pairs, reading, repetition, tokens
 from tidewright.llm.common import table
-from tidewright.runtime import materialize
+from tidewright.runtime import materialize, spread
+
+
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table with long work per row, on all cores even if its files have few splits."""
+    return spread(table(spark, sf_dir, name))
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,24 +28,24 @@ def p1_cutoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_token_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokens.token_budget(table(spark, sf_dir, "samples"))
+    return tokens.token_budget(texts(spark, sf_dir, "samples"))
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repetition.repetition(table(spark, sf_dir, "samples")).where("repetitive").select("sample_id")
+    return repetition.repetition(texts(spark, sf_dir, "samples")).where("repetitive").select("sample_id")
 
 
 def p3_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = repetition.repetition(table(spark, sf_dir, "samples"))
+    found = repetition.repetition(texts(spark, sf_dir, "samples"))
     return found.withColumn("failed", found["failed"].cast("string"))
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pairs.broken_pairs(table(spark, sf_dir, "samples")).select("sample_id", "defect")
+    return pairs.broken_pairs(texts(spark, sf_dir, "samples")).select("sample_id", "defect")
 
 
 def p4_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = pairs.broken_pairs(table(spark, sf_dir, "samples"))
+    found = pairs.broken_pairs(texts(spark, sf_dir, "samples"))
     return found.select("sample_id", F.explode("defects").alias("defect"))
 
 
@@ -63,12 +68,12 @@ def p6_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leakage.leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select("doc_id", "item_id")
+    return leakage.leaked_items(texts(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select("doc_id", "item_id")
 
 
 def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All items of which a document holds a third or more."""
-    return leakage.leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), least_share=1 / 3)
+    return leakage.leaked_items(texts(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), least_share=1 / 3)
 
 
 def p8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +85,7 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reading.reading_levels(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", "band")
+    return reading.reading_levels(texts(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", "band")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
