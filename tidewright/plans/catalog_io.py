@@ -17,7 +17,7 @@ from tidewright.plans.pipeline import Run
 from tidewright.runtime import scratch, spread
 from tidewright.sources import readers, writers
 from tidewright.sources.arrow import write_arrow
-from tidewright.sources.files import read_text, write_text
+from tidewright.sources.files import is_file, read_text, write_text
 from tidewright.streaming.stateless import clean_stream, read_json_stream
 
 _FIELDS = {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string", "n_chars": "bigint", "domain": "string"}
@@ -156,7 +156,11 @@ def _finished(application: str, sf_dir: str) -> str:
 
 
 def _run_folder(spark: SparkSession, sf_dir: str) -> str:
-    return _finished(spark.sparkContext.applicationId, sf_dir)
+    folder = _finished(spark.sparkContext.applicationId, sf_dir)
+    if not is_file(spark, f"{folder}/pipeline_summary.json"):  # deleted meanwhile
+        _finished.cache_clear()
+        folder = _finished(spark.sparkContext.applicationId, sf_dir)
+    return folder
 
 
 def pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 BATCHES_PER_PARTITION = 16
 
 
-def _located(path: str) -> tuple[fs.FileSystem, str]:
+def located(path: str) -> tuple[fs.FileSystem, str]:
     """File system and path of an address (``file:``, ``hdfs:``, ``s3:``, ...) or of a plain path."""
     if "://" in path:
         return fs.FileSystem.from_uri(path)
@@ -26,7 +26,7 @@ def _located(path: str) -> tuple[fs.FileSystem, str]:
 
 def _files(path: str) -> list[str]:
     """Addresses of the Arrow files of a file, folder or (for the last part of the path) pattern."""
-    system, inside = _located(path)
+    system, inside = located(path)
     head = path[: len(path) - len(inside)] if path.endswith(inside) else ""
     folder, _, name = inside.rpartition("/")
     if any(c in name for c in "*?["):
@@ -40,7 +40,7 @@ def _files(path: str) -> list[str]:
 
 def _open(path: str) -> pa.ipc.RecordBatchFileReader | pa.ipc.RecordBatchStreamReader:
     """The file form if it is one, else the stream form. Local files are memory-mapped: only what is read is loaded."""
-    system, inside = _located(path)
+    system, inside = located(path)
     start = (lambda: pa.memory_map(inside)) if isinstance(system, fs.LocalFileSystem) else (lambda: system.open_input_file(inside))
     try:
         return pa.ipc.open_file(start())
@@ -50,11 +50,11 @@ def _open(path: str) -> pa.ipc.RecordBatchFileReader | pa.ipc.RecordBatchStreamR
 
 def write_arrow(df: DataFrame, folder: str, suffix: str = "arrow") -> DataFrame:
     """Write ``df`` as Arrow IPC files (Feather V2 is the same format), one per partition; (path, rows) of each file."""
-    system, inside = _located(folder)
+    system, inside = located(folder)
     system.create_dir(inside, recursive=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, path = _located(folder)
+        own, path = located(folder)
         target = f"{path}/part-{TaskContext.get().partitionId():05d}.{suffix}"
         writer, rows, out = None, 0, None
         for batch in batches:
