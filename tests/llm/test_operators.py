@@ -330,6 +330,16 @@ def test_leaks_of_nothing_and_in_blocks(spark, monkeypatch):
     assert [(r["doc_id"], r["item_id"]) for r in leakage.leaked_items(docs, items).collect()] == [(1, 1)]
 
 
+def test_groups_of_documents_keep_every_text():
+    rng = random.Random(2)
+    sizes = [rng.choice([0, 1, 5, 30, 200]) for _ in range(300)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(k, k + 50)), pa.array(["x" * s for s in sizes[k : k + 50]])], ["i", "t"]) for k in range(0, 300, 50)]
+    for limit in (1, 64, 1000, 10**6):
+        groups = list(leakage._grouped(iter(batches), limit))
+        assert [i for ids, _ in groups for i in ids.to_pylist()] == list(range(300)) and [len(t) for _, texts in groups for t in texts.to_pylist()] == sizes
+        assert all(len(texts) == 1 or sum(map(len, texts.to_pylist())) <= limit for _, texts in groups)
+
+
 def test_leaks_of_short_items(spark):
     items = [(1, "Quick jade foxes sip"), (2, "Seven grey owls watch a frozen lake"), (3, "The harbour clock stopped at nine while gulls circled above us")]
     docs = [(1, "Note: quick jade foxes sip, it says."), (2, "so seven grey owls wxtch a frozen lake today"), (3, "and the harbour clock stopped at nine while all was quiet"), (4, "Seven people watch the harbour and sip tea")]

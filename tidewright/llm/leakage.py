@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import io
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.llm import kernels as K
-from tidewright.runtime import materialize
+from tidewright.runtime import materialize, scratch
+from tidewright.sources.arrow import located
 
 #: Length of a q-gram; a region of WINDOW characters may hold EDITS separate edits (of letters or whole words), so by
 #: the q-gram lemma it shares at least WINDOW + 1 - Q - Q * EDITS grams with the item, near one diagonal.
@@ -29,8 +32,10 @@ SEGMENT, GAP = 128, 64
 EDIT_SHARE = 0.35
 #: An opening sentence that this many items share is an instruction.
 SHARED_OPENINGS = 3
-#: Characters of items searched at once (their gram table is broadcast), and least own wording of an item.
+#: Characters of items searched at once (their gram table is held by each worker), and least own wording of an item.
 BLOCK_ITEM_CHARS, LEAST_WORDING = 4_000_000, Q
+#: Bytes of documents that are held while the blocks of a large benchmark pass by.
+GROUP_CHARS = 1 << 22
 
 _TABLE_BITS = 22
 _MARKUP = r"<[^<>]{1,80}>|&#?[A-Za-z0-9]{1,8};|\\[nrt]"
@@ -89,6 +94,8 @@ def grams(flat: Flat) -> tuple[np.ndarray, np.ndarray]:
 class Items:
     """The items of one block: codes, and their grams sorted by hash with item and position."""
 
+    STORED = ("ids", "code", "length", "begin", "hash", "first", "count", "item", "place")
+
     def __init__(self, ids: list[int], texts: list[str]):
         self.ids = np.array(ids, np.int64)
         flat = flatten(K.chars(pa.array(texts, pa.string())))
@@ -103,9 +110,37 @@ class Items:
         self.count = np.diff(np.append(self.first, len(at)))
         self.item = flat.doc[at].astype(np.int64)
         self.place = at - self.begin[self.item]
+        self._mark()
+
+    def _mark(self) -> None:
         self.table = np.zeros(1 << _TABLE_BITS, bool)
         self.table[(self.hash >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)] = True
 
+    @classmethod
+    def searched(cls, ids: list[int], texts: list[str]) -> Items:
+        """The items that have a gram at all."""
+        block = cls(ids, texts)
+        long = block.length >= LEAST_WORDING
+        return block if long.all() else cls([i for i, k in zip(ids, long) if k], [t for t, k in zip(texts, long) if k])
+
+    def store(self, path: str) -> None:
+        system, inside = located(path)
+        with system.open_output_stream(inside) as out:
+            packed = io.BytesIO()
+            np.savez(packed, **{n: getattr(self, n) for n in self.STORED})
+            out.write(packed.getvalue())
+
+    @classmethod
+    def stored(cls, path: str) -> Items:
+        system, inside = located(path)
+        with system.open_input_file(inside) as file:
+            packed = np.load(io.BytesIO(file.read()))
+        found = cls.__new__(cls)
+        for n in cls.STORED:
+            setattr(found, n, packed[n])
+        found._mark()
+        return found
+
     def hits(self, flat: Flat) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(doc, doc position, item, item position) of all shared grams."""
         found, inside = grams(flat)
@@ -260,17 +295,76 @@ def leaked_items(documents: DataFrame, benchmark: DataFrame, least_share: float
     taken out. Opening sentences that several items share are instructions and do not count; an item with fewer letters,
     digits and blanks of its own than a q-gram has (:data:`LEAST_WORDING`) cannot be told from chance and is in no document.
     A part counts from a window's grams on (32 characters verbatim), of items under two windows at the default share from
-    the grams of that share. Every document is read once per block of items (one block up to 4 million characters), whole
-    and without a shuffle; null ids and empty texts yield nothing.
+    the grams of that share. Every document is read once, whole and without a shuffle. Up to four million characters of
+    items are sent along with the tasks; more are stored in blocks of that size, and a group of documents is compared with
+    one block after the other. Null ids and empty texts yield nothing.
     """
     items = benchmark.where("item_id is not null and text is not null").select("item_id", "text")
     size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     pieces = max(1, -(-size // BLOCK_ITEM_CHARS))
-    items = _with_leads(items) if pieces > 1 else items
-    found = [
-        _search_block(documents, items.where(F.pmod(F.xxhash64("item_id"), F.lit(pieces)) == k) if pieces > 1 else items, least_share) for k in range(pieces)
-    ]
-    return reduce(DataFrame.unionByName, found)
+    cleaned = F.when(F.col("text").rlike(r"[<&\\]"), F.regexp_replace("text", _MARKUP, " ")).otherwise(F.col("text"))
+    chosen = documents.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), cleaned.alias("text"))
+    if pieces == 1:
+        rows = items.collect()  # BLOCK_ITEM_CHARS characters at most
+        shared = documents.sparkSession.sparkContext.broadcast(Items.searched([r["item_id"] for r in rows], own_wording([r["text"] for r in rows])))
+        blocks: Callable[[], Iterable[Items]] = lambda: (shared.value,)
+        limit = K.BLOCK_CHARS
+    else:
+        paths = _store_blocks(_with_leads(items), pieces, scratch(documents.sparkSession, "items"))
+        blocks = lambda: map(Items.stored, paths)
+        limit = GROUP_CHARS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, texts in _grouped(batches, limit):
+            flat = flatten(K.chars(texts))
+            for known in blocks():
+                got = search(flat, known, least_share)
+                if got:
+                    doc, item, share = zip(*got)
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(doc)), pa.array(known.ids[np.array(item)]), pa.array(np.array(share, np.float64))], ["doc_id", "item_id", "share"])
+
+    return chosen.mapInArrow(run, "doc_id bigint, item_id bigint, share double")
+
+
+def _grouped(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """(ids, texts) of about ``limit`` bytes each, across batches; a longer text is a group of its own and never cut."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+
+    def flush() -> tuple[pa.Array, pa.Array]:
+        return tuple(pa.concat_arrays([b.column(i) for b in held]) for i in (0, 1))
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        length = pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64)
+        start = 0
+        while start < batch.num_rows:
+            reached = np.cumsum(length[start:]) + size
+            end = start + max(int(np.searchsorted(reached, limit, side="right")), 0 if held else 1)
+            if end > start:
+                held.append(batch.slice(start, end - start))
+                size += int(length[start:end].sum())
+                start = end
+            if start < batch.num_rows or size >= limit:
+                yield flush()
+                held, size = [], 0
+    if held:
+        yield flush()
+
+
+def _store_blocks(items: DataFrame, pieces: int, folder: str) -> list[str]:
+    """Files of the blocks of items in the shared folder, built by tasks."""
+
+    def build(pdf: pd.DataFrame) -> pd.DataFrame:
+        path = f"{folder}/block-{int(pdf['_block'].iloc[0]):06d}.npz"
+        system, inside = located(path)
+        system.create_dir(inside.rpartition("/")[0], recursive=True)
+        Items.searched(pdf["item_id"].tolist(), own_wording(pdf["text"].tolist(), pdf["lead"].tolist())).store(path)
+        return pd.DataFrame({"path": [path]})
+
+    blocks = items.withColumn("_block", F.pmod(F.xxhash64("item_id"), F.lit(pieces)))
+    return sorted(r["path"] for r in blocks.groupBy("_block").applyInPandas(build, "path string").collect())  # one row per block
 
 
 def _with_leads(items: DataFrame) -> DataFrame:
@@ -286,27 +380,3 @@ def _with_leads(items: DataFrame) -> DataFrame:
     shared = openings.groupBy("k", "s").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= SHARED_OPENINGS).select("k", "s", F.lit(True).alias("_shared"))
     leads = openings.join(shared, ["k", "s"], "left").groupBy("item_id", "digest").agg(F.coalesce(F.min(F.when(F.col("_shared").isNull(), F.col("k"))), F.max("k") + 1).alias("lead"))
     return materialize(named.join(leads, ["item_id", "digest"], "left").select("item_id", "text", F.coalesce("lead", F.lit(0)).alias("lead")), "items")
-
-
-def _search_block(documents: DataFrame, items: DataFrame, least_share: float) -> DataFrame:
-    rows = items.collect()  # BLOCK_ITEM_CHARS characters, give or take the spread of the hash
-    ids, texts = [r["item_id"] for r in rows], own_wording([r["text"] for r in rows], [r["lead"] for r in rows] if "lead" in items.columns else None)
-    block = Items(ids, texts)
-    short = block.length < LEAST_WORDING
-    block = Items([i for i, s in zip(ids, short) if not s], [t for t, s in zip(texts, short) if not s])
-    shared = documents.sparkSession.sparkContext.broadcast(block)
-    cleaned = F.when(F.col("text").rlike(r"[<&\\]"), F.regexp_replace("text", _MARKUP, " ")).otherwise(F.col("text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        for batch in batches:
-            for start, _, text in K.blocks(batch.column(1)):
-                got = search(flatten(text), known, least_share)
-                if got:
-                    doc, item, share = zip(*got)
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(pa.array(np.array(doc) + start)), pa.array(known.ids[np.array(item)]), pa.array(np.array(share, np.float64))], ["doc_id", "item_id", "share"]
-                    )
-
-    chosen = documents.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), cleaned.alias("text"))
-    return chosen.mapInArrow(run, "doc_id bigint, item_id bigint, share double")
