@@ -81,6 +81,8 @@ def test_merges_equal_the_library():
     texts = ["Hello world, it's 12345 =======", "aaaaaaaaaaaaaaaaaaaaaa", "先检查样本清单，然后拒绝", "ééé ñandú Straße", "x" * 5000, " \n\n\t  mixed   space ", "🙂🙂 emoji", "ab" * 200, ""]
     pieces = [p.encode() for t in texts for p in regex.findall(bpe.PATTERN, t)]
     assert ranks.count(pieces).tolist() == [len(library.encode_ordinary(p.decode())) for p in pieces]
+    long = ["先检查样本清单然后拒绝队列里所有的任务" * 500, "แรกตรวจสอบรายการแล้วปฏิเสธ" * 400, "ab" * 9000, "ключ" * 3000]
+    assert ranks.count([t.encode() for t in long]).tolist() == [len(library.encode_ordinary(t)) for t in long]
     counter = bpe.Counter(path)
     for text in texts:
         assert counter(regex.findall(bpe.PATTERN, text)).sum() == len(library.encode_ordinary(text))

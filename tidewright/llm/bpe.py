@@ -40,12 +40,23 @@ class Ranks:
         table = np.array(sorted(pairs), np.int64).reshape(-1, 2)
         self.pair, self.merged = table[:, 0].copy(), table[:, 1].copy()
         self.byte = np.array([self.rank.get(bytes([b]), 0) for b in range(256)], np.int64)
+        #: True for two bytes that stand side by side in some token; no merge ever crosses any other boundary.
+        self.inner = np.zeros(1 << 16, bool)
+        for token in self.rank:
+            codes = np.frombuffer(token, np.uint8).astype(np.int64)
+            self.inner[codes[:-1] << 8 | codes[1:]] = True
 
     def _lookup(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = (left << 32) | right
         at = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
         return np.where(self.pair[at] == key, self.merged[at], _NEVER)
 
+    def _joined(self, symbol: np.ndarray, owner: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Merge ranks of the pairs that begin at ``at``."""
+        after = np.minimum(at + 1, len(symbol) - 1)
+        found = self._lookup(symbol[at], symbol[after])
+        return np.where((after > at) & (owner[after] == owner[at]), found, _NEVER)
+
     def count_one(self, piece: bytes) -> int:
         """Tokens of one piece, one merge at a time (leftmost of the lowest rank): linked symbols and a heap."""
         import heapq
@@ -80,23 +91,27 @@ class Ranks:
     def count(self, pieces: list[bytes]) -> np.ndarray:
         """Tokens of each piece.
 
-        The pieces lie side by side as one symbol array. Each round joins all adjacent pairs with the merge ranks and
-        applies, in every piece, the pairs of its lowest rank; pieces without a mergeable pair leave. Merging several
-        pairs of one rank at once equals one at a time unless a lower rank appears afterwards; such pieces, and very
-        long ones, are counted one merge at a time.
+        The pieces lie side by side as one symbol array, cut at the boundaries that no token crosses. Each round joins all
+        adjacent pairs with the merge ranks and applies, in every part, the pairs of its lowest rank; parts without a
+        mergeable pair leave. Merging several pairs of one rank at once equals one at a time unless a lower rank appears
+        afterwards; such parts are counted one merge at a time.
         """
-        total = np.zeros(len(pieces), np.int64)
         length = np.array([len(p) for p in pieces], np.int64)
-        exact = set(np.flatnonzero(length > 4096).tolist())
-        chosen = np.flatnonzero((length > 0) & (length <= 4096))
-        symbol = self.byte[np.frombuffer(b"".join(pieces[i] for i in chosen), np.uint8)]
-        owner = np.repeat(chosen, length[chosen])
-        last = np.full(len(pieces), -1, np.int64)
-        several = np.zeros(len(pieces), bool)
+        code = np.frombuffer(b"".join(pieces), np.uint8).astype(np.int64)
+        if not len(code):
+            return np.zeros(len(pieces), np.int64)
+        piece = np.repeat(np.arange(len(pieces)), length)
+        new = np.ones(len(code), bool)
+        new[1:] = (piece[1:] != piece[:-1]) | ~self.inner[code[:-1] << 8 | code[1:]]
+        start = np.append(np.flatnonzero(new), len(code))
+        parts = len(start) - 1
+        total = np.zeros(parts, np.int64)
+        exact: set[int] = set()
+        symbol, owner = self.byte[code], np.cumsum(new) - 1
+        last = np.full(parts, -1, np.int64)
+        several = np.zeros(parts, bool)
+        rank = self._joined(symbol, owner, np.arange(len(symbol)))
         while len(symbol):
-            rank = np.full(len(symbol), _NEVER, np.int64)
-            same = owner[:-1] == owner[1:]
-            rank[:-1][same] = self._lookup(symbol[:-1][same], symbol[1:][same])
             begin = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
             lowest = np.minimum.reduceat(rank, begin)
             size = np.diff(np.append(begin, len(symbol)))
@@ -114,15 +129,18 @@ class Ranks:
                 chain = np.flatnonzero(np.r_[True, np.diff(at) != 1])
                 odd_place = (np.arange(len(at)) - np.repeat(chain, np.diff(np.append(chain, len(at))))) % 2
                 at = at[odd_place == 0]
-            several[who] = np.bincount(owner[at], minlength=len(pieces))[who] > 1
-            symbol = symbol.copy()
+            several[who] = np.bincount(owner[at], minlength=parts)[who] > 1
             symbol[at] = rank[at]
             keep = stay
             keep[at + 1] = False
-            symbol, owner = symbol[keep], owner[keep]
+            symbol, owner, rank = symbol[keep], owner[keep], rank[keep]
+            # only pairs beside a merge have another rank now
+            moved = (np.cumsum(keep) - 1)[at]
+            near = np.concatenate([moved[moved > 0] - 1, moved])
+            rank[near] = self._joined(symbol, owner, near)
         for i in exact:
-            total[i] = self.count_one(pieces[i])
-        return total
+            total[i] = self.count_one(code[start[i] : start[i + 1]].astype(np.uint8).tobytes())
+        return np.bincount(piece[start[:-1]], weights=total, minlength=len(pieces)).astype(np.int64)
 
 
 @lru_cache(maxsize=2)
