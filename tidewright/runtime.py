@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
@@ -95,9 +96,22 @@ def release() -> None:
 atexit.register(release)
 
 
+#: Operators of a plan that are not worth running twice, by the names of their nodes. Fixed values.
+_COSTLY = ("Aggregate", "Join", "Window", "Distinct", "MapIn", "FlatMap", "EvalPython", "Generate", "Sort")
+
+
+def _costly(df: DataFrame) -> bool:
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return any(re.search(rf"^[\s:+-]*{name}", line) for line in plan.splitlines() for name in _COSTLY)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only when a count shows it has at most ``max_rows`` rows; else leave the join to AQE."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    """Mark ``df`` for broadcast only when a count shows it has at most ``max_rows`` rows; else leave the join to AQE.
+
+    A side that is more than a scan is written first, so that it is not computed once for the count and once for the join.
+    """
+    side = materialize(df, "side") if _costly(df) else df
+    return F.broadcast(side) if side.limit(max_rows + 1).count() <= max_rows else side
 
 
 def spread(scan: DataFrame) -> DataFrame:
