@@ -208,6 +208,16 @@ def test_default_groups_equal_brute_force_around_the_threshold(spark):
     assert kept == sorted(k for k, r in root.items() if r == k)
 
 
+def test_hot_buckets_are_spread(spark, monkeypatch):
+    words = [f"w{i}" for i in range(100)]
+    df = spark.createDataFrame([(i, " ".join([*words, f"x{i}"])) for i in range(60)] + [(100 + i, f"only {i} " * 8) for i in range(5)], "id int, text string")
+    found = lambda: sorted(map(tuple, minhash.near_duplicate_groups(df, minhash.Settings(), "id").collect()))
+    small = found()
+    monkeypatch.setattr(minhash, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(minhash, "HOT_BUCKET", 10)
+    assert found() == small and len(small) == 60 and {r for _, r in small} == {0}
+
+
 @pytest.mark.parametrize("hash_fc,precision,language", [("sha1", 32, "english"), ("sha1", 64, "english"), ("xxhash", 32, "chinese")])
 def test_block_with_its_options(spark, hash_fc, precision, language):
     words = [f"w{i}" for i in range(80)]

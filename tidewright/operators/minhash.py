@@ -7,13 +7,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from tidewright.functions.text import BLANK, MARK, squash
 from tidewright.operators.components import connected_components
-from tidewright.runtime import materialize
+from tidewright.runtime import BROADCAST_ROWS, broadcast_if_small, materialize
 
 #: Modulus of the permutations (a * h + c) mod PRIME; hashes and coefficients stay below it, products within 64 bits.
 PRIME = (1 << 31) - 1
@@ -264,6 +264,20 @@ def set_keys(df: DataFrame, settings: Settings, identity: str, text: str = "text
     return hashed.mapInArrow(run, f"`{identity}` {kind}, n int, d1 bigint, d2 bigint, keys array<bigint>")
 
 
+#: Records of a bucket from which it is spread over SALTS tasks when it is joined with its members.
+HOT_BUCKET, SALTS = 10_000, 64
+
+
+def _to_members(members: DataFrame, buckets: DataFrame, identity: str) -> DataFrame:
+    """``members`` of the given buckets (key, _n, ...) with their columns but the count; a hot bucket is spread over several tasks."""
+    if buckets.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return members.join(F.broadcast(buckets.drop("_n")), "key")
+    hot = buckets.where(F.col("_n") > HOT_BUCKET).select("key", F.lit(True).alias("_hot"))
+    salted = members.join(broadcast_if_small(hot), "key", "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(identity), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))).drop("_hot")
+    copies = F.when(F.col("_n") > HOT_BUCKET, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return salted.join(buckets.withColumn("_salt", F.explode(copies)).drop("_n"), ["key", "_salt"]).drop("_salt")
+
+
 def verified_links(df: DataFrame, settings: Settings, identity: str, text: str = "text") -> DataFrame:
     """(src, dst): links whose components are those of all pairs that share a band and reach the threshold.
 
@@ -277,10 +291,10 @@ def verified_links(df: DataFrame, settings: Settings, identity: str, text: str =
     same = base.groupBy("n", "d1", "d2").agg(F.min(identity).alias("src"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
     copies = materialize(base.select(identity, "n", "d1", "d2").join(same, ["n", "d1", "d2"]).where(F.col(identity) != F.col("src")).select("src", F.col(identity).alias("dst")), "copies")
     single = base.join(copies.select(F.col("dst").alias(identity)), identity, "left_anti")
-    bucket = Window.partitionBy("key")
     keyed = single.select(identity, "n", F.explode("keys").alias("key"))
-    keyed = keyed.select("*", F.min(F.struct(F.col(identity).alias("id"), "n")).over(bucket).alias("_least"), F.count(F.lit(1)).over(bucket).alias("_n"))
-    members = materialize(keyed.where("_n > 1").drop("_n"), "members")
+    # buckets are folded by partial aggregates; only those of several records come back to their members
+    least = keyed.groupBy("key").agg(F.min(F.struct(F.col(identity).alias("id"), "n")).alias("_least"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    members = materialize(_to_members(keyed, materialize(least, "buckets"), identity), "members")
     sets = materialize(df.join(members.select(identity).distinct(), identity, "left_semi").select(identity, shingle_hashes(F.col(text), settings).alias("_set")), "candidate_sets")
 
     def sized(a: str, b: str) -> Column:  # similarity is at most the ratio of the sizes
@@ -295,8 +309,8 @@ def verified_links(df: DataFrame, settings: Settings, identity: str, text: str =
     first = materialize(holding(stars), "links")
     parts = connected_components(first).select(F.col("node").alias(identity), F.col("root").alias("_part"))
     placed = members.join(parts, identity, "left").select("key", F.col(identity).alias("id"), "n", F.coalesce("_part", identity).alias("part"))
-    apart = placed.select("*", F.min("part").over(bucket).alias("_low"), F.max("part").over(bucket).alias("_high")).where("_low <> _high")
-    apart = materialize(apart.select("key", "id", "n", "part"), "apart")
+    mixed = placed.groupBy("key").agg(F.min("part").alias("_low"), F.max("part").alias("_high"), F.count(F.lit(1)).alias("_n")).where("_low <> _high").select("key", "_n")
+    apart = materialize(_to_members(placed, materialize(mixed, "mixed"), "id"), "apart")
     a, b = (apart.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("id", "n", "part")]) for side in "ab")
     crossing = a.join(b, "key").where((F.col("id_a") < F.col("id_b")) & (F.col("part_a") != F.col("part_b")) & sized("n_a", "n_b"))
     second = holding(crossing.select(F.col("id_a").alias("src"), F.col("id_b").alias("dst")).distinct())
