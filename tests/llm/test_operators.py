@@ -340,6 +340,18 @@ def test_groups_of_documents_keep_every_text():
         assert all(len(texts) == 1 or sum(map(len, texts.to_pylist())) <= limit for _, texts in groups)
 
 
+def test_leaks_do_not_depend_on_neighbours():
+    from tidewright.llm import kernels
+
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(400)]
+    own = " ".join(rng.choice(words) for _ in range(60))
+    altered = " ".join(w if rng.random() > 0.16 else rng.choice(words) for w in own.split())
+    known = leakage.Items([1], [own])
+    found = {tuple(s for d, _, s in leakage.search(leakage.flatten(kernels.chars(pa.array(["y " * pad, altered]))), known, 0.2) if d == 1) for pad in range(30)}
+    assert len(found) == 1
+
+
 def test_leaks_of_short_items(spark):
     items = [(1, "Quick jade foxes sip"), (2, "Seven grey owls watch a frozen lake"), (3, "The harbour clock stopped at nine while gulls circled above us")]
     docs = [(1, "Note: quick jade foxes sip, it says."), (2, "so seven grey owls wxtch a frozen lake today"), (3, "and the harbour clock stopped at nine while all was quiet"), (4, "Seven people watch the harbour and sip tea")]

@@ -189,8 +189,9 @@ def search(flat: Flat, items: Items, least_share: float) -> list[tuple[int, int,
     doc, at, item, place = doc[enough], at[enough], item[enough], place[enough]
     if not len(doc):
         return []
-    # overlapping windows of the item times overlapping diagonal bands: the q-gram lemma's regions
-    diagonal = at - place
+    # overlapping windows of the item times overlapping diagonal bands: the q-gram lemma's regions. Diagonals count from the
+    # text's own beginning, so nothing depends on which texts share a block
+    diagonal = at - np.searchsorted(flat.doc, doc) - place
     kept = np.zeros(len(doc), bool)
     for shift in (0, 1):
         for band_shift in (0, 1):
