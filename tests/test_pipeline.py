@@ -62,6 +62,12 @@ def test_golden_run(spark, tmp_path):
     assert json.load(open(tmp_path / "out/pipeline_summary.json"))["row_count"] == 1
 
 
+def test_export_without_order(spark, tmp_path):
+    config = setup(tmp_path, export={"path": str(tmp_path / "out/cleaned.jsonl"), "ordered": False}, contamination={"enabled": False})
+    summary = Run(spark, pipeline_config(config)).run()
+    assert summary["row_count"] == 2 and sorted(json.loads(line)["sample_id"] for line in open(tmp_path / "out/cleaned.jsonl")) == ["sample-1", "sample-2"]
+
+
 def test_failure_is_recorded(spark, tmp_path):
     config = setup(tmp_path)
     config["sources"][0]["path"] = str(tmp_path / "absent.jsonl")

@@ -123,7 +123,11 @@ class _Server(ThreadingHTTPServer):
 def generation_over_http(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The HTTP backend against an endpoint on the driver's host; the answers are written before it closes."""
     host = spark.conf.get("spark.driver.host", "127.0.0.1")
-    server = _Server((host, 0), _Endpoint)
+    try:
+        server = _Server((host, 0), _Endpoint)
+    except OSError:  # an address of another network: executors of a local master reach the loopback
+        host = "127.0.0.1"
+        server = _Server((host, 0), _Endpoint)
     Thread(target=server.serve_forever, daemon=True).start()
     try:
         return materialize(_generated(spark, sf_dir, backend="async_http", base_url=f"http://{host}:{server.server_port}/v1", api_key="none"), "answers")

@@ -97,7 +97,8 @@ class Run:
             table = self._run()
             rows = self.stages[-1]["rows"]
             began_export = time.perf_counter()
-            export(table.orderBy(*ORDER).drop(*ORDER), self.config.export, self.config.runtime.single_file_export)
+            result = table.orderBy(*ORDER) if self.config.export.ordered else table
+            export(result.drop(*ORDER), self.config.export, self.config.runtime.single_file_export)
             self.monitor.record("exported", rows, time.perf_counter() - began_export)
             summary = self._summary(table, rows)
             if self.config.visualization.enabled:

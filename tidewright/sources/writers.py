@@ -35,6 +35,8 @@ class Export:
     export_stats: bool = True
     keep_stats_in_result: bool = False
     keep_hashes_in_result: bool = False
+    #: Keep the order of the records. That sorts the whole result; a large one that needs no order is written faster without.
+    ordered: bool = True
 
 
 def shard_count(rows: int, rows_per_shard: int) -> int:
