@@ -288,6 +288,24 @@ def test_largest_sets_keep_weaker_bounds(spark, monkeypatch):
     assert {r["sample_id"]: r["class_id"] for r in classes.collect()} == brute_classes(texts, 3, 0.6)
 
 
+def test_long_lists_are_split_and_every_pair_meets_once():
+    import numpy as np
+
+    from tidewright.llm import sketches
+
+    rng = np.random.default_rng(5)
+    sets, width = 40, 6
+    token = np.concatenate([rng.choice(9, width, replace=False) for _ in range(sets)]).astype(np.uint64)
+    count = np.array([1, 3, 5000, 20_000, 90_000, 2, 10**6, 4097, 7])[token.astype(int)]
+    full = lambda v: np.full(sets, v)
+    block = neardup.Block(rng.integers(1, 1 << 62, sets), full(30), full(20), full(3), token, sketches.encode(count.astype(float)), full(width), np.arange(sets) * width, np.zeros(sets, bool))
+    entries = [(int(k), int(r), int(s) >> 2 & 3) for key, row, spot in neardup._list_entries(block) for k, r, s in zip(key, row, spot)]
+    met = [(a, b) for k, a, x in entries if x & 1 for l, b, y in entries if y & 2 and k == l]
+    rows = token.reshape(sets, width)
+    want = [(a, b) for a in range(sets) for b in range(sets) for p in range(3) if rows[a, p] in rows[b]]
+    assert sorted(met) == sorted(want) and len({k for k, _, _ in entries}) > 9 + 2 * 4
+
+
 def test_near_duplicates_edges(spark):
     schema = "sample_id string, ingested_at timestamp, text string"
     classes, links = neardup.near_duplicates(spark.createDataFrame([], schema), sketch_cells=1 << 16)
