@@ -32,10 +32,26 @@ def duck(small_dir):
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(catalog.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
 def test_query(spark, small_dir, duck, name):
     made = catalog.queries()[name](spark, small_dir)
     found = duck.execute(catalog.oracle_sql()[name])
     columns = [d[0] for d in found.description]
     assert sorted(made.columns) == sorted(columns)
     assert rows_of(made.columns, [tuple(r) for r in made.collect()]) == rows_of(columns, found.fetchall())
+
+
+def test_tokenizer_counts(spark, small_dir):
+    """SQL cannot count these tokens; the library can."""
+    from tokenizers import Tokenizer
+
+    from tidewright.plans.catalog_records import TOKENIZERS
+
+    path = f"{TOKENIZERS}/byte_bpe_50k.json"
+    if not os.path.exists(path):
+        pytest.skip("no tokenizer file")
+    loaded = Tokenizer.from_file(path)
+    got = {r["doc_id"]: r["token_count"] for r in catalog.queries()["tokenizer_counts"](spark, small_dir).collect()}
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{small_dir}/documents.parquet").collect()}
+    assert got == {k: len(loaded.encode(t or "", add_special_tokens=False).ids) for k, t in texts.items()}
+    assert set(catalog.queries()) - set(catalog.oracle_sql()) == {"tokenizer_counts"}

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.operators.adapt import Mapping
+from tidewright.operators.blocks import drop_metadata
 from tidewright.operators.quality import Limits
 from tidewright.plans.config import pipeline_config
 from tidewright.plans.monitor import ALERTS, alert_rules, missing_artifacts
@@ -121,10 +122,10 @@ def written_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def written_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Compressed chunks of fixed size, read again through an adapter of the user's."""
+    """Compressed chunks of fixed size without one field of their metadata, read again through an adapter of the user's."""
     folder = scratch(spark, "chunks")
     docs = _documents(spark, sf_dir).select(F.col("doc_id").cast("string").alias("id"), "text", F.struct("lang", "source").alias("metadata"))
-    writers.write_chunks(docs, folder, 100, "gzip")
+    writers.write_chunks(drop_metadata(docs, "source"), folder, 100, "gzip")
     adapter = lambda df: df.select("id", "text", F.struct("metadata.lang", F.regexp_extract("_file", r"(chunk)_\d+_\d+", 1).alias("kind")).alias("metadata"))
     back = readers.read_chunks(spark, [{"path": folder, "format": "jsonl", "glob": "chunk_*.json.gz", "recursive": True, "adapter": adapter}])
     return back.select("id", "text", "metadata.lang", "metadata.kind")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 from threading import Thread
 
@@ -59,6 +60,15 @@ def string_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", F.md5(squash(F.col("text"))).alias("squashed"), squashed_or_null(F.col("text")).isNull().alias("blank"), alphanumeric_ratio(F.col("text")).alias("ratio"))
 
 
+#: Folder of the vocabulary files of public tokenizers.
+TOKENIZERS = os.environ.get("TIDEWRIGHT_TOKENIZERS", "/opt/tokenizers")
+
+
+def tokenizer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of each document under a tokenizer file; SQL cannot count them."""
+    return _table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", quality.tokenizer_count(F.col("text"), f"{TOKENIZERS}/byte_bpe_50k.json").alias("token_count"))
+
+
 def sorted_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON with sorted keys, of every tool call."""
     said = _table(spark, sf_dir, "samples", "sample_id", F.explode("messages").alias("m")).where("m.tool_calls is not null")
@@ -214,6 +224,6 @@ def metric_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = (
-    adapt_messages, adapt_messages_with_empty, map_metadata, struct_metadata, string_functions, sorted_tool_calls, render_prompt_json, generation_stage, generation_by_engine, generation_over_http, judge_stage,
+    adapt_messages, adapt_messages_with_empty, map_metadata, struct_metadata, string_functions, tokenizer_counts, sorted_tool_calls, render_prompt_json, generation_stage, generation_by_engine, generation_over_http, judge_stage,
     batch_serving, judge_dimensions, sft_from_results, injected_operators, chained_blocks, experiment_grid, metric_sample,
 )
