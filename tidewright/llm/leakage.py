@@ -155,12 +155,32 @@ class Items:
 
 
 def _unique_counts(*parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(group of each row, size of each group) of rows that agree in all parts."""
-    order = np.lexsort(parts)
-    new = np.ones(len(order), bool)
-    if len(order):
+    """(group of each row, size of each group) of rows that agree in all parts; numbers of groups may have gaps.
+
+    The parts are packed into one number, which is the group where its range is small, else it is sorted; parts too wide
+    for that are sorted one after the other.
+    """
+    count = len(parts[0])
+    if not count:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    key, span = np.zeros(count, np.int64), 1
+    for part in parts:
+        low = int(part.min())
+        width = int(part.max()) - low + 1
+        span *= width
+        if span >= 1 << 62:
+            break
+        key = key * width + (part - low)
+    if span <= max(1 << 20, 4 * count):
+        return key, np.bincount(key)
+    order = np.argsort(key) if span < 1 << 62 else np.lexsort(parts)
+    new = np.ones(count, bool)
+    if span < 1 << 62:
+        ordered = key[order]
+        new[1:] = ordered[1:] != ordered[:-1]
+    else:
         new[1:] = np.any([p[order][1:] != p[order][:-1] for p in parts], axis=0)
-    group = np.empty(len(order), np.int64)
+    group = np.empty(count, np.int64)
     group[order] = np.cumsum(new) - 1
     return group, np.bincount(group)
 
