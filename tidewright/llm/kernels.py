@@ -223,5 +223,14 @@ def member(values: np.ndarray, table: np.ndarray) -> np.ndarray:
     return table[at] == values
 
 
+def marks(text: Chars, listed: str) -> np.ndarray:
+    """True at the listed characters, which must lie in the basic plane."""
+    table = np.zeros(0x10000, bool)
+    table[[ord(c) for c in listed]] = True
+    if len(text.low) and text.low.max() >= 0x10000:
+        return table[np.minimum(text.low, 0xFFFF)] & (text.low < 0x10000)
+    return table[text.low]
+
+
 def per_doc(doc: np.ndarray, docs: int, weight: np.ndarray | None = None) -> np.ndarray:
     return np.bincount(doc, weights=weight, minlength=docs)

@@ -88,10 +88,10 @@ def _scripts(text: K.Chars, w: K.Words) -> np.ndarray:
     return counts
 
 
-def detect_block(text: K.Chars) -> tuple[np.ndarray, np.ndarray]:
-    """(language, script) of the texts of a block; None where too little speaks for one of them."""
+def detect_block(text: K.Chars, w: K.Words | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(language, script) of the texts of a block; None where too little speaks for one of them. ``w``: its words of letters and marks."""
     names, known, bits, owners = _tables()
-    w = K.words(text, K.LETTER | K.MARK)
+    w = K.words(text, K.LETTER | K.MARK) if w is None else w
     n = K.per_doc(w.doc, text.docs)
     at = np.minimum(np.searchsorted(known, w.hash), len(known) - 1)
     found = np.flatnonzero(known[at] == w.hash)

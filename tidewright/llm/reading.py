@@ -38,8 +38,8 @@ CONNECTIVES = (
 )
 #: Languages that are standardised by themselves; all others count as undecided.
 _LANGUAGES = ("en", "de", "fr", "es", "zh", None)
-_ENDS = np.array([ord(c) for c in ".!?…。！？"], np.uint32)
-_COMMAS = np.array([ord(c) for c in ",;:，；：、–—("], np.uint32)
+_ENDS = ".!?…。！？"
+_COMMAS = ",;:，；：、–—("
 
 FEATURES = (
     "word_length", "word_length_spread", "long_8", "long_10", "long_12", "short_3", "sentence_words", "sentence_words_spread", "log_sentence_words", "sentences_short", "sentences_medium", "sentences_long",
@@ -107,7 +107,7 @@ class Sentences:
         w = K.words(text, K.LETTER | K.MARK, split_han=True)
         size = (w.end - w.start).astype(np.float64)
         alnum = (text.kind & (K.LETTER | K.NUMBER)) > 0
-        stop = np.isin(text.low, _ENDS) & ~np.append(alnum[1:], False)[: len(alnum)]
+        stop = K.marks(text, _ENDS) & ~np.append(alnum[1:], False)[: len(alnum)]
         sentence_of = np.cumsum(stop)[w.start]
         new = np.ones(len(w.doc), bool)
         new[1:] = (sentence_of[1:] != sentence_of[:-1]) | (w.doc[1:] != w.doc[:-1])
@@ -125,16 +125,17 @@ def features(text: K.Chars, rarity: Rarity, cuts: Cuts) -> tuple[np.ndarray, np.
     w, size, begin, words_in, length_in = s.w, s.size, s.begin, s.words, s.length
     docs = text.docs
     n = K.per_doc(w.doc, docs)
-    code = detect_block(text)[0]
+    code = detect_block(text, w)[0]
     language = np.array([_LANGUAGES.index(c) if c in _LANGUAGES else len(_LANGUAGES) - 1 for c in code], np.int64)
     out = np.zeros((docs, len(FEATURES)))
     if not len(w.hash):
         return n, language, out
     count = len(begin)
-    comma = np.cumsum(np.isin(text.low, _COMMAS))
+    comma = np.cumsum(K.marks(text, _COMMAS))
     commas_in = (comma[w.start[s.last]] - comma[w.start[begin]]).astype(np.float64)
     connective, function = _lists()
-    joins = K.member(w.hash, connective).astype(np.float64)
+    word, which = np.unique(w.hash, return_inverse=True)  # every distinct word is looked up once
+    joins = K.member(word, connective).astype(np.float64)[which]
     joins_in = np.bincount(s.of, weights=joins, minlength=count)
     owner = w.doc[begin]
     sentences = np.bincount(owner, minlength=docs)
@@ -151,9 +152,9 @@ def features(text: K.Chars, rarity: Rarity, cuts: Cuts) -> tuple[np.ndarray, np.
         "sentence_words_spread": np.sqrt(np.maximum(0, by_sentence(words_in**2) - mean_words**2)),
         "log_sentence_words": by_sentence(np.log(words_in)),
         "sentences_short": by_sentence(words_in <= cuts.words[0]), "sentences_medium": by_sentence((words_in > cuts.words[0]) & (words_in <= cuts.words[1])), "sentences_long": by_sentence(words_in > cuts.words[2]),
-        "commas": by_sentence(commas_in), "connectives": by_sentence(joins_in), "function_words": by_word(K.member(w.hash, function)),
+        "commas": by_sentence(commas_in), "connectives": by_sentence(joins_in), "function_words": by_word(K.member(word, function)[which]),
         "diversity": K.per_doc(kept_doc, docs) / np.sqrt(np.maximum(n, 1)),
-        "rarity": by_word(rarity.of(w.hash)),
+        "rarity": by_word(rarity.of(word)[which]),
         "sentence_word_length_low": by_sentence(length_in < cuts.length[0]), "sentence_word_length_mid": by_sentence((length_in >= cuts.length[0]) & (length_in < cuts.length[1])), "sentence_word_length_high": by_sentence(length_in >= cuts.length[2]),
         "sentence_long_words": by_sentence(s.long >= cuts.long[2]), "nested": by_sentence((commas_in + joins_in >= 2) & (words_in > cuts.words[1])),
     }
