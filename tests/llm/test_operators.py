@@ -358,6 +358,19 @@ def test_groups_of_documents_keep_every_text():
         assert all(len(texts) == 1 or sum(map(len, texts.to_pylist())) <= limit for _, texts in groups)
 
 
+def test_rows_are_grouped_whatever_their_range():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for top in (3, 1000, 10**7, 1 << 40):
+        parts = [rng.choice(rng.integers(-top, top, 9), 500) for _ in range(3)]
+        group, size = leakage._unique_counts(*parts)
+        rows = list(zip(*[p.tolist() for p in parts]))
+        assert all((group[i] == group[j]) == (rows[i] == rows[j]) for i in range(0, 500, 7) for j in range(500))
+        assert [size[g] for g in group] == [rows.count(r) for r in rows]
+    assert [len(x) for x in leakage._unique_counts(np.zeros(0, np.int64))] == [0, 0]
+
+
 def test_leaks_do_not_depend_on_neighbours():
     from tidewright.llm import kernels
 
@@ -489,3 +502,28 @@ def test_repeats_in_ranges_give_the_same_records(spark, monkeypatch):
     one = found()
     monkeypatch.setattr(sketches, "mark_repeats", lambda d, c, n, most=0, f=sketches.mark_repeats: f(d, c, n, 256))
     assert found() == one and one[1]
+
+
+def test_word_counts_are_exact_however_texts_are_dealt_out(spark):
+    import math
+
+    from tidewright.llm import kernels
+
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice(["the"] * 30 + ["of"] * 10 + [f"w{chr(97 + k)}x" for k in range(20)]) for _ in range(rng.randint(0, 400))) for _ in range(80)] + ["the " * 70_000, "", None]
+    want = {}
+    for text in texts:
+        for word in re.findall(r"[^\W\d_]+", text or ""):
+            want[kernels.word_hash(word)] = want.get(kernels.word_hash(word), 0) + 1
+    df = spark.createDataFrame([(t,) for t in texts], "_text string")
+    for dealt in (df.repartition(1), df.repartition(7)):
+        got = {r["word"] % (1 << 64): r["n"] for r in reading.word_counts(dealt).collect()}
+        assert got == want
+    counts = reading.word_counts(df)
+    few = reading.rarities(counts, 3)
+    total, top = sum(want.values()), sorted(want.values(), reverse=True)
+    kept = [n for n in top if n > top[3]]
+    assert sorted(few.value.tolist()) == pytest.approx(sorted(math.log(total / n) for n in kept))
+    assert few.other == pytest.approx(math.log(total / ((total - sum(kept)) / (len(want) - len(kept)))))
+    every = reading.rarities(counts)
+    assert len(every.word) == len(want) and reading.rarities(reading.word_counts(df.limit(0))).other == 0.0
