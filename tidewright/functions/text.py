@@ -39,10 +39,9 @@ def token_count(text: Column) -> Column:
 
 
 def words(text: Column, lower: bool = True, strip_marks: bool = True) -> Column:
-    """The words of ``text`` in order. ``strip_marks`` makes no difference to them; it is kept as an option."""
+    """The words of ``text`` in order. Marks end a word whether or not they are stripped, so ``strip_marks`` changes nothing."""
     source = F.coalesce(text, F.lit(""))
     source = F.lower(source) if lower else source
-    source = F.regexp_replace(source, MARK, " ") if strip_marks else source
     return F.regexp_extract_all(source, F.lit(WORD), F.lit(0))
 
 

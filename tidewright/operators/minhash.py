@@ -200,12 +200,24 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def shingle_hashes(text: Column, settings: Settings) -> Column:
-    """The shingle set as hashes of 64 bits; those of 32 bits fill the upper half, which the permutations read."""
+    """The shingle set as hashes of 64 bits; those of 32 bits fill the upper half, which the permutations read.
+
+    With xxhash each token is hashed once and each run of token hashes again, so that no strings are joined.
+    """
     if settings.hash_fc not in ("xxhash", "sha1") or settings.precision not in (32, 64):
         raise ValueError(f"unknown hash function or precision: {settings.hash_fc}, {settings.precision}")
-    number = (lambda s: F.xxhash64(s)) if settings.hash_fc == "xxhash" else (lambda s: F.conv(F.substring(F.sha1(s), 1, 16), 16, -10).cast("bigint"))
     cut = (lambda h: F.shiftleft(F.shiftrightunsigned(h, 32), 32)) if settings.precision == 32 else (lambda h: h)
-    return F.transform(shingles(text, settings), lambda s: cut(number(s)))
+    if settings.hash_fc == "sha1":
+        return F.transform(shingles(text, settings), lambda s: cut(F.conv(F.substring(F.sha1(s), 1, 16), 16, -10).cast("bigint")))
+    size = settings.window_size
+
+    def runs(hashed: Column) -> Column:
+        each = F.transform(F.sequence(F.lit(1), F.size(hashed) - size + 1), lambda i: cut(F.xxhash64(*[F.element_at(hashed, i + k) for k in range(size)])))
+        short = F.when(F.size(hashed) > 0, F.array(cut(F.xxhash64(hashed)))).otherwise(F.array().cast("array<bigint>"))
+        return F.when(F.size(hashed) >= size, F.array_distinct(each)).otherwise(short)
+
+    # a lambda over an array of one element binds the hashes once
+    return F.element_at(F.transform(F.array(F.transform(tokens(text, settings), lambda t: F.xxhash64(t))), runs), 1)
 
 
 #: Languages that do not set words apart: their n-grams are of characters. Fixed values.

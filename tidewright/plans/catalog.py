@@ -240,11 +240,11 @@ def _stage_counts(spark: SparkSession, sf_dir: str, dedup: minhash.Settings) ->
     docs = materialize(mapped.select(F.col("sample_id").cast("bigint").alias("doc_id"), "text", "quality_signals", "messages"), "normalized")
     groups = minhash.near_duplicate_groups(docs, dedup, "doc_id")
     dropped = groups.where("node <> root").select(F.col("node").alias("doc_id"))
-    overlap = decontam.scores(docs, decontam.reference_index(table(spark, sf_dir, "benchmark"), EIGHT), EIGHT, "doc_id")
     limits = quality.Limits(min_tokens=100, max_tokens=400, min_assistant_turns=0)
-    good = quality.enrich(docs, stats=False).select("doc_id", quality.passes(limits).alias("good"))
-    clean = overlap.select("doc_id", decontam.keeps(EIGHT, F.col("matched"), F.col("ratio")).alias("clean"))
-    flags = good.join(clean, "doc_id").join(dropped.withColumn("_gone", F.lit(True)), "doc_id", "left").select("good", "clean", F.col("_gone").isNull().alias("unique"))
+    signed = quality.enrich(decontam.annotate(docs, table(spark, sf_dir, "benchmark"), EIGHT), stats=False)
+    clean = decontam.keeps(EIGHT, F.coalesce("quality_signals.contamination_matched_ngrams", F.lit(0)), F.coalesce("quality_signals.contamination_ratio", F.lit(0.0)))
+    flags = signed.select("doc_id", quality.passes(limits).alias("good"), clean.alias("clean")).join(dropped.withColumn("_gone", F.lit(True)), "doc_id", "left")
+    flags = flags.select("good", "clean", F.col("_gone").isNull().alias("unique"))
     stages = {"normalized": F.lit(True), "deduplicated": F.col("unique"), "decontaminated": F.col("unique") & F.col("clean"), "quality_filtered": F.col("unique") & F.col("clean") & F.col("good")}
     counted = flags.agg(*[F.count(F.when(c, 1)).alias(n) for n, c in stages.items()])
     return counted.select(F.explode(F.array(*[F.struct(F.lit(n).alias("stage"), F.col(n).alias("rows")) for n in stages])).alias("_s")).select("_s.*")
