@@ -50,3 +50,24 @@ def test_stable_id_and_ratio(spark):
 def test_first_filled(spark):
     df = spark.createDataFrame(pd.DataFrame({"a": [" ", None], "b": ["x  y", " "]}))
     assert [r[0] for r in df.select(X.first_filled([F.col("a"), F.col("b")])).collect()] == ["x y", None]
+
+
+def test_runs_of_tokens():
+    import random
+
+    import numpy as np
+
+    rng = random.Random(6)
+    rows = [[rng.randint(1, 4) for _ in range(rng.choice([0, 1, 2, 3, 5, 40]))] for _ in range(60)]
+    flat, length = np.array([t for r in rows for t in r], np.uint64), np.array([len(r) for r in rows])
+    for size in (1, 2, 3, 5):
+        for short in (False, True):
+            found, count = X.distinct_runs(flat, length, size, short)
+            sets = [{tuple(r[i : i + size]) for i in range(len(r) - size + 1)} or ({tuple(r)} if short and r else set()) for r in rows]
+            assert count.tolist() == [len(s) for s in sets] and len(found) == count.sum()
+            ends = np.concatenate([[0], np.cumsum(count)])
+            named = {}
+            for k, s in enumerate(sets):  # equal rows have equal hashes, a run has the same hash in every row
+                assert named.setdefault(frozenset(s), frozenset(found[ends[k] : ends[k + 1]].tolist())) == frozenset(found[ends[k] : ends[k + 1]].tolist())
+            assert len(set(found.tolist())) == len(set().union(*sets))
+    assert [len(x) for x in X.distinct_runs(np.zeros(0, np.uint64), np.zeros(2, np.int64), 3)] == [0, 2]

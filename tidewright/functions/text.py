@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import json
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, LongType, StringType
 
 #: Blanks in the sense of Unicode, in a form that Java reads.
 BLANK = r"\s\x0B\p{Z}\x{1C}-\x{1F}\x{85}"
@@ -45,18 +46,60 @@ def words(text: Column, lower: bool = True, strip_marks: bool = True) -> Column:
     return F.regexp_extract_all(source, F.lit(WORD), F.lit(0))
 
 
-def ngram_hashes(tokens: Column, size: int) -> Column:
-    """Distinct 64-bit hashes of the runs of ``size`` tokens; an empty array for fewer tokens.
+def _mixed(values: np.ndarray) -> np.ndarray:
+    """A 64-bit finaliser, elementwise."""
+    values = (values ^ (values >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    values = (values ^ (values >> np.uint64(29))) * np.uint64(0xA0761D6478BD642F)
+    return values ^ (values >> np.uint64(32))
 
-    Each token is hashed once, then each run of hashes, so no strings are joined.
+
+def distinct_runs(hashed: np.ndarray, length: np.ndarray, size: int, short: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, counts): the distinct hashes of all runs of ``size`` tokens of each row, and how many each row has.
+
+    ``hashed`` holds the token hashes of all rows one after the other, ``length`` their numbers. Fewer tokens have no run,
+    or are one run with ``short``.
+    """
+    if short:  # rows that are too short are filled up with a mark that stands for no token
+        lacking = np.where((length > 0) & (length < size), size - length, 0)
+        if lacking.any():
+            at = np.repeat(np.cumsum(length), lacking)
+            hashed = np.insert(hashed, at, np.uint64(0x5851F42D4C957F2D))
+            length = length + lacking
+    rows = len(length)
+    count = len(hashed) - size + 1
+    owner = np.repeat(np.arange(rows), length)
+    if count <= 0:
+        return np.zeros(0, np.uint64), np.zeros(rows, np.int64)
+    found = _mixed(hashed[:count])
+    for k in range(1, size):
+        found = _mixed(found + hashed[k : k + count])
+    inside = owner[:count] == owner[size - 1 :]
+    found, owner = found[inside], owner[:count][inside]
+    # one sort key of row and upper bits; neighbours are compared in full
+    bits = np.uint64(max(1, int(rows).bit_length()))
+    order = np.argsort((owner.astype(np.uint64) << (np.uint64(64) - bits)) | (found >> bits))
+    found, owner = found[order], owner[order]
+    new = np.ones(len(found), bool)
+    new[1:] = (found[1:] != found[:-1]) | (owner[1:] != owner[:-1])
+    return found[new], np.bincount(owner[new], minlength=rows)
+
+
+def token_hashes(tokens: Column) -> Column:
+    return F.transform(tokens, lambda t: F.xxhash64(t))
+
+
+def ngram_hashes(tokens: Column, size: int, short: bool = False) -> Column:
+    """Distinct 64-bit hashes of the runs of ``size`` tokens; fewer tokens have none, or are one run with ``short``.
+
+    Each token is hashed once in the JVM, the runs of hashes in Arrow batches, so no strings are joined.
     """
 
-    def runs(hashed: Column) -> Column:
-        each = F.transform(F.sequence(F.lit(1), F.size(hashed) - size + 1), lambda i: F.xxhash64(*[F.element_at(hashed, i + k) for k in range(size)]))
-        return F.when(F.size(hashed) >= size, F.array_distinct(each)).otherwise(F.array().cast("array<bigint>"))
+    def runs(lists: pa.Array) -> pa.Array:
+        values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+        found, count = distinct_runs(values, np.diff(lists.offsets.to_numpy()).astype(np.int64), size, short)
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(count)]).astype(np.int32)), pa.array(found.view(np.int64)))
 
-    # a lambda over an array of one element binds the hashes once; otherwise they would be computed anew for every run
-    return F.element_at(F.transform(F.array(F.transform(tokens, lambda t: F.xxhash64(t))), runs), 1)
+    return F.arrow_udf(runs, ArrayType(LongType()))(token_hashes(tokens))
 
 
 def alphanumeric_ratio(text: Column) -> Column:

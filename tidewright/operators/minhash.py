@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
-from tidewright.functions.text import BLANK, MARK, squash
+from tidewright.functions.text import BLANK, MARK, distinct_runs, ngram_hashes, squash, token_hashes
 from tidewright.operators.components import connected_components
 from tidewright.runtime import BROADCAST_ROWS, broadcast_if_small, materialize
 
@@ -209,15 +209,8 @@ def shingle_hashes(text: Column, settings: Settings) -> Column:
     cut = (lambda h: F.shiftleft(F.shiftrightunsigned(h, 32), 32)) if settings.precision == 32 else (lambda h: h)
     if settings.hash_fc == "sha1":
         return F.transform(shingles(text, settings), lambda s: cut(F.conv(F.substring(F.sha1(s), 1, 16), 16, -10).cast("bigint")))
-    size = settings.window_size
-
-    def runs(hashed: Column) -> Column:
-        each = F.transform(F.sequence(F.lit(1), F.size(hashed) - size + 1), lambda i: cut(F.xxhash64(*[F.element_at(hashed, i + k) for k in range(size)])))
-        short = F.when(F.size(hashed) > 0, F.array(cut(F.xxhash64(hashed)))).otherwise(F.array().cast("array<bigint>"))
-        return F.when(F.size(hashed) >= size, F.array_distinct(each)).otherwise(short)
-
-    # a lambda over an array of one element binds the hashes once
-    return F.element_at(F.transform(F.array(F.transform(tokens(text, settings), lambda t: F.xxhash64(t))), runs), 1)
+    hashed = ngram_hashes(tokens(text, settings), settings.window_size, short=True)
+    return F.array_distinct(F.transform(hashed, cut)) if settings.precision == 32 else hashed
 
 
 #: Languages that do not set words apart: their n-grams are of characters. Fixed values.
@@ -241,7 +234,9 @@ def minhash_block(df: DataFrame, identity: str, n_grams: int = 5, num_buckets: i
 def set_keys(df: DataFrame, settings: Settings, identity: str, text: str = "text") -> DataFrame:
     """(identity, n, d1, d2, keys) of every non-empty shingle set: its size, its digest of 128 bits and a key per band."""
     number, rows = bands(settings)
-    hashed = df.select(identity, shingle_hashes(F.col(text), settings).alias("_hashes"))
+    # the runs of tokens are hashed in the same pass that permutes them, if that needs no strings
+    direct = settings.hash_fc == "xxhash" and settings.precision == 64
+    hashed = df.select(identity, (token_hashes(tokens(F.col(text), settings)) if direct else shingle_hashes(F.col(text), settings)).alias("_hashes"))
     kind = hashed.schema.fields[0].dataType.simpleString()
     pairs = coefficients(number * rows, settings.seed)
 
@@ -249,7 +244,9 @@ def set_keys(df: DataFrame, settings: Settings, identity: str, text: str = "text
         for batch in batches:
             column = batch.column(1)
             values = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            sizes = np.diff(column.offsets.to_numpy())
+            sizes = np.diff(column.offsets.to_numpy()).astype(np.int64)
+            if direct:
+                values, sizes = distinct_runs(values, sizes, settings.window_size, short=True)
             filled = np.flatnonzero(sizes)
             if not len(filled):
                 continue
